@@ -91,8 +91,12 @@ def bronze_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_medical_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Claim lines; keys repeat in the data, so the latest row of a key matters."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    """Claim lines; keys repeat in the data, so the latest row of a key matters.
+
+    Orders grow with the lines, so this is a shuffle join at any size. It also
+    spreads a lines file that is one row group over all cores.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").hint("merge")
     lines = table(spark, sf_dir, "lineitem")
     quantity = F.col("l_quantity")
     billed = F.col("l_extendedprice").cast("decimal(12,2)")

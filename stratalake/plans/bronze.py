@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 from datetime import datetime
 
@@ -16,6 +16,9 @@ from stratalake.operators import latest_by, unmatched, upsert
 from stratalake.schemas import ENROLLMENT_EVENTS, LOADED_AT, PHARMACY_CLAIMS, SOURCE_FILE, TableSpec
 from stratalake.sources import as_text, changed_since, csv_drops, event_pages, events_since
 
+#: An operational table, or a function from a start time to the table.
+Source = DataFrame | Callable[[str], DataFrame]
+
 log = logging.getLogger(__name__)
 
 #: More source files than this in one batch are not worth a filter.
@@ -33,7 +36,7 @@ class LoadAudit:
     rows_deduped: int
     rows_inserted: int
     rows_updated: int
-    rows_total: int
+    rows_total: int | None
     watermark: str | None
 
 
@@ -66,27 +69,31 @@ def load_batch(
     load_id: str | None = None,
     loaded_at: str | None = None,
     since: str | None = None,
+    count_total: bool = True,
 ) -> LoadAudit:
     """Merge a batch into its bronze table, then move the watermark.
 
     The batch is staged first, so its source is read once. The same ``load_id``
     may be loaded again after a failure: its rows are replaced, not doubled.
+    ``count_total=False`` leaves out the count of the whole bronze table, which
+    opens every file's footer.
     """
     load_id = load_id or datetime.now().strftime("%Y%m%dT%H%M%S%f")
     staged_at, staged = lake.stage(spec.name, as_text(batch.select(*spec.batch_columns)), load_id)
     try:
-        return _merge_staged(lake, spec, staged, load_id, loaded_at, since)
+        return _merge_staged(lake, spec, staged, load_id, loaded_at, since, count_total)
     finally:
         lake.remove(staged_at)
 
 
 def _merge_staged(
-    lake: Lake, spec: TableSpec, staged: DataFrame, load_id: str, loaded_at: str | None, since: str | None
+    lake: Lake, spec: TableSpec, staged: DataFrame, load_id: str, loaded_at: str | None, since: str | None,
+    count_total: bool,
 ) -> LoadAudit:
     rows_in = staged.count()
     if not rows_in:
         log.warning("%s: nothing to load", spec.name)
-        total = read_bronze(lake, spec).count()
+        total = read_bronze(lake, spec).count() if count_total else None
         return LoadAudit(spec.name, load_id, since, 0, 0, 0, 0, total, None)
 
     clock = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
@@ -109,7 +116,7 @@ def _merge_staged(
         fresh = unmatched(one_per_key, target, spec.key, within, batch_keys)
         written = lake.append_load("bronze", spec.bronze_name, fresh.withColumn(LOADED_AT, clock), load_id)
         inserted, updated = lake.spark.read.schema(spec.bronze_schema).parquet(written).count(), 0
-        rows_total = read_bronze(lake, spec).count()
+        rows_total = read_bronze(lake, spec).count() if count_total else None
 
     newest = None
     if spec.watermark_column:
@@ -154,12 +161,18 @@ def load_event_pages(
 def load_changed_table(
     lake: Lake,
     spec: TableSpec,
-    source: DataFrame,
+    source: Source,
     full: bool = False,
     lookback: str | None = None,
     load_id: str | None = None,
     loaded_at: str | None = None,
 ) -> LoadAudit:
-    """Load the rows of an operational table changed since its watermark, minus the lookback."""
+    """Load the rows of an operational table changed since its watermark, minus the lookback.
+
+    ``source`` is the table, or a function that opens it given the time from
+    which rows are wanted, such as one calling ``jdbc_table``.
+    """
     since = watermark.read_since(lake, spec.source_name, lookback or spec.lookback, full)
+    if callable(source):
+        source = source(since)
     return load_batch(lake, spec, changed_since(source, spec, since), load_id, loaded_at, since)

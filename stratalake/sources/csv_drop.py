@@ -29,12 +29,12 @@ def source_file(path: Column) -> Column:
 
     The last path part, without the suffix compression adds, so a plain and a
     compressed copy count as one source. A drop may also be a folder of part
-    files, named after the drop.
+    files, named after the drop. Plain string functions, as this runs per row.
     """
-    part_in_folder = r"^.*?([^/=]+\.csv)/[^/]*$"
-    plain = r"([^/]+?)(\.gz)?$"
-    folder = F.regexp_extract(path, part_in_folder, 1)
-    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, plain, 1))
+    file = F.substring_index(path, "/", -1)
+    folder = F.substring_index(F.substring_index(F.substring_index(path, "/", -2), "/", 1), "=", -1)
+    plain = F.when(F.endswith(file, F.lit(".gz")), file.substr(F.lit(1), F.length(file) - 3)).otherwise(file)
+    return F.when(F.endswith(folder, F.lit(".csv")), folder).otherwise(plain)
 
 
 def _with_source(raw: DataFrame) -> DataFrame:

@@ -26,28 +26,27 @@ def as_text(source: DataFrame) -> DataFrame:
 def jdbc_options(spec: TableSpec, table: str, since: str, until: str, partitions: int) -> dict[str, str]:
     """Reader options that split the changed range over ``partitions`` connections.
 
-    ``since`` and ``until`` only place the splits; the ends are open.
+    ``since`` and ``until`` only place the splits; the first and last are open.
     """
-    bound = lambda text: text.replace("T", " ")
     return {
         "dbtable": table,
         "partitionColumn": spec.watermark_column,
-        "lowerBound": bound(since),
-        "upperBound": bound(until),
+        "lowerBound": since.replace("T", " "),
+        "upperBound": until.replace("T", " "),
         "numPartitions": str(partitions),
         "preferTimestampNTZ": "true",
         "fetchsize": "10000",
     }
 
 
-def jdbc_changes(
+def jdbc_table(
     spark: SparkSession, spec: TableSpec, url: str, table: str, since: str, until: str,
     partitions: int = 16, **options: str,
 ) -> DataFrame:
-    """Changed rows of a database table, read over several connections.
+    """A database table to pull changes from, read over several connections.
 
-    Columns and the time bound are pushed down by Spark's JDBC source.
+    The columns and the time bound that ``changed_since`` asks for are pushed
+    down by Spark's JDBC source.
     """
     reader = spark.read.format("jdbc").option("url", url)
-    reader = reader.options(**{**jdbc_options(spec, table, since, until, partitions), **options})
-    return changed_since(reader.load(), spec, since)
+    return reader.options(**{**jdbc_options(spec, table, since, until, partitions), **options}).load()
