@@ -98,65 +98,56 @@ BRONZE = {
     "bronze_enrollment_events": ENROLLMENT_EVENTS,
 }
 
-# One row per key: the newest, NULL counting as newest, ties by the other columns.
+def _newest(bronze: str, key: str, order_by: str, casts: dict[str, str], *ties: str) -> str:
+    """Typed bronze with one row per key: the newest, NULL counting as newest, ties by the other columns."""
+    typed = ", ".join(f"{sql} as {c}" for c, sql in casts.items())
+    rest = "".join(f", {c} nulls last" for c in ties)
+    return f"""
+  select * from (select * replace ({typed}) from {bronze})
+  qualify row_number() over (partition by {key} order by {order_by} desc nulls first{rest}) = 1"""
+
+
+def _try(kind: str, *columns: str) -> dict[str, str]:
+    return {c: f"try_cast({c} as {kind})" for c in columns}
+
+
 SILVER = {
-    "silver_medical_claims": """
-  select * from (
-    select claim_id, member_id, provider_id, diagnosis_code, procedure_code,
-      try_cast(service_date as date) as service_date,
-      try_cast(billed_amount as decimal(12,2)) as billed_amount,
-      try_cast(allowed_amount as decimal(12,2)) as allowed_amount, claim_status,
-      try_cast(created_at as timestamp) as created_at, try_cast(updated_at as timestamp) as updated_at, _loaded_at
-    from bronze_medical_claims)
-  qualify row_number() over (partition by claim_id order by updated_at desc nulls first,
-    member_id nulls last, provider_id nulls last, diagnosis_code nulls last, procedure_code nulls last,
-    service_date nulls last, billed_amount nulls last, allowed_amount nulls last, claim_status nulls last,
-    created_at nulls last, _loaded_at nulls last) = 1""",
-    "silver_members": """
-  select * from (
-    select member_id, first_name, last_name, try_cast(date_of_birth as date) as date_of_birth, gender, plan_code,
-      state_code, try_cast(effective_date as date) as effective_date,
-      try_cast(created_at as timestamp) as created_at, try_cast(updated_at as timestamp) as updated_at, _loaded_at
-    from bronze_members)
-  qualify row_number() over (partition by member_id order by updated_at desc nulls first,
-    first_name nulls last, last_name nulls last, date_of_birth nulls last, gender nulls last, plan_code nulls last,
-    state_code nulls last, effective_date nulls last, created_at nulls last, _loaded_at nulls last) = 1""",
-    "silver_providers": """
-  select * from (
-    select provider_id, provider_name, npi, specialty, state_code,
-      try_cast(created_at as timestamp) as created_at, try_cast(updated_at as timestamp) as updated_at, _loaded_at
-    from bronze_providers)
-  qualify row_number() over (partition by provider_id order by updated_at desc nulls first,
-    provider_name nulls last, npi nulls last, specialty nulls last, state_code nulls last,
-    created_at nulls last, _loaded_at nulls last) = 1""",
-    "silver_pharmacy_claims": """
-  select * from (
-    select claim_id, member_id, ndc_code, drug_name, try_cast(quantity as integer) as quantity,
-      try_cast(days_supply as integer) as days_supply, try_cast(fill_time as timestamp) as fill_time,
-      try_cast(ingredient_cost as decimal(10,2)) as ingredient_cost,
-      try_cast(copay_amount as decimal(10,2)) as copay_amount,
-      coalesce(pharmacy_npi, 'UNKNOWN') as pharmacy_npi, _source_file, _loaded_at
-    from bronze_pharmacy_claims)
-  qualify row_number() over (partition by claim_id order by _loaded_at desc nulls first,
-    member_id nulls last, ndc_code nulls last, drug_name nulls last, quantity nulls last, days_supply nulls last,
-    fill_time nulls last, ingredient_cost nulls last, copay_amount nulls last, pharmacy_npi nulls last,
-    _source_file nulls last) = 1""",
-    "silver_enrollment_events": """
-  select * from (
-    select event_id, member_id, event_type, plan_code, try_cast(event_time as timestamp) as event_time,
-      try_cast(created_at as timestamp) as created_at, _loaded_at
-    from bronze_enrollment_events)
-  qualify row_number() over (partition by event_id order by created_at desc nulls first,
-    member_id nulls last, event_type nulls last, plan_code nulls last, event_time nulls last,
-    _loaded_at nulls last) = 1""",
+    "silver_medical_claims": _newest(
+        "bronze_medical_claims", "claim_id", "updated_at",
+        _try("date", "service_date") | _try("decimal(12,2)", "billed_amount", "allowed_amount")
+        | _try("timestamp", "created_at", "updated_at"),
+        "member_id", "provider_id", "diagnosis_code", "procedure_code", "service_date", "billed_amount",
+        "allowed_amount", "claim_status", "created_at", "_loaded_at",
+    ),
+    "silver_members": _newest(
+        "bronze_members", "member_id", "updated_at",
+        _try("date", "date_of_birth", "effective_date") | _try("timestamp", "created_at", "updated_at"),
+        "first_name", "last_name", "date_of_birth", "gender", "plan_code", "state_code", "effective_date",
+        "created_at", "_loaded_at",
+    ),
+    "silver_providers": _newest(
+        "bronze_providers", "provider_id", "updated_at", _try("timestamp", "created_at", "updated_at"),
+        "provider_name", "npi", "specialty", "state_code", "created_at", "_loaded_at",
+    ),
+    "silver_pharmacy_claims": _newest(
+        "bronze_pharmacy_claims", "claim_id", "_loaded_at",
+        _try("integer", "quantity", "days_supply") | _try("timestamp", "fill_time")
+        | _try("decimal(10,2)", "ingredient_cost", "copay_amount")
+        | {"pharmacy_npi": "ifnull(pharmacy_npi, 'UNKNOWN')"},
+        "member_id", "ndc_code", "drug_name", "quantity", "days_supply", "fill_time", "ingredient_cost",
+        "copay_amount", "pharmacy_npi", "_source_file",
+    ),
+    "silver_enrollment_events": _newest(
+        "bronze_enrollment_events", "event_id", "created_at", _try("timestamp", "event_time", "created_at"),
+        "member_id", "event_type", "plan_code", "event_time", "_loaded_at",
+    ),
 }
 
 GOLD = {
     "gold_claims_enriched": """
-  select c.claim_id, c.member_id, c.provider_id, c.diagnosis_code, c.procedure_code, c.service_date,
-    c.billed_amount, c.allowed_amount, c.billed_amount - c.allowed_amount as disallowed_amount, c.claim_status,
-    m.plan_code, m.state_code as member_state, m.gender, p.provider_name, p.specialty,
-    p.state_code as provider_state, coalesce(m.state_code = p.state_code, false) as in_state_care, c.updated_at
+  select c.* exclude (created_at, updated_at, _loaded_at), c.updated_at, billed_amount - allowed_amount as disallowed_amount,
+    plan_code, m.state_code as member_state, gender, provider_name, specialty, p.state_code as provider_state,
+    m.state_code is not null and p.state_code is not null and m.state_code = p.state_code as in_state_care
   from silver_medical_claims c
   left join silver_members m using (member_id)
   left join silver_providers p using (provider_id)""",

@@ -3,7 +3,8 @@
 Two layouts cover all tables. Insert-only tables hold one ``load_id=`` folder
 per load. Tables that are replaced as a whole (upserted dimensions, silver,
 gold, watermarks) hold ``v=`` folders of which the newest committed one counts;
-a replacement that dies half-way leaves readers on the version before it.
+a replacement that dies half-way leaves readers on the version before it. Each
+table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.session import empty_frame
+
 DEFAULT_SCHEMA = "SILVER"
 COMMIT_MARK = "_COMMITTED"
 
@@ -45,7 +48,7 @@ class Lake:
         fs, p = self._fs(path)
         fs.delete(p, True)
 
-    def _children(self, path: str) -> list[str]:
+    def children(self, path: str) -> list[str]:
         fs, p = self._fs(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
@@ -61,7 +64,7 @@ class Lake:
         """All loads of a table, or all but the one named ``but``."""
         path = self.path(layer, name)
         if not self.exists(path):
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         full = T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])
         loads = self.spark.read.schema(full).parquet(path)
         if but is not None:
@@ -72,7 +75,7 @@ class Lake:
 
     def _versions(self, path: str) -> tuple[list[int], list[int]]:
         """Numbers of all version folders, and of the committed ones."""
-        found = sorted(int(n[2:]) for n in self._children(path) if n.startswith("v="))
+        found = sorted(int(n[2:]) for n in self.children(path) if n.startswith("v="))
         return found, [v for v in found if self.exists(f"{path}/v={v}/{COMMIT_MARK}")]
 
     def current(self, layer: str | None, name: str) -> str | None:
@@ -104,7 +107,7 @@ class Lake:
         if version is None:
             if schema is None:
                 raise FileNotFoundError(f"no committed version of {self.path(layer, name)}")
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(version)
 

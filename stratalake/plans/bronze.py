@@ -14,6 +14,7 @@ from stratalake import watermark
 from stratalake.lake import Lake
 from stratalake.operators import latest_by, unmatched, upsert
 from stratalake.schemas import ENROLLMENT_EVENTS, LOADED_AT, PHARMACY_CLAIMS, SOURCE_FILE, TableSpec
+from stratalake.session import empty_frame
 from stratalake.sources import as_text, changed_since, csv_drops, event_pages, events_since
 
 #: An operational table, or a function from a start time to the table.
@@ -33,7 +34,7 @@ class LoadAudit:
     load_id: str
     since: str | None
     rows_in: int
-    rows_deduped: int
+    rows_deduped: int | None
     rows_inserted: int
     rows_updated: int
     rows_total: int | None
@@ -69,37 +70,38 @@ def load_batch(
     load_id: str | None = None,
     loaded_at: str | None = None,
     since: str | None = None,
-    count_total: bool = True,
+    full_audit: bool = True,
 ) -> LoadAudit:
     """Merge a batch into its bronze table, then move the watermark.
 
     The batch is staged first, so its source is read once. The same ``load_id``
     may be loaded again after a failure: its rows are replaced, not doubled.
-    ``count_total=False`` leaves out the count of the whole bronze table, which
-    opens every file's footer.
+    ``full_audit=False`` leaves two counts out of an insert-only load's audit:
+    distinct keys, which shuffles the batch's keys once more, and the whole
+    table, which opens every file's footer.
     """
     load_id = load_id or datetime.now().strftime("%Y%m%dT%H%M%S%f")
     staged_at, staged = lake.stage(spec.name, as_text(batch.select(*spec.batch_columns)), load_id)
     try:
-        return _merge_staged(lake, spec, staged, load_id, loaded_at, since, count_total)
+        return _merge_staged(lake, spec, staged, load_id, loaded_at, since, full_audit)
     finally:
         lake.remove(staged_at)
 
 
 def _merge_staged(
     lake: Lake, spec: TableSpec, staged: DataFrame, load_id: str, loaded_at: str | None, since: str | None,
-    count_total: bool,
+    full_audit: bool,
 ) -> LoadAudit:
     rows_in = staged.count()
     if not rows_in:
         log.warning("%s: nothing to load", spec.name)
-        total = read_bronze(lake, spec).count() if count_total else None
+        total = read_bronze(lake, spec).count() if full_audit else None
         return LoadAudit(spec.name, load_id, since, 0, 0, 0, 0, total, None)
 
     clock = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
     one_per_key = latest_by(staged, spec.key, spec.order_by, spec.newest)
     batch_keys = staged.select(*spec.key).distinct()
-    keys = batch_keys.count()
+    keys = batch_keys.count() if full_audit or spec.update_on_match else None
 
     if spec.update_on_match:
         before = read_bronze(lake, spec)
@@ -116,14 +118,12 @@ def _merge_staged(
         fresh = unmatched(one_per_key, target, spec.key, within, batch_keys)
         written = lake.append_load("bronze", spec.bronze_name, fresh.withColumn(LOADED_AT, clock), load_id)
         inserted, updated = lake.spark.read.schema(spec.bronze_schema).parquet(written).count(), 0
-        rows_total = read_bronze(lake, spec).count() if count_total else None
+        rows_total = read_bronze(lake, spec).count() if full_audit else None
 
     newest = None
     if spec.watermark_column:
         seen = watermark.newest(staged, spec.source_name, spec.watermark_column)
-        watermark.commit(lake, seen)
-        row = watermark.state(lake).where(F.col("source_name") == spec.source_name).first()
-        newest = row["last_watermark"] if row else None
+        newest = watermark.commit(lake, spec.source_name, seen)
     audit = LoadAudit(spec.name, load_id, since, rows_in, keys, inserted, updated, rows_total, newest)
     log.info("loaded %s", audit)
     return audit
@@ -138,7 +138,7 @@ def load_pharmacy_drops(lake: Lake, folder: str, load_id: str | None = None, loa
     if lake.exists(folder):
         drops = csv_drops(lake.spark, folder)
     else:
-        drops = lake.spark.createDataFrame([], PHARMACY_CLAIMS.bronze_schema)
+        drops = empty_frame(lake.spark, PHARMACY_CLAIMS.bronze_schema)
     return load_batch(lake, PHARMACY_CLAIMS, drops, load_id, loaded_at)
 
 

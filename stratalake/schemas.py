@@ -61,6 +61,7 @@ class TableSpec:
         return T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
 
 
+# Names of tables, columns, keys and watermark sources.
 PHARMACY_CLAIMS = TableSpec(
     name="pharmacy_claims",
     columns=(

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: What the engine relies on. Shuffle sizes are left to the cluster: AQE
 #: coalesces small partitions and splits skewed ones.
@@ -48,3 +50,8 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, label: str) -> str:
     """A folder name of its own for one run, below the shared folder."""
     return f"{shared_folder(spark)}/stratalake/{label}-{uuid.uuid4().hex}"
+
+
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, and the optimizer knows it: joins with it fold away."""
+    return spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])

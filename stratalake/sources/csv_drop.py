@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stratalake.schemas import PHARMACY_CLAIMS, SOURCE_FILE
 
 #: By position: a short row gets NULLs at its end, surplus fields are ignored,
-#: no row is refused. The header is skipped, not matched.
+#: no row is refused. An empty field is NULL. The header is skipped, not matched.
 READ_OPTIONS = {
     "header": "true",
     "enforceSchema": "true",

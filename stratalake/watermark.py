@@ -1,4 +1,8 @@
-"""The watermark table: one row per source with the newest time loaded."""
+"""The watermark table: one row per source with the newest time loaded.
+
+Each source's row is a table of its own, so loads of different sources can
+commit at the same time.
+"""
 
 from __future__ import annotations
 
@@ -8,10 +12,29 @@ from pyspark.sql import functions as F
 from stratalake.functions import iso_text, safe_timestamp
 from stratalake.lake import Lake
 from stratalake.schemas import FIRST_WATERMARK, WATERMARK_SCHEMA, WATERMARK_TABLE
+from stratalake.session import empty_frame
+
+
+def _table(source: str) -> str:
+    return f"{WATERMARK_TABLE}/{source}"
+
+
+def folders(lake: Lake) -> list[str]:
+    """The folders that hold the current rows."""
+    found = (lake.current("bronze", _table(s)) for s in lake.children(lake.path("bronze", WATERMARK_TABLE)))
+    return sorted(f for f in found if f)
 
 
 def state(lake: Lake) -> DataFrame:
-    return lake.read("bronze", WATERMARK_TABLE, WATERMARK_SCHEMA)
+    """All sources' watermarks."""
+    current = folders(lake)
+    if not current:
+        return empty_frame(lake.spark, WATERMARK_SCHEMA)
+    return lake.spark.read.schema(WATERMARK_SCHEMA).parquet(*current)
+
+
+def of_source(lake: Lake, source: str) -> DataFrame:
+    return lake.read("bronze", _table(source), WATERMARK_SCHEMA)
 
 
 def since_frame(watermarks: DataFrame, source: str, lookback: str) -> DataFrame:
@@ -25,7 +48,7 @@ def read_since(lake: Lake, source: str, lookback: str, full: bool = False) -> st
     """Where a pull starts. A full pull, or a source never loaded, starts at the beginning."""
     if full:
         return FIRST_WATERMARK
-    row = since_frame(state(lake), source, lookback).first()
+    row = since_frame(of_source(lake, source), source, lookback).first()
     return row["since"] if row and row["since"] else FIRST_WATERMARK
 
 
@@ -49,6 +72,12 @@ def advance(watermarks: DataFrame, seen: DataFrame) -> DataFrame:
     )
 
 
-def commit(lake: Lake, seen: DataFrame) -> None:
-    """Store advanced watermarks. Call this after the data itself is committed."""
-    lake.replace("bronze", WATERMARK_TABLE, advance(state(lake), seen).coalesce(1))
+def commit(lake: Lake, source: str, seen: DataFrame) -> str | None:
+    """Store a source's advanced watermark and return it.
+
+    Call this after the data itself is committed: a crash in between only makes
+    the next pull fetch the same rows again.
+    """
+    lake.replace("bronze", _table(source), advance(of_source(lake, source), seen).coalesce(1))
+    row = of_source(lake, source).first()
+    return row["last_watermark"] if row else None

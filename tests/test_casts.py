@@ -1,0 +1,55 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.functions import iso_text, safe_date, safe_decimal, safe_int, safe_timestamp
+
+
+def cast_all(spark, texts, make):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    return [r[0] for r in df.select("i", make("t").alias("v")).orderBy("i").select("v").collect()]
+
+
+def test_int(spark):
+    texts = ["30", " 30 ", "30.6", "30.5", "30.49999999", "-0.5", "1e2", "2147483648", "x", "", None]
+    assert cast_all(spark, texts, safe_int) == [30, 30, 31, 31, 30, -1, 100, None, None, None, None]
+
+
+def test_decimal(spark):
+    texts = ["32.50", "5.0", "12.345", "-12.345", "99999999.99", "100000000.00", "1,5", "", None]
+    want = ["32.50", "5.00", "12.35", "-12.35", "99999999.99", None, None, None, None]
+    assert cast_all(spark, texts, lambda c: safe_decimal(c, 10, 2)) == [w and Decimal(w) for w in want]
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("2026-07-02 23:14:00", datetime(2026, 7, 2, 23, 14)),
+    ("2026-07-02T23:14:00", datetime(2026, 7, 2, 23, 14)),
+    ("2026-07-02T23:14:00.1234567", datetime(2026, 7, 2, 23, 14, 0, 123456)),
+    ("2026-07-02", datetime(2026, 7, 2)),
+    ("2026-7-2", datetime(2026, 7, 2)),
+    ("2026-07", None), ("2026", None), ("20260702", None), ("2026-13-01", None), ("2026-02-30", None),
+    ("23:14:00", None), ("soon", None), ("", None), (None, None),
+])
+def test_timestamp(spark, text, want):
+    assert cast_all(spark, [text], safe_timestamp) == [want]
+
+
+def test_date(spark):
+    texts = ["2026-07-02", "2026-07-02 10:00:00", "2026-07", "2026-02-30", "n/a", None]
+    assert cast_all(spark, texts, safe_date) == [date(2026, 7, 2), date(2026, 7, 2), None, None, None, None]
+
+
+def test_types(spark):
+    df = spark.createDataFrame([("1",)], "t string").select(
+        safe_int("t").alias("i"), safe_decimal("t", 12, 2).alias("d"), safe_timestamp("t").alias("ts"),
+        safe_date("t").alias("day"),
+    )
+    assert [t for _, t in df.dtypes] == ["int", "decimal(12,2)", "timestamp_ntz", "date"]
+
+
+def test_iso_text_orders_like_time(spark):
+    texts = ["2026-07-02 10:00:00", "2026-07-02 10:00:00.5", "2026-07-02 10:00:00.25"]
+    got = cast_all(spark, texts, lambda c: iso_text(F.col(c).cast("timestamp_ntz")))
+    assert got == ["2026-07-02T10:00:00.000000", "2026-07-02T10:00:00.500000", "2026-07-02T10:00:00.250000"]

@@ -1,0 +1,81 @@
+import pytest
+
+from stratalake import Lake
+from stratalake.lake import COMMIT_MARK, schema_name
+from stratalake.schemas import MEMBERS
+from tests.helpers import rows
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "n int")
+
+
+def test_schema_names():
+    assert schema_name(" gold ") == "GOLD"
+    assert schema_name(None) == "SILVER"
+
+
+def test_replace_puts_the_new_version_in_force(spark, lake):
+    lake.replace("silver", "t", numbers(spark, 1))
+    lake.replace("silver", "t", lake.read("silver", "t").selectExpr("n + 1 AS n"))
+    assert rows(lake.read("silver", "t")) == [(2,)]
+    assert lake.path("silver", "t").endswith("/SILVER/t")
+
+
+def test_a_version_without_its_mark_is_not_seen(spark, lake):
+    lake.replace("silver", "t", numbers(spark, 1))
+    broken = lake.path("silver", "t") + "/v=2"
+    numbers(spark, 99).write.parquet(broken)
+    assert rows(lake.read("silver", "t")) == [(1,)]
+    assert lake.replace("silver", "t", numbers(spark, 3)).endswith("v=3")
+    assert rows(lake.read("silver", "t")) == [(3,)]
+    assert not lake.exists(broken)
+
+
+def test_a_failed_write_leaves_the_old_version(spark, lake):
+    lake.replace("silver", "t", numbers(spark, 1))
+    with pytest.raises(Exception, match="(?i)divi"):
+        lake.replace("silver", "t", numbers(spark, 0).selectExpr("CAST(1 DIV n AS INT) AS n"))
+    assert rows(lake.read("silver", "t")) == [(1,)]
+
+
+def test_readers_of_the_version_before_go_on(spark, lake):
+    lake.replace("silver", "t", numbers(spark, 1))
+    reader = lake.read("silver", "t")
+    lake.replace("silver", "t", numbers(spark, 2))
+    assert rows(reader) == [(1,)]
+    lake.replace("silver", "t", numbers(spark, 3))
+    assert not lake.exists(f"{lake.path('silver', 't')}/v=1")
+
+
+def test_a_load_written_again_replaces_itself(spark, lake):
+    lake.append_load("bronze", "t", numbers(spark, 1), "a")
+    lake.append_load("bronze", "t", numbers(spark, 2), "b")
+    lake.append_load("bronze", "t", numbers(spark, 3), "b")
+    schema = numbers(spark).schema
+    assert rows(lake.read_loads("bronze", "t", schema)) == [(1,), (3,)]
+    assert rows(lake.read_loads("bronze", "t", schema, but="b")) == [(1,)]
+
+
+def test_leaving_out_a_load_prunes_its_folder(spark, lake):
+    lake.append_load("bronze", "t", numbers(spark, 1), "a")
+    df = lake.read_loads("bronze", "t", numbers(spark).schema, but="a")
+    assert "PartitionFilters: [isnotnull(load_id" in df._jdf.queryExecution().executedPlan().treeString()
+
+
+def test_missing_tables(spark, lake):
+    assert lake.read("bronze", "x", MEMBERS.bronze_schema).count() == 0
+    assert lake.read_loads("bronze", "x", MEMBERS.bronze_schema).count() == 0
+    with pytest.raises(FileNotFoundError):
+        lake.read("silver", "x")
+
+
+def test_staging_is_below_the_root(spark, lake):
+    path, staged = lake.stage("t", numbers(spark, 1, 2), "load")
+    assert path.startswith(lake.root) and staged.count() == 2
+    lake.remove(path)
+    assert not lake.exists(path)
+
+
+def test_commit_mark_is_hidden_from_readers():
+    assert COMMIT_MARK.startswith("_")

@@ -1,0 +1,63 @@
+from stratalake.plans import read_bronze
+from stratalake.plans import bronze as loads
+from stratalake.schemas import ENROLLMENT_EVENTS, PHARMACY_CLAIMS
+from stratalake.streaming import follow_event_pages, follow_pharmacy_drops
+from tests.helpers import rows
+from tests.test_loads import page_of
+from tests.test_sources import V1, V2, claim, drop, event
+
+
+def run(query):
+    query.awaitTermination()
+    assert query.exception() is None
+    return query
+
+
+def test_each_drop_is_read_once(spark, lake, folder):
+    drops, mark = folder / "drops", str(folder / "checkpoint")
+    drops.mkdir()
+    drop(drops, "a.csv", V1, claim(1), claim(1))
+    drop(drops, "b.csv", V2, claim(1, "9"), claim(2, "9"))
+    run(follow_pharmacy_drops(lake, str(drops), mark, files_per_batch=1))
+    assert read_bronze(lake, PHARMACY_CLAIMS).count() == 3
+    drop(drops, "c.csv", V2, claim(3, "9"))
+    second = run(follow_pharmacy_drops(lake, str(drops), mark))
+    assert sum(p["numInputRows"] for p in second.recentProgress) < 3 * 5  # only the new drop, for each action on it
+    got = rows(read_bronze(lake, PHARMACY_CLAIMS), "claim_id", "pharmacy_npi", "_source_file")
+    assert got == [("RX1", "9", "b.csv"), ("RX1", None, "a.csv"), ("RX2", "9", "b.csv"), ("RX3", "9", "c.csv")]
+
+
+def test_a_micro_batch_run_again_adds_nothing(spark, lake, folder):
+    """As if the stream died after the merge and before its own commit."""
+    drops = folder / "drops"
+    drops.mkdir()
+    drop(drops, "a.csv", V1, claim(1))
+    run(follow_pharmacy_drops(lake, str(drops), str(folder / "first")))
+    run(follow_pharmacy_drops(lake, str(drops), str(folder / "second")))
+    assert read_bronze(lake, PHARMACY_CLAIMS).count() == 1
+
+
+def test_a_failed_micro_batch_is_completed_on_restart(spark, lake, folder, monkeypatch):
+    drops, mark = folder / "drops", str(folder / "checkpoint")
+    drops.mkdir()
+    drop(drops, "a.csv", V1, claim(1))
+    with monkeypatch.context() as broken:
+        broken.setattr(loads, "read_bronze", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        query = follow_pharmacy_drops(lake, str(drops), mark)
+        try:
+            query.awaitTermination()
+        except Exception:  # noqa: BLE001 - the failure is the point
+            pass
+        assert query.exception() is not None
+    run(follow_pharmacy_drops(lake, str(drops), mark))
+    assert rows(read_bronze(lake, PHARMACY_CLAIMS), "claim_id") == [("RX1",)]
+
+
+def test_events_are_taken_however_late(spark, lake, folder):
+    pages, mark = folder / "pages", str(folder / "checkpoint")
+    pages.mkdir()
+    page_of(pages, "p1.json", event(1, "2026-07-02T12:00:00"))
+    run(follow_event_pages(lake, str(pages), mark))
+    page_of(pages, "p2.json", event(1, "2026-07-02T12:00:00"), event(2, "2025-01-01T00:00:00"))
+    run(follow_event_pages(lake, str(pages), mark))
+    assert [r[0] for r in rows(read_bronze(lake, ENROLLMENT_EVENTS), "event_id")] == ["EV1", "EV2"]
