@@ -18,6 +18,7 @@ from stratalake.plans import (
     SILVER_MODELS, audit_frame, build_silver, claims_enriched, load_batch, load_pharmacy_drops, member_360,
     read_bronze, refresh, schema_versions,
 )
+from stratalake.session import empty_frame
 from stratalake.sources import as_text, changed_since, event_pages, events_since, split_incomplete
 from stratalake.streaming import follow_pharmacy_drops
 
@@ -275,7 +276,7 @@ def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
             out = out.unionByName(f)
         return out
 
-    state = spark.createDataFrame([], S.WATERMARK_SCHEMA)
+    state = empty_frame(spark, S.WATERMARK_SCHEMA)
     for run in (
         seen((feed.where(recorded), api, "event_time"), (A.members_first(spark, sf_dir), S.MEMBERS.source_name, sql)),
         seen((feed.where(older), api, "event_time")),
@@ -473,7 +474,7 @@ _OPERATIONAL_CLAIMS = """
 
 
 @query(with_parts(
-    """select g.*, coalesce(e.in_state, 0) as in_state_claims,
+    """select g.*, cast(coalesce(e.in_state, 0) as bigint) as in_state_claims,
          cast(coalesce(e.disallowed, 0) as decimal(23,2)) as total_disallowed
        from gold_member_360 g left join (
          select member_id, sum(cast(in_state_care as bigint)) as in_state, sum(disallowed_amount) as disallowed

@@ -61,14 +61,10 @@ def newest(batch: DataFrame, source: str, column: str) -> DataFrame:
 
 def advance(watermarks: DataFrame, seen: DataFrame) -> DataFrame:
     """Watermarks after a load. They never move back, and a NULL moves nothing."""
-    seen = seen.where(F.col("last_watermark").isNotNull())
-    old, new = watermarks.alias("old"), seen.alias("new")
-    moved = F.col("new.source_name").isNotNull()
-    latest = iso_text(F.greatest(safe_timestamp("old.last_watermark"), safe_timestamp("new.last_watermark")))
-    return old.join(new, F.col("old.source_name") == F.col("new.source_name"), "full_outer").select(
-        F.coalesce("old.source_name", "new.source_name").alias("source_name"),
-        F.when(moved, latest).otherwise(F.col("old.last_watermark")).alias("last_watermark"),
-        F.when(moved, F.localtimestamp()).otherwise(F.col("old.updated_at")).alias("updated_at"),
+    marks = seen.where(F.col("last_watermark").isNotNull()).withColumn("updated_at", F.localtimestamp())
+    return watermarks.unionByName(marks).groupBy("source_name").agg(
+        iso_text(F.max(safe_timestamp("last_watermark"))).alias("last_watermark"),
+        F.max("updated_at").alias("updated_at"),
     )
 
 
