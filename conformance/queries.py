@@ -432,14 +432,14 @@ def top_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
       (select max(cast(event_time as timestamp)) from pulled) as w2,
       (select count(*) from customer) as m, (select count(*) from customer where c_acctbal < 0) as c)
   select 'enrollment_events' as "table", 'run1' as load_id, null as since, in1 as rows_in, n1 as rows_deduped,
-    n1 as rows_inserted, 0 as rows_updated, n1 as rows_total, strftime(w1, '%%Y-%%m-%%dT%%H:%%M:%%S.%%f') as watermark
+    n1 as rows_inserted, 0 as rows_updated, n1 as rows_total, 0 as rows_incomplete, strftime(w1, '%%Y-%%m-%%dT%%H:%%M:%%S.%%f') as watermark
     from counts
-  union all select 'enrollment_events', 'run2', '%(since)s', in2, n2, new2, 0, n1 + new2,
+  union all select 'enrollment_events', 'run2', '%(since)s', in2, n2, new2, 0, n1 + new2, 0,
     strftime(greatest(w1, w2), '%%Y-%%m-%%dT%%H:%%M:%%S.%%f') from counts
-  union all select 'enrollment_events', 'run3', '%(since)s', in2, n2, 0, 0, n1 + new2,
+  union all select 'enrollment_events', 'run3', '%(since)s', in2, n2, 0, 0, n1 + new2, 0,
     strftime(greatest(w1, w2), '%%Y-%%m-%%dT%%H:%%M:%%S.%%f') from counts
-  union all select 'members', 'run1', null, m, m, m, 0, m, '1994-06-01T00:00:00.000000' from counts
-  union all select 'members', 'run2', null, c, c, 0, c, m, '1995-06-01T08:30:00.000000' from counts
+  union all select 'members', 'run1', null, m, m, m, 0, m, 0, '1994-06-01T00:00:00.000000' from counts
+  union all select 'members', 'run2', null, c, c, 0, c, m, 0, '1995-06-01T08:30:00.000000' from counts
 """ % {"run": RUN_TIME, "since": SINCE}))
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each load reports; the third repeats the second and adds nothing."""

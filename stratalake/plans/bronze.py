@@ -15,7 +15,7 @@ from stratalake.lake import Lake
 from stratalake.operators import latest_by, unmatched, upsert
 from stratalake.schemas import ENROLLMENT_EVENTS, LOADED_AT, PHARMACY_CLAIMS, SOURCE_FILE, TableSpec
 from stratalake.session import empty_frame
-from stratalake.sources import as_text, changed_since, csv_drops, event_pages, events_since
+from stratalake.sources import as_text, changed_since, csv_drops, event_pages, events_since, split_incomplete
 
 #: An operational table, or a function from a start time to the table.
 Source = DataFrame | Callable[[str], DataFrame]
@@ -38,12 +38,13 @@ class LoadAudit:
     rows_inserted: int
     rows_updated: int
     rows_total: int | None
+    rows_incomplete: int
     watermark: str | None
 
 
 AUDIT_SCHEMA = (
     "table string, load_id string, since string, rows_in long, rows_deduped long, "
-    "rows_inserted long, rows_updated long, rows_total long, watermark string"
+    "rows_inserted long, rows_updated long, rows_total long, rows_incomplete long, watermark string"
 )
 
 
@@ -71,6 +72,7 @@ def load_batch(
     loaded_at: str | None = None,
     since: str | None = None,
     full_audit: bool = True,
+    required: Sequence[str] = (),
 ) -> LoadAudit:
     """Merge a batch into its bronze table, then move the watermark.
 
@@ -78,25 +80,32 @@ def load_batch(
     may be loaded again after a failure: its rows are replaced, not doubled.
     ``full_audit=False`` leaves two counts out of an insert-only load's audit:
     distinct keys, which shuffles the batch's keys once more, and the whole
-    table, which opens every file's footer.
+    table, which opens every file's footer. Rows without one of the
+    ``required`` columns go to the table ``incomplete_...`` instead.
     """
     load_id = load_id or datetime.now().strftime("%Y%m%dT%H%M%S%f")
     staged_at, staged = lake.stage(spec.name, as_text(batch.select(*spec.batch_columns)), load_id)
     try:
-        return _merge_staged(lake, spec, staged, load_id, loaded_at, since, full_audit)
+        return _merge_staged(lake, spec, staged, load_id, loaded_at, since, full_audit, required)
     finally:
         lake.remove(staged_at)
 
 
 def _merge_staged(
     lake: Lake, spec: TableSpec, staged: DataFrame, load_id: str, loaded_at: str | None, since: str | None,
-    full_audit: bool,
+    full_audit: bool, required: Sequence[str],
 ) -> LoadAudit:
     rows_in = staged.count()
     if not rows_in:
         log.warning("%s: nothing to load", spec.name)
         total = read_bronze(lake, spec).count() if full_audit else None
-        return LoadAudit(spec.name, load_id, since, 0, 0, 0, 0, total, None)
+        return LoadAudit(spec.name, load_id, since, 0, 0, 0, 0, total, 0, None)
+
+    incomplete = 0
+    if required:
+        staged, lacking = split_incomplete(staged, required)
+        apart = lake.append_load("bronze", f"incomplete_{spec.name}", lacking, load_id)
+        incomplete = lake.spark.read.schema(lacking.schema).parquet(apart).count()
 
     clock = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
     one_per_key = latest_by(staged, spec.key, spec.order_by, spec.newest)
@@ -124,12 +133,14 @@ def _merge_staged(
     if spec.watermark_column:
         seen = watermark.newest(staged, spec.source_name, spec.watermark_column)
         newest = watermark.commit(lake, spec.source_name, seen)
-    audit = LoadAudit(spec.name, load_id, since, rows_in, keys, inserted, updated, rows_total, newest)
+    audit = LoadAudit(spec.name, load_id, since, rows_in, keys, inserted, updated, rows_total, incomplete, newest)
     log.info("loaded %s", audit)
     return audit
 
 
-def load_pharmacy_drops(lake: Lake, folder: str, load_id: str | None = None, loaded_at: str | None = None) -> LoadAudit:
+def load_pharmacy_drops(
+    lake: Lake, folder: str, load_id: str | None = None, loaded_at: str | None = None, required: Sequence[str] = ()
+) -> LoadAudit:
     """Load every CSV drop in a folder; drops loaded before add nothing.
 
     Reads all files each time. ``streaming.follow_pharmacy_drops`` reads each
@@ -139,7 +150,7 @@ def load_pharmacy_drops(lake: Lake, folder: str, load_id: str | None = None, loa
         drops = csv_drops(lake.spark, folder)
     else:
         drops = empty_frame(lake.spark, PHARMACY_CLAIMS.bronze_schema)
-    return load_batch(lake, PHARMACY_CLAIMS, drops, load_id, loaded_at)
+    return load_batch(lake, PHARMACY_CLAIMS, drops, load_id, loaded_at, required=required)
 
 
 def load_event_pages(

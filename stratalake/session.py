@@ -37,12 +37,14 @@ def shared_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    in_use = context.getCheckpointDir()
     if not folder:
+        if in_use:  # Spark adds a folder of its own below the one it was given
+            return in_use.rstrip("/").rsplit("/", 1)[0]
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="stratalake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if not context.getCheckpointDir():
+    if not in_use:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 

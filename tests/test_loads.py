@@ -55,6 +55,18 @@ def test_a_load_retried_under_its_id_is_whole(spark, lake, folder):
     assert (again.rows_inserted, again.rows_total) == (2, 2)
 
 
+def test_incomplete_rows_can_be_set_aside(lake, folder):
+    drop(folder, "a.csv", V1, claim(1), "RX2,M2", ",M3,x")
+    kept = load_pharmacy_drops(lake, str(folder), "l1")
+    assert (kept.rows_inserted, kept.rows_incomplete) == (3, 0)
+    # a row without a key never matches, so it would come again with every load
+    assert load_pharmacy_drops(lake, str(folder), "l2").rows_inserted == 1
+    strict = load_pharmacy_drops(lake, str(folder), "l3", required=["claim_id"])
+    assert (strict.rows_in, strict.rows_inserted, strict.rows_incomplete) == (3, 0, 1)
+    apart = lake.spark.read.parquet(f"{lake.path('bronze', 'incomplete_pharmacy_claims')}/load_id=l3")
+    assert rows(apart, "member_id", "missing") == [("M3", ["claim_id"])]
+
+
 # -- event pages ------------------------------------------------------------------
 
 def page_of(folder, name, *events):

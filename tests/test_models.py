@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from stratalake.plans import SILVER_MODELS, build_silver, claims_enriched, member_360, schema_versions
 from stratalake.schemas import ENROLLMENT_EVENTS, MEDICAL_CLAIMS, MEMBERS, PHARMACY_CLAIMS, PROVIDERS
-from tests.helpers import bronze, rows
+from tests.helpers import bronze, final_plan, plan, rows
 
 EARLY, LATE = datetime(2026, 7, 1), datetime(2026, 7, 2)
 
@@ -109,3 +109,27 @@ def test_member_360(spark):
 def test_schema_versions(spark):
     got = schema_versions(bronze(spark, PHARMACY_CLAIMS, {"claim_id": "1"}, {"claim_id": "2"}, {"pharmacy_npi": "9"}))
     assert rows(got) == [("v1 (no npi)", 2), ("v2 (has npi)", 1)]
+
+
+def stored(spark, folder, *frames):
+    """The frames as written tables, as a refresh has them."""
+    for i, df in enumerate(frames):
+        df.write.parquet(str(folder / str(i)))
+    return [spark.read.parquet(str(folder / str(i))) for i in range(len(frames))]
+
+
+def test_each_table_of_the_member_summary_is_shuffled_once(spark, folder, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    claims, members, _ = gold_inputs(spark)
+    others = [build_silver(f"silver_{s.name}", bronze(spark, s)) for s in (PHARMACY_CLAIMS, ENROLLMENT_EVENTS)]
+    members, claims, pharmacy, events = stored(spark, folder, members, claims, *others)
+    text = plan(member_360(members, claims, pharmacy, events))
+    assert text.count("Exchange hashpartitioning(member_id") == text.count("Exchange") == 4
+    assert text.count("partial_") >= 3
+    assert "ReadSchema: struct<member_id:string,ingredient_cost:decimal(10,2)>" in text
+
+
+def test_small_dimensions_are_broadcast_and_claims_not_shuffled(spark, folder):
+    claims, members, providers = stored(spark, folder, *gold_inputs(spark))
+    text = final_plan(claims_enriched(claims, members, providers))
+    assert "Exchange hashpartitioning" not in text and text.count("BroadcastHashJoin") >= 2

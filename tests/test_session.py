@@ -8,10 +8,9 @@ from stratalake.session import run_folder, shared_folder
 class FakeSession:
     def __init__(self, master, folder=None):
         self.set_to = []
-        self.settings = {"spark.checkpoint.dir": folder} if folder else {}
-        self.conf = SimpleNamespace(get=lambda k, d=None: self.settings.get(k, d), set=self.settings.__setitem__)
+        self.conf = SimpleNamespace(get=lambda key, default=None: folder or default)
         self.sparkContext = SimpleNamespace(
-            master=master, getCheckpointDir=lambda: self.set_to[-1] if self.set_to else None,
+            master=master, getCheckpointDir=lambda: f"{self.set_to[-1]}/some-id" if self.set_to else None,
             setCheckpointDir=self.set_to.append,
         )
 
@@ -29,7 +28,8 @@ def test_no_folder_on_a_cluster_is_an_error():
 
 def test_a_local_session_makes_one_and_keeps_it():
     session = FakeSession("local[2]")
-    assert shared_folder(session) == shared_folder(session)
+    assert shared_folder(session) == shared_folder(session) == session.set_to[0]
+    assert len(session.set_to) == 1
 
 
 def test_runs_do_not_share_folders(spark):
