@@ -13,7 +13,7 @@ from conformance.oracle import with_parts
 from stratalake import Lake, run_folder, watermark
 from stratalake import schemas as S
 from stratalake.functions import safe_date, safe_decimal, safe_int, safe_timestamp
-from stratalake.operators import frequent_keys, insert_only, latest_by, page, pages, unmatched, upsert
+from stratalake.operators import insert_only, keys_to_spread, latest_by, page, pages, unmatched, upsert
 from stratalake.plans import (
     SILVER_MODELS, audit_frame, build_silver, claims_enriched, load_batch, load_pharmacy_drops, member_360,
     read_bronze, refresh, schema_versions,
@@ -60,12 +60,9 @@ for _name in SILVER_MODELS:
 @query(with_parts("select * from gold_claims_enriched", "gold_claims_enriched"))
 def gold_claims_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = A.bronze_medical_claims(spark, sf_dir)
-    return claims_enriched(
-        build_silver("silver_medical_claims", bronze),
-        silver("silver_members", spark, sf_dir),
-        silver("silver_providers", spark, sf_dir),
-        frequent_keys(bronze, ["member_id", "provider_id"]),
-    )
+    members, providers = silver("silver_members", spark, sf_dir), silver("silver_providers", spark, sf_dir)
+    frequent = keys_to_spread(bronze, {"member_id": members, "provider_id": providers})
+    return claims_enriched(build_silver("silver_medical_claims", bronze), members, providers, frequent)
 
 
 @query(with_parts("select * from gold_member_360", "gold_member_360"))

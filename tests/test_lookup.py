@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import frequent_keys, lookup_join
+from stratalake.operators import broadcastable, frequent_keys, keys_to_spread, lookup_join
 from tests.helpers import final_plan, rows
 
 
@@ -37,7 +37,7 @@ def test_join_against_brute_force(spark, conf):
     conf(spark__sql__shuffle__partitions="16", spark__sql__autoBroadcastJoinThreshold="-1")
     fact, dimension, facts, members = fact_and_dimension(spark)
     want = sorted(((c, m, members.get(m)) for c, m in facts), key=repr)
-    for frequent in (None, {}, {"member_id": {"hot": 0.33}}, frequent_keys(fact, ["member_id"])):
+    for frequent in (None, {"member_id": {}}, {"member_id": {"hot": 0.33}}, frequent_keys(fact, ["member_id"])):
         got = lookup_join(fact, dimension, "member_id", "claim_id", frequent)
         assert rows(got, "claim_id", "member_id", "plan") == want
 
@@ -64,7 +64,7 @@ def test_both_sides_are_shuffled_for_the_join_so_aqe_can_split(spark, conf):
     members = spark.range(300).selectExpr("concat('m', id) AS member_id", "'p' AS plan").union(
         spark.createDataFrame([("hot", "X")], "member_id string, plan string")
     )
-    joined = lookup_join(facts, members.repartition("member_id"), "member_id", "claim_id")
+    joined = lookup_join(facts, members.repartition("member_id"), "member_id", "claim_id", {"member_id": {}})
     assert "SortMergeJoin(skew=true)" in final_plan(joined)
     assert joined.count() == 40000
 
@@ -73,3 +73,15 @@ def test_a_small_dimension_is_broadcast(spark):
     fact, dimension, *_ = fact_and_dimension(spark)
     joined = lookup_join(fact, dimension, "member_id", "claim_id")
     assert "BroadcastHashJoin" in final_plan(joined)
+
+
+def test_only_dimensions_too_large_to_broadcast_are_looked_at(spark, folder, conf):
+    conf(spark__sql__shuffle__partitions="40", spark__sql__autoBroadcastJoinThreshold="20KB")
+    fact, dimension, *_ = fact_and_dimension(spark)
+    spark.range(20000).selectExpr("concat('c', id) AS claim_id", "uuid() AS note").write.parquet(str(folder / "large"))
+    dimension.write.parquet(str(folder / "small"))
+    large, small = spark.read.parquet(str(folder / "large")), spark.read.parquet(str(folder / "small"))
+    assert broadcastable(small) and not broadcastable(large)
+    assert keys_to_spread(fact, {"member_id": small}) == {}
+    assert list(keys_to_spread(fact, {"member_id": large, "claim_id": small})["member_id"]) == ["hot"]
+    assert keys_to_spread(fact, {"member_id": small, "claim_id": large}) == {"claim_id": {}}
