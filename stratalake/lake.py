@@ -54,11 +54,13 @@ class Lake:
 
     # -- insert-only tables --------------------------------------------------
 
-    def append_load(self, layer: str, name: str, df: DataFrame, load_id: str) -> str:
-        """Add one load. Writing a load again replaces it, so a retry adds nothing."""
+    def append_load(self, layer: str, name: str, df: DataFrame, load_id: str, replace: bool = False) -> int:
+        """Add rows to a load's folder, or ``replace`` what is there; returns how many were added."""
         path = f"{self.path(layer, name)}/load_id={load_id}"
-        df.write.mode("overwrite").parquet(path)
-        return path
+        stored = self.spark.read.schema(df.schema)
+        before = stored.parquet(path).count() if not replace and self.exists(path) else 0
+        df.write.mode("overwrite" if replace else "append").parquet(path)
+        return stored.parquet(path).count() - before
 
     def read_loads(self, layer: str, name: str, schema: T.StructType, but: str | None = None) -> DataFrame:
         """All loads of a table, or all but the one named ``but``."""

@@ -73,11 +73,14 @@ def load_batch(
     since: str | None = None,
     full_audit: bool = True,
     required: Sequence[str] = (),
+    fixed_batch: bool = False,
 ) -> LoadAudit:
     """Merge a batch into its bronze table, then move the watermark.
 
-    The batch is staged first, so its source is read once. The same ``load_id``
-    may be loaded again after a failure: its rows are replaced, not doubled.
+    The batch is staged first, so its source is read once. Loading again after
+    a failure adds only what is missing. With ``fixed_batch`` the ``load_id``
+    stands for exactly this batch, as a stream's does, and a second load
+    replaces the first, which also keeps rows with a NULL key from doubling.
     ``full_audit=False`` leaves two counts out of an insert-only load's audit:
     distinct keys, which shuffles the batch's keys once more, and the whole
     table, which opens every file's footer. Rows without one of the
@@ -86,14 +89,14 @@ def load_batch(
     load_id = load_id or datetime.now().strftime("%Y%m%dT%H%M%S%f")
     staged_at, staged = lake.stage(spec.name, as_text(batch.select(*spec.batch_columns)), load_id)
     try:
-        return _merge_staged(lake, spec, staged, load_id, loaded_at, since, full_audit, required)
+        return _merge_staged(lake, spec, staged, load_id, loaded_at, since, full_audit, required, fixed_batch)
     finally:
         lake.remove(staged_at)
 
 
 def _merge_staged(
     lake: Lake, spec: TableSpec, staged: DataFrame, load_id: str, loaded_at: str | None, since: str | None,
-    full_audit: bool, required: Sequence[str],
+    full_audit: bool, required: Sequence[str], fixed_batch: bool,
 ) -> LoadAudit:
     rows_in = staged.count()
     if not rows_in:
@@ -104,8 +107,7 @@ def _merge_staged(
     incomplete = 0
     if required:
         staged, lacking = split_incomplete(staged, required)
-        apart = lake.append_load("bronze", f"incomplete_{spec.name}", lacking, load_id)
-        incomplete = lake.spark.read.schema(lacking.schema).parquet(apart).count()
+        incomplete = lake.append_load("bronze", f"incomplete_{spec.name}", lacking, load_id, fixed_batch)
 
     clock = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
     one_per_key = latest_by(staged, spec.key, spec.order_by, spec.newest)
@@ -121,12 +123,13 @@ def _merge_staged(
         inserted = rows_total - rows_before
         updated = keys - inserted
     else:
-        target = lake.read_loads("bronze", spec.bronze_name, spec.bronze_schema, but=load_id)
+        but = load_id if fixed_batch else None
+        target = lake.read_loads("bronze", spec.bronze_name, spec.bronze_schema, but)
         files = _batch_files(staged) if SOURCE_FILE in spec.key else None
         within = {SOURCE_FILE: files} if files else None
         fresh = unmatched(one_per_key, target, spec.key, within, batch_keys)
-        written = lake.append_load("bronze", spec.bronze_name, fresh.withColumn(LOADED_AT, clock), load_id)
-        inserted, updated = lake.spark.read.schema(spec.bronze_schema).parquet(written).count(), 0
+        fresh = fresh.withColumn(LOADED_AT, clock)
+        inserted, updated = lake.append_load("bronze", spec.bronze_name, fresh, load_id, fixed_batch), 0
         rows_total = read_bronze(lake, spec).count() if full_audit else None
 
     newest = None

@@ -48,12 +48,14 @@ def test_readers_of_the_version_before_go_on(spark, lake):
     assert not lake.exists(f"{lake.path('silver', 't')}/v=1")
 
 
-def test_a_load_written_again_replaces_itself(spark, lake):
-    lake.append_load("bronze", "t", numbers(spark, 1), "a")
-    lake.append_load("bronze", "t", numbers(spark, 2), "b")
-    lake.append_load("bronze", "t", numbers(spark, 3), "b")
+def test_a_load_written_again(spark, lake):
+    assert lake.append_load("bronze", "t", numbers(spark, 1), "a") == 1
+    assert lake.append_load("bronze", "t", numbers(spark, 2), "b") == 1
+    assert lake.append_load("bronze", "t", numbers(spark, 3, 4), "b") == 2
     schema = numbers(spark).schema
-    assert rows(lake.read_loads("bronze", "t", schema)) == [(1,), (3,)]
+    assert rows(lake.read_loads("bronze", "t", schema)) == [(1,), (2,), (3,), (4,)]
+    assert lake.append_load("bronze", "t", numbers(spark, 5), "b", replace=True) == 1
+    assert rows(lake.read_loads("bronze", "t", schema)) == [(1,), (5,)]
     assert rows(lake.read_loads("bronze", "t", schema, but="b")) == [(1,)]
 
 

@@ -48,11 +48,20 @@ def test_staging_is_gone_after_a_load(lake, folder):
     assert not lake.exists(f"{lake.path('staging', 'pharmacy_claims')}/l1")
 
 
-def test_a_load_retried_under_its_id_is_whole(spark, lake, folder):
+def test_a_load_id_used_again_loses_nothing(lake, folder):
     drop(folder, "a.csv", V1, claim(1), claim(2))
     load_pharmacy_drops(lake, str(folder), "l1", LOADED)
+    (folder / "a.csv").unlink()
+    drop(folder, "b.csv", V1, claim(3))
     again = load_pharmacy_drops(lake, str(folder), "l1", LATER)
-    assert (again.rows_inserted, again.rows_total) == (2, 2)
+    assert (again.rows_inserted, again.rows_total) == (1, 3)
+
+
+def test_a_fixed_batch_loaded_again_replaces_itself(spark, lake):
+    made = batch(spark, MEDICAL_CLAIMS, {"claim_id": "MC1"}, {"claim_id": None})
+    for _ in range(2):
+        audit = load_batch(lake, MEDICAL_CLAIMS, made, "l1", fixed_batch=True)
+        assert (audit.rows_inserted, audit.rows_total) == (2, 2)
 
 
 def test_incomplete_rows_can_be_set_aside(lake, folder):

@@ -37,6 +37,17 @@ def test_a_micro_batch_run_again_adds_nothing(spark, lake, folder):
     assert read_bronze(lake, PHARMACY_CLAIMS).count() == 1
 
 
+def test_streams_of_two_folders_do_not_share_loads(spark, lake, folder):
+    queries = []
+    for name in ("one", "two"):
+        (folder / name).mkdir()
+        drop(folder / name, f"{name}.csv", V1, claim(1))
+        queries.append(run(follow_pharmacy_drops(lake, str(folder / name), str(folder / f"{name}-checkpoint"))))
+    assert rows(read_bronze(lake, PHARMACY_CLAIMS), "_source_file") == [("one.csv",), ("two.csv",)]
+    loads = [n for n in lake.children(lake.path("bronze", "bronze_pharmacy_claims")) if n.startswith("load_id=")]
+    assert sorted(loads) == sorted(f"load_id=stream-{q.id}-000000000000" for q in queries)
+
+
 def test_a_failed_micro_batch_is_completed_on_restart(spark, lake, folder, monkeypatch):
     drops, mark = folder / "drops", str(folder / "checkpoint")
     drops.mkdir()
@@ -51,6 +62,7 @@ def test_a_failed_micro_batch_is_completed_on_restart(spark, lake, folder, monke
         assert query.exception() is not None
     run(follow_pharmacy_drops(lake, str(drops), mark))
     assert rows(read_bronze(lake, PHARMACY_CLAIMS), "claim_id") == [("RX1",)]
+    assert len([n for n in lake.children(lake.path("bronze", "bronze_pharmacy_claims")) if "load_id=" in n]) == 1
 
 
 def test_events_are_taken_however_late(spark, lake, folder):
