@@ -40,5 +40,9 @@ def safe_date(value: Column | str) -> Column:
 
 
 def iso_text(value: Column | str) -> Column:
-    """ISO text with a fixed six-digit fraction, so text order is time order."""
-    return F.date_format(_column(value), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    """ISO text of a zone-free timestamp, whatever the session's zone.
+
+    The fraction always has six digits, so text order is time order.
+    """
+    text = F.translate(_column(value).cast("timestamp_ntz").cast("string"), " ", "T")
+    return F.rpad(F.concat(text, F.when(F.length(text) == 19, ".").otherwise("")), 26, "0")

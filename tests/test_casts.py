@@ -53,3 +53,9 @@ def test_iso_text_orders_like_time(spark):
     texts = ["2026-07-02 10:00:00", "2026-07-02 10:00:00.5", "2026-07-02 10:00:00.25"]
     got = cast_all(spark, texts, lambda c: iso_text(F.col(c).cast("timestamp_ntz")))
     assert got == ["2026-07-02T10:00:00.000000", "2026-07-02T10:00:00.500000", "2026-07-02T10:00:00.250000"]
+
+
+def test_iso_text_does_not_depend_on_the_zone(spark, conf):
+    conf(spark__sql__session__timeZone="America/New_York")
+    made = lambda c: iso_text(F.col(c).cast("timestamp_ntz"))
+    assert cast_all(spark, ["2026-03-08 02:30:00", None], made) == ["2026-03-08T02:30:00.000000", None]
