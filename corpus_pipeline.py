@@ -8,19 +8,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm.jaccard_join import jaccard_components
+from stratalake.llm.packing import pack
+from stratalake.llm.paragraph_dedup import remove_repeats
+from stratalake.llm.quality import keep_good, train
 from stratalake.llm.tables import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps; it is trained on the rated ones among them."""
+    return keep_good(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies: five-word shingles, similarity of 0.8 or more."""
-    groups = jaccard_components(docs, size=5, percent=80).where("doc_id = component_id").select("doc_id")
-    return docs.join(groups.distinct(), "doc_id", "left_semi").select(docs.columns)
+    kept = jaccard_components(docs, size=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that an earlier one has; those of which nothing is left go."""
+    cut = remove_repeats(docs)
+    left = cut.where("removed_words = 0 or text rlike '[^ \\t-\\r]'")
+    return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces in sequences of 2048 tokens."""
+    return pack(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", good_documents),
     ("ngram_jaccard_join", one_of_each_group),
+    ("substring_dedup", without_repeats),
+    ("best_fit_packing", packed),
 ]
 
 #: The stages train a model, hash and pack: SQL cannot express them.

@@ -8,15 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.llm import oracle as O
 from stratalake.llm.jaccard_join import jaccard_components
+from stratalake.llm.packing import pack
+from stratalake.llm.paragraph_dedup import remove_repeats
+from stratalake.llm.quality import scores, train
 from stratalake.llm.tables import table
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "text", "repeated_spans", "removed_words")
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return scores(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    f.__name__: f for f in (
+        op2_best_fit_packing, op5_substring_dedup, op8_ngram_jaccard_join, op10_quality_classifier,
+    )
 }
 ORACLE: dict[str, str] = {
     "op8_ngram_jaccard_join": O.NGRAM_JACCARD_JOIN,
