@@ -3,14 +3,14 @@
 Two sets whose Jaccard similarity is at least g and of which the larger has at
 most r elements differ in at most k = floor(2 r (1 - g) / (1 + g)) elements.
 Sizes are cut into bands; for each band the domain of shingles is dealt out to
-parts. With n1 first-level parts of n2 second-level parts each, some first-level
-part holds at most k2 = floor(k / n1) of the differing elements, so at least
-n2 - k2 of its second-level parts are equal in both sets. Each set therefore
-emits, for every first-level part, one signature for every choice of n2 - k2
-second-level parts, and linked sets share a signature. Bands up to ``SMALL``
-have k2 <= 2 and n2 = 5, larger ones k2 <= 1 and n2 = 3, so that a signature rests
-on some eight elements. A set takes part in its own band and, when a larger
-partner may be in the next band, in that one as well.
+parts. With n1 = floor(k / 2) + 1 first-level parts of n2 second-level parts each,
+some first-level part holds at most one of the differing elements, so all but one
+of its second-level parts are equal in both sets. Each set therefore emits, for
+every first-level part, one signature for every choice of n2 - 1 second-level
+parts, and linked sets share a signature. Small sets are often of similar make
+without being linked, so bands up to ``SMALL`` have n2 = 8, larger ones n2 = 3; a
+signature rests on some ten elements. A set takes part in its own band and, when a
+larger partner may be in the next band, in that one as well.
 
 In bands above ``SMALL`` a signature of parts without any element is left out, as
 it says nothing and would be shared by unrelated sets. As the parts are dealt by a
@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +35,12 @@ from stratalake.llm.words import WordHashes, hash_words, mix, rows_of, shingle_s
 
 #: Bands of sizes grow by this factor.
 BAND_GROWTH = 1.35
-#: Largest set of the bands with more, smaller second-level parts.
+#: Largest set of the bands with more second-level parts.
 SMALL = 300
 #: Counters of a sketch: how many shingles of a set fall into each of so many cells.
-CELLS = 192
+CELLS = 96
+#: Members of a bucket that are compared with as many others at a time.
+BLOCK = 256
 
 
 def band_of(size: int) -> tuple[int, int]:
@@ -59,37 +60,36 @@ def differing(top: int, percent: int) -> int:
     return 2 * top * (100 - percent) // (100 + percent)
 
 
-def band_signatures(values: np.ndarray, number: int, top: int, percent: int) -> np.ndarray:
-    """The signatures of a set in one band."""
+def band_signatures(dealt: np.ndarray, worth: np.ndarray, number: int, top: int, percent: int) -> np.ndarray:
+    """The signatures of a set in one band; a place and a value per element."""
     k = differing(top, percent)
-    large = top > SMALL
-    n1 = k // (2 if large else 3) + 1
-    k2 = k // n1
-    n2 = (3 if large else 5) if k2 else 1  # without differing elements the whole set is its signature
-    place = (mix(values, 11) % np.uint64(n1 * n2)).astype(np.int64)
+    n1 = k // 2 + 1
+    n2 = (3 if top > SMALL else 8) if k else 1  # without differing elements the whole set is its signature
     sums = np.zeros(n1 * n2, np.uint64)
-    np.add.at(sums, place, mix(values, 13))
+    np.add.at(sums, (dealt % np.uint64(n1 * n2)).astype(np.int64), worth)
     sums = sums.reshape(n1, n2)
     base = mix(np.arange(n1, dtype=np.uint64) + np.uint64(number * 1_000_003), 17)
     found = []
-    for parts in combinations(range(n2), n2 - k2):
+    for left_out in range(n2):
+        parts = [part for part in range(n2) if part != left_out or not k]
         own = base
         for part in parts:
             own = mix(own ^ sums[:, part], 20 + part)
-        found.append(own[sums[:, parts].any(axis=1)] if large else own)
+        found.append(own[sums[:, parts].any(axis=1)] if top > SMALL else own)
     return np.concatenate(found)
 
 
 def set_signatures(values: np.ndarray, percent: int) -> np.ndarray:
     if not len(values):
         return values
+    dealt, worth = mix(values, 11), mix(values, 13)
     number, top = band_of(len(values))
-    found = [band_signatures(values, number, top, percent)]
+    found = [band_signatures(dealt, worth, number, top, percent)]
     while True:
         number, top_next = next_band(number, top)
         if 100 * len(values) < percent * (top + 1):  # no partner is that large
             return np.unique(np.concatenate(found))
-        found.append(band_signatures(values, number, top_next, percent))
+        found.append(band_signatures(dealt, worth, number, top_next, percent))
         top = top_next
 
 
@@ -183,16 +183,20 @@ def _linked_pairs(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, summaries: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that are linked: first by sizes and sketches, then exactly."""
-    side = lambda s: summaries.select(
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose sizes and sketches let them be linked."""
+    side = lambda s: sketches.select(
         F.col("doc_id").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
     near = (
         pairs.join(side("a"), "a").join(side("b"), "b")
         .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
         .mapInArrow(_near_sketches(percent), "a long, b long")
     )
-    near = written(near, "near")
+    return written(near, "near")
+
+
+def _exact(near: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose whole sets are linked."""
     needed = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
     whole = texts.join(needed, "doc_id", "left_semi").mapInArrow(_whole_sets(size), "doc_id long, shingles binary")
     whole = written(whole, "sets")
@@ -240,12 +244,11 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
         member.select(F.col("doc_id").alias(column), F.col("rep").alias(new)).distinct(), column)
     stars = reps(reps(pairs, "doc_id", "a"), "hub", "b").where("a <> b")
     stars = written(stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
-    links = _verified(stars, texts, sketches, size, percent)
+    links = _exact(_near(stars, sketches, percent), texts, size, percent)
     same = member.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     labels = components(links.union(same))
 
-    rest = _across(pairs, buckets, member, labels)
-    more = _verified(rest, texts, sketches, size, percent)
+    more = _exact(_across(pairs, buckets, member, labels, sketches, percent), texts, size, percent)
     if not more.isEmpty():
         labels = components(links.union(more).union(same))
     return summaries.join(labels.distinct(), summaries["doc_id"] == labels["node"], "left").select(
@@ -253,8 +256,38 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
     )
 
 
-def _across(pairs: DataFrame, buckets: DataFrame, member: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of representatives that share a bucket and are in different components so far."""
+def _near_in_blocks(percent: int):
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                members = batch.column("members")[row].values
+                first = np.flatnonzero(members.field("block").to_numpy() == batch.column("low")[row].as_py())
+                second = np.flatnonzero(members.field("block").to_numpy() == batch.column("high")[row].as_py())
+                ids, group, sizes = (members.field(c).to_numpy() for c in ("rep", "component", "n_shingles"))
+                cells = np.frombuffer(b"".join(members.field("sketch").to_pylist()), np.uint8).reshape(-1, CELLS)
+                cells = cells.astype(np.int16)
+                a, b = [], []
+                for x in first:
+                    y = second[(group[second] != group[x]) & (100 * np.minimum(sizes[second], sizes[x])
+                                                              >= percent * np.maximum(sizes[second], sizes[x]))]
+                    most = (sizes[y] + sizes[x]) * (100 - percent) // (100 + percent)
+                    y = y[np.abs(cells[y] - cells[x]).sum(axis=1) <= most]
+                    a.append(np.maximum(ids[y], ids[x]))
+                    b.append(np.minimum(ids[y], ids[x]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    return run
+
+
+def _across(
+    pairs: DataFrame, buckets: DataFrame, member: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int,
+) -> DataFrame:
+    """Pairs of representatives of different components that share a bucket and whose sketches let them be linked.
+
+    Buckets with the same members count once. A bucket is compared in blocks of
+    at most ``BLOCK`` members, pair of blocks by pair of blocks; only the pairs
+    that may be linked leave a task.
+    """
     named = written(
         member.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id").distinct(), "named",
     )
@@ -265,13 +298,21 @@ def _across(pairs: DataFrame, buckets: DataFrame, member: DataFrame, labels: Dat
     )
     open_buckets = buckets.join(written(open_pairs, "open"), ["doc_id", "hub"], "left_semi").select("signature").distinct()
     inside = buckets.join(written(open_buckets, "open"), "signature", "left_semi")
-    inside = inside.select("signature", "doc_id").union(inside.select("signature", F.col("hub")))
+    inside = inside.select("signature", "doc_id").union(inside.select("signature", F.col("hub")).distinct())
     inside = written(inside.join(named, "doc_id").select("signature", "rep", "component").distinct(), "inside")
-    groups = inside.select("signature", "component").distinct()
-    left = groups.select("signature", F.col("component").alias("c_a"))
-    right = groups.select("signature", F.col("component").alias("c_b"))
-    crossing = written(left.join(right, "signature").where("c_a < c_b"), "crossing")
-    a = inside.select("signature", F.col("component").alias("c_a"), F.col("rep").alias("a"))
-    b = inside.select("signature", F.col("component").alias("c_b"), F.col("rep").alias("b"))
-    found = crossing.join(a, ["signature", "c_a"]).join(b, ["signature", "c_b"])
-    return written(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "across")
+    content = inside.groupBy("signature").agg(
+        F.bit_xor(F.xxhash64("rep")).alias("content"), F.count("*").alias("n"))
+    once = content.groupBy("content", "n").agg(F.min("signature").alias("signature"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    inside = inside.join(written(once.select("signature", blocks.alias("blocks")), "once"), "signature")
+    inside = inside.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(3)), F.col("blocks")).cast("int"))
+    own = sketches.select(F.col("doc_id").alias("rep"), "n_shingles", "sketch")
+    dealt = written(inside.select("signature", "rep", "component", "blocks", "block").join(own, "rep"), "dealt")
+    alone = dealt.where("blocks = 1").select("*", F.lit(0).alias("low"), F.lit(0).alias("high"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    split = dealt.where("blocks > 1").select("*", other).select(
+        *dealt.columns, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    grouped = alone.union(split).groupBy("signature", "low", "high").agg(
+        F.collect_list(F.struct("rep", "component", "n_shingles", "sketch", "block")).alias("members"))
+    near = grouped.mapInArrow(_near_in_blocks(percent), "a long, b long").distinct()
+    return written(near, "across")
