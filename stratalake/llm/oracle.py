@@ -25,3 +25,20 @@ reach(node, other) as (
 select g.doc_id, cast(len(g.g) as bigint) as n_shingles, min(other) as component_id
 from grams g join reach on node = g.doc_id group by g.doc_id, len(g.g)
 """
+
+_CONTROL = r"'([<\[])(\\*)(/?INST\]|</?SYS>>|/?s>|\|(?:role|text|end)\|>)', '\1\\\2\3', 'g'"
+
+CHAT_FORMATTING = rf"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+shown as (
+    select *, length(regexp_replace(text, {_CONTROL})) as n, length(regexp_replace(role, {_CONTROL})) as r from turns)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+    cast(sum(n + case role when 'user' then 15 when 'assistant' then 4 when 'system' then 15 else r + 23 end) as bigint)
+        as formatted_chars
+from shown group by conv_id
+"""

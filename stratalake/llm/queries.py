@@ -6,12 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.llm import chat
 from stratalake.llm import oracle as O
 from stratalake.llm.jaccard_join import jaccard_components
 from stratalake.llm.packing import pack
 from stratalake.llm.paragraph_dedup import remove_repeats
+from stratalake.llm.piece_codec import digests
 from stratalake.llm.quality import scores, train
 from stratalake.llm.tables import table
+from stratalake.llm.token_files import token_file_rows
+
+#: Texts of conversation -1: control strings of a common chat template.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).selectExpr(
+        "-1L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role", f"'{CONTROL_TEXT}' as text")
+    turns = chat.canonical_turns(rows.unionByName(more), "conv_id")
+    return chat.digest(chat.formatted(turns), "conv_id")
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,10 +37,18 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "text", "repeated_spans", "removed_words")
 
 
+def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_rows(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op9_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return scores(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -34,9 +56,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_best_fit_packing, op5_substring_dedup, op8_ngram_jaccard_join, op10_quality_classifier,
+        op1_chat_formatting, op2_best_fit_packing, op5_substring_dedup, op6_token_id_output, op8_ngram_jaccard_join,
+        op9_sentencepiece_codec, op10_quality_classifier,
     )
 }
 ORACLE: dict[str, str] = {
+    "op1_chat_formatting": O.CHAT_FORMATTING,
     "op8_ngram_jaccard_join": O.NGRAM_JACCARD_JOIN,
 }

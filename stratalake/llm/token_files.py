@@ -68,16 +68,14 @@ class EliasFano:
         """The i-th number: from the nearest sample, then over the bytes after it."""
         at, left = int(self.samples[i // SAMPLED]), i % SAMPLED
         byte, skip = at // 8, at % 8
-        window = self.upper[byte:byte + 64]
-        while left:
-            bits = np.unpackbits(window, bitorder="little")[skip:]
-            ones = np.flatnonzero(bits)
+        while True:
+            window = self.upper[byte:byte + 64]
+            ones = np.flatnonzero(np.unpackbits(window, bitorder="little")[skip:])
             if len(ones) > left:
                 at = 8 * byte + skip + int(ones[left])
                 break
             left -= len(ones)
             byte, skip = byte + len(window), 0
-            window = self.upper[byte:byte + 64]
         first = i * self.low_bits
         low = np.unpackbits(self.low[first // 8:(first + self.low_bits + 7) // 8], bitorder="little")
         low = low[first % 8:first % 8 + self.low_bits].astype(np.int64)
