@@ -42,3 +42,37 @@ select conv_id, count(*) as n_turns,
         as formatted_chars
 from shown group by conv_id
 """
+
+EMBEDDING_NEAR_DEDUP = """
+with recursive units as (
+    select vec_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) as u
+    from (select vec_id, cast(embedding as double[]) as v from embeddings)
+    where v is not null and len(v) > 0 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+        and list_dot_product(v, v) > 0),
+edges as (
+    select x.vec_id as a, y.vec_id as b from units x join units y on x.vec_id <> y.vec_id and len(x.u) = len(y.u)
+    where list_dot_product(x.u, y.u) >= 0.95),
+reach(node, other) as (
+    select vec_id, vec_id from embeddings union select r.node, e.b from reach r join edges e on e.a = r.other),
+named as (select node as vec_id, min(other) as component_id from reach group by node)
+select n.vec_id, (select count(*) from edges e where e.a = n.vec_id) as n_links, component_id,
+    n.vec_id = component_id as kept
+from named n
+"""
+
+EXACT_TOP_K_SEARCH = rf"""
+with words as (
+    select doc_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+tf as (select doc_id, term, count(*) as n from words group by all),
+lengths as (select doc_id, sum(n) as len from tf group by doc_id),
+corpus as (select (select count(*) from documents) as docs, (select sum(len) from lengths) as total),
+idf as (
+    select term, ln(1 + ((select docs from corpus) - count(*) + 0.5) / (count(*) + 0.5)) as idf from tf group by term),
+scored as (
+    select q.doc_id as query_id, d.doc_id, round(sum(q.n * idf * d.n * 2.2
+        / (d.n + 1.2 * (0.25 + 0.75 * len / (select total / docs from corpus)))), 6) as score
+    from tf q join tf d using (term) join idf using (term) join lengths on lengths.doc_id = d.doc_id
+    where q.doc_id % 100 = 0 group by all)
+select query_id, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank, doc_id, score
+from scored qualify rank <= 10
+"""

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.llm import chat
 from stratalake.llm import oracle as O
+from stratalake.llm.bm25 import top_k
+from stratalake.llm.html_main import extract_main_text
 from stratalake.llm.jaccard_join import jaccard_components
 from stratalake.llm.packing import pack
 from stratalake.llm.paragraph_dedup import remove_repeats
@@ -15,6 +17,7 @@ from stratalake.llm.piece_codec import digests
 from stratalake.llm.quality import scores, train
 from stratalake.llm.tables import table
 from stratalake.llm.token_files import token_file_rows
+from stratalake.llm.vector_dups import near_duplicate_vectors
 
 #: Texts of conversation -1: control strings of a common chat template.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -32,6 +35,15 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op4_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return top_k(docs, docs.where("doc_id % 100 = 0").selectExpr("doc_id as query_id", "text"), k=10)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "text", "repeated_spans", "removed_words")
@@ -41,6 +53,10 @@ def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_rows(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
 
@@ -56,11 +72,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_chat_formatting, op2_best_fit_packing, op5_substring_dedup, op6_token_id_output, op8_ngram_jaccard_join,
-        op9_sentencepiece_codec, op10_quality_classifier,
+        op1_chat_formatting, op2_best_fit_packing, op3_html_extraction, op4_exact_top_k_search, op5_substring_dedup,
+        op6_token_id_output, op7_embedding_near_dedup, op8_ngram_jaccard_join, op9_sentencepiece_codec,
+        op10_quality_classifier,
     )
 }
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": O.CHAT_FORMATTING,
+    "op4_exact_top_k_search": O.EXACT_TOP_K_SEARCH,
+    "op7_embedding_near_dedup": O.EMBEDDING_NEAR_DEDUP,
     "op8_ngram_jaccard_join": O.NGRAM_JACCARD_JOIN,
 }
