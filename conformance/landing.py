@@ -18,12 +18,9 @@ def write_csv_drops(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """One drop per month: nine columns before the cutoff, ten from then on."""
     rows = A.pharmacy_drop_rows(spark, sf_dir).withColumnRenamed(S.SOURCE_FILE, "drop")
     first_v2 = f"pharmacy_claims_{A.NPI_CUTOFF.replace('-', '')}_00.csv"
-    for part, frame in (
-        ("v1", rows.where(F.col("drop") < first_v2).drop("pharmacy_npi")),
-        ("v2", rows.where(F.col("drop") >= first_v2)),
-    ):
-        writer = frame.write.partitionBy("drop").option("header", True).option("escape", '"')
-        writer.csv(f"{folder}/{part}")
+    for frame in (rows.where(F.col("drop") < first_v2).drop("pharmacy_npi"), rows.where(F.col("drop") >= first_v2)):
+        writer = frame.hint("rebalance", "drop").write.mode("append").partitionBy("drop")
+        writer.option("header", True).option("escape", '"').csv(folder)
 
 
 def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,14 +35,16 @@ def operational_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
     """Typed tables as a database would serve them.
 
     The given rows are older than the first watermark, so their update times
-    are moved up by a fixed number of days, which keeps their order.
+    are moved up by a fixed number of days, which keeps their order. A database
+    has an update time for every row: where the given one is none, it is the time of creation.
     """
     dates, times = ("service_date", "date_of_birth", "effective_date"), ("created_at", "updated_at")
     amounts = ("billed_amount", "allowed_amount")
 
     def typed(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
         return bronze.select(*[
-            (safe_timestamp(c) + F.expr("INTERVAL 4000 DAYS") if c == spec.watermark_column
+            (F.coalesce(safe_timestamp(c), safe_timestamp("created_at")) + F.expr("INTERVAL 4000 DAYS")
+             if c == spec.watermark_column
              else safe_date(c) if c in dates else safe_timestamp(c) if c in times
              else safe_decimal(c, 12, 2) if c in amounts else F.col(c)).alias(c)
             for c in spec.columns

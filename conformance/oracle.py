@@ -131,7 +131,7 @@ SILVER = {
     ),
     "silver_pharmacy_claims": _newest(
         "bronze_pharmacy_claims", "claim_id", "_loaded_at",
-        _try("integer", "quantity", "days_supply") | _try("timestamp", "fill_time")
+        _try("bigint", "quantity", "days_supply") | _try("timestamp", "fill_time")
         | _try("decimal(10,2)", "ingredient_cost", "copay_amount")
         | {"pharmacy_npi": "ifnull(pharmacy_npi, 'UNKNOWN')"},
         "member_id", "ndc_code", "drug_name", "quantity", "days_supply", "fill_time", "ingredient_cost",

@@ -13,13 +13,15 @@ from conformance.oracle import with_parts
 from stratalake import Lake, run_folder, watermark
 from stratalake import schemas as S
 from stratalake.functions import safe_date, safe_decimal, safe_int, safe_timestamp
-from stratalake.operators import insert_only, keys_to_spread, latest_by, page, pages, unmatched, upsert
+from stratalake.operators import (
+    frequent_keys, insert_only, keys_to_spread, latest_by, page, pages, unmatched, upsert,
+)
 from stratalake.plans import (
     SILVER_MODELS, audit_frame, build_silver, claims_enriched, load_batch, load_pharmacy_drops, member_360,
     read_bronze, refresh, schema_versions,
 )
 from stratalake.session import empty_frame
-from stratalake.sources import as_text, changed_since, event_pages, events_since, split_incomplete
+from stratalake.sources import as_text, broken_pages, changed_since, event_pages, events_since, split_incomplete
 from stratalake.streaming import follow_pharmacy_drops
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +67,23 @@ def gold_claims_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims_enriched(build_silver("silver_medical_claims", bronze), members, providers, frequent)
 
 
+_ONE_MEMBER = """
+  select * replace (case when cast(split_part(claim_id, '-', 1) as bigint) %% 3 = 0 then '1' else member_id end as member_id)
+  from (%s)"""
+
+
+@query(with_parts(
+    "select * from gold_claims_enriched", "gold_claims_enriched", replace={"bronze_medical_claims": _ONE_MEMBER},
+))
+def gold_claims_enriched_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the claims are one member's: their rows, and those of other frequent keys, are salted."""
+    one = F.split("claim_id", "-")[0].cast("long") % 3 == 0
+    bronze = A.bronze_medical_claims(spark, sf_dir).withColumn("member_id", F.when(one, "1").otherwise(F.col("member_id")))
+    members, providers = silver("silver_members", spark, sf_dir), silver("silver_providers", spark, sf_dir)
+    frequent = frequent_keys(bronze, ["member_id", "provider_id"])
+    return claims_enriched(build_silver("silver_medical_claims", bronze), members, providers, frequent)
+
+
 @query(with_parts("select * from gold_member_360", "gold_member_360"))
 def gold_member_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     return member_360(
@@ -84,7 +103,7 @@ def schema_version_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- casts --------------------------------------------------------------------
 
-@query("""
+@query(r"""
   with raw as (
     select o_orderkey,
       case o_orderpriority when '1-URGENT' then '30.6' when '2-HIGH' then ' 45 ' when '3-MEDIUM' then '1e2'
@@ -94,13 +113,23 @@ def schema_version_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
       case o_orderpriority when '1-URGENT' then strftime(o_orderdate, '%Y-%m')
         when '2-HIGH' then strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '.1234567'
         when '3-MEDIUM' then strftime(o_orderdate, '%Y-13-%d') when '5-LOW' then strftime(o_orderdate, '%Y%m%d')
-        else strftime(o_orderdate, '%Y-%m-%d %H:%M') end as moment
-    from orders)
-  select o_orderkey, try_cast(whole as integer) as whole, try_cast(amount as decimal(10,2)) as amount,
-    try_cast(moment as timestamp) as moment, try_cast(moment as date) as day from raw
+        else case when o_orderkey % 9 < 7 then strftime(o_orderdate, '%Y-%m-%d') || [' garbage', 'Tgarbage', ' 25:99:99', 'T10:00:00Z',
+          'T10:00:00+05:00', ' 10:00:00 x', 'x'][o_orderkey % 9 + 1]
+        when o_orderkey % 9 = 7 then '1' || strftime(o_orderdate, '%Y-%m-%d')
+        else strftime(o_orderdate, '%Y-%m-%d %H:%M') end end as moment
+    from orders),
+  -- a date, and a time if anything follows; what is written counts, whatever the zone
+  parts as (
+    select *, regexp_extract(moment, '^(\d{4}-\d{2}-\d{2})(?:[ T](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)(?:Z|[+-]\d{2}:\d{2})?)?$',
+      ['day', 'time']) as p from raw),
+  moments as (
+    select *, try_cast(case when p.time = '' then p.day else p.day || ' ' || p.time end as timestamp) as seen from parts)
+  select o_orderkey, try_cast(whole as bigint) as whole, try_cast(amount as decimal(10,2)) as amount,
+    seen as moment, cast(seen as date) as day from moments
 """)
 def safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority, status, day = F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_orderdate")
+    ninth = (F.col("o_orderkey") % 9).cast("int")
     raw = A.table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.when(priority == "1-URGENT", "30.6").when(priority == "2-HIGH", " 45 ").when(priority == "3-MEDIUM", "1e2")
@@ -111,6 +140,9 @@ def safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(priority == "2-HIGH", F.concat(F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".1234567")))
         .when(priority == "3-MEDIUM", F.date_format(day, "yyyy-'13'-dd"))
         .when(priority == "5-LOW", F.date_format(day, "yyyyMMdd"))
+        .when(ninth < 7, F.concat(F.date_format(day, "yyyy-MM-dd"), F.element_at(F.array(*[F.lit(x) for x in (
+            " garbage", "Tgarbage", " 25:99:99", "T10:00:00Z", "T10:00:00+05:00", " 10:00:00 x", "x")]), ninth + 1)))
+        .when(ninth == 7, F.date_format(day, "'1'yyyy-MM-dd"))
         .otherwise(F.date_format(day, "yyyy-MM-dd HH:mm")).alias("moment"),
     )
     return raw.select(
@@ -372,6 +404,95 @@ def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_pages(spark, folder)
 
 
+_PAGED = """, placed as (
+    select *, row_number() over (order by created_at, event_id, plan_code) - 1 as position, count(*) over () as total
+    from bronze_enrollment_events),
+  landed as (select *, position // 500 %% 4 as kind, position // 500 as page from placed)
+"""
+
+
+@query(with_parts(
+    (_PAGED + """
+      select 'not a page in JSON' as reason, count(distinct page) as n from landed where kind = 0
+      union all select 'no list of events', count(distinct page) from landed where kind = 1
+      union all select 'not as many events as it says', count(distinct page) from landed where kind = 2
+      union all select 'events read', count(*) from landed where kind > 1""").replace("%%", "%"),
+    "bronze_enrollment_events",
+))
+def broken_event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of which some are cut off, lack their list, or hold fewer events than they say."""
+    folder = f"{run_folder(spark, 'broken_pages')}/pages"
+    whole = pages(L.event_feed(spark, sf_dir), L.FEED_ORDER, L.PAGE_SIZE)
+    kind, line = F.floor(F.col("cursor") / L.PAGE_SIZE) % 4, F.to_json(F.struct("data", "count", "total_matched", "next_cursor"))
+    more = F.to_json(F.struct("data", (F.col("count") + 1).alias("count"), "total_matched", "next_cursor"))
+    whole.select(
+        F.when(kind == 0, F.substring(line, F.lit(1), (F.length(line) / 2).cast("int")))
+        .when(kind == 1, F.lit('{"data": null, "count": 5}')).when(kind == 2, more).otherwise(line).alias("value")
+    ).write.text(folder)
+    counts = broken_pages(spark, folder).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return counts.union(event_pages(spark, folder).agg(F.lit("events read").alias("reason"), F.count(F.lit(1)).alias("n")))
+
+
+@query(with_parts(
+    f"""select event_id, member_id, event_type, plan_code,
+         case when event_type = 'error' then 'noon' else event_time end as event_time, created_at
+       from bronze_enrollment_events where event_type = 'error' or cast(event_time as timestamp) >= timestamp '{SINCE}'""",
+    "bronze_enrollment_events",
+))
+def events_without_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose time cannot be read are pulled with those since the bound."""
+    time = F.when(F.col("event_type") == "error", "noon").otherwise(F.col("event_time"))
+    return events_since(L.event_feed(spark, sf_dir).withColumn("event_time", time), SINCE)
+
+
+@query("""
+  with feed as (select 'EV' || event_id as event_id, event_type, ts from events)
+  select event_id from feed
+  union all select 'FAR' where exists (select * from feed)""")
+def watermark_future_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An event dated 9999 comes between two loads: those after it are still pulled."""
+    lake, spec = Lake(spark, run_folder(spark, "future_times")), S.ENROLLMENT_EVENTS
+    rows = A.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("EV"), F.col("event_id")).alias("event_id"), F.col("user_id").cast("string").alias("member_id"),
+        "event_type", F.lit("P").alias("plan_code"), F.col("ts").cast("string").alias("event_time"),
+        F.col("ts").cast("string").alias("created_at"))
+    far = rows.orderBy("event_id").limit(1).withColumns({"event_id": F.lit("FAR"), "event_time": F.lit("9999-12-31 00:00:00")})
+    middle = rows.agg(F.expr("percentile_approx(timestamp(event_time), 0.5)").cast("timestamp_ntz").alias("t")).first()["t"]
+    early = safe_timestamp("event_time") <= F.lit(middle)
+    for load_id, part in (("1", rows.where(early)), ("2", far), ("3", rows.where(~early))):
+        since = watermark.read_since(lake, spec.source_name, spec.lookback)
+        load_batch(lake, spec, events_since(part, since), load_id, since=since)
+    return read_bronze(lake, spec).select("event_id")
+
+
+@query("""select 'RX' || o_orderkey as claim_id, d || '/x.csv' as _source_file from orders, (values ('d1'), ('d2')) t(d)""")
+def same_name_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops of one name in two folders are two sources: no claim of either is lost."""
+    root = run_folder(spark, "same_name")
+    rows = A.table(spark, sf_dir, "orders").select(F.concat(F.lit("RX"), F.col("o_orderkey")).alias("claim_id"))
+    for folder in ("d1", "d2"):
+        rows.write.option("header", True).csv(f"{root}/drops/{folder}/x.csv")
+    lake = Lake(spark, f"{root}/lake")
+    load_pharmacy_drops(lake, f"{root}/drops", "first", A.FIRST_LOAD)
+    return read_bronze(lake, S.PHARMACY_CLAIMS).select("claim_id", "_source_file")
+
+
+@query("""select cast(l_orderkey as varchar) as provider_id, l_returnflag as provider_name, cast(l_linenumber as varchar) as npi,
+    l_linestatus as specialty, '' as state_code, '' as created_at, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') as updated_at
+  from lineitem where l_shipdate > timestamp '1998-07-01 00:00:00' and l_quantity <> 1
+  union all select cast(l_orderkey as varchar), l_returnflag, cast(l_linenumber as varchar), l_linestatus, '', '', null
+  from lineitem where l_quantity = 1""")
+def table_pull_text_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update times as text, with a T, against a bound with a space; rows without one are pulled too."""
+    lines = A.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("provider_id"), F.col("l_returnflag").alias("provider_name"),
+        F.col("l_linenumber").cast("string").alias("npi"), F.col("l_linestatus").alias("specialty"),
+        F.lit("").alias("state_code"), F.lit("").alias("created_at"),
+        F.when(F.col("l_quantity") != 1, F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")).alias("updated_at"),
+    )
+    return changed_since(lines, S.PROVIDERS, "1998-07-01 00:00:00")
+
+
 _FEED = f"""select event_id, member_id, event_type, plan_code, event_time, created_at,
   row_number() over (order by created_at, event_id, plan_code) - 1 as position, count(*) over () as total
   from bronze_enrollment_events where cast(event_time as timestamp) >= timestamp '{{since}}'"""
@@ -462,8 +583,8 @@ _OPERATIONAL_CLAIMS = """
       cast(try_cast(billed_amount as decimal(12,2)) as varchar) as billed_amount,
       cast(try_cast(allowed_amount as decimal(12,2)) as varchar) as allowed_amount, claim_status,
       cast(try_cast(created_at as timestamp) as varchar) as created_at,
-      cast(try_cast(updated_at as timestamp) as varchar) as updated_at, _loaded_at
-    from (%s) where try_cast(updated_at as timestamp) is not null)
+      cast(coalesce(try_cast(updated_at as timestamp), try_cast(created_at as timestamp)) as varchar) as updated_at, _loaded_at
+    from (%s))
   qualify row_number() over (partition by claim_id order by updated_at desc nulls first,
     member_id nulls last, provider_id nulls last, diagnosis_code nulls last, procedure_code nulls last,
     service_date nulls last, billed_amount nulls last, allowed_amount nulls last, claim_status nulls last,

@@ -11,32 +11,36 @@ def _column(value: Column | str) -> Column:
 
 
 def safe_int(value: Column | str) -> Column:
-    """Whole number, halves away from zero: ``'30.6'`` is 31.
+    """Whole number of 64 bits, halves away from zero: ``'30.6'`` is 31.
 
     A direct string-to-int cast rejects a fraction, hence the decimal step,
     which rounds once from the full text.
     """
-    return _column(value).try_cast("decimal(38,0)").try_cast("int")
+    return _column(value).try_cast("decimal(38,0)").try_cast("bigint")
 
 
 def safe_decimal(value: Column | str, precision: int, scale: int) -> Column:
     return _column(value).try_cast(f"decimal({precision},{scale})")
 
 
-def _full_date_only(text: Column) -> Column:
-    """Spark reads ``2026`` and ``2026-07`` as dates; a year, month and day take 8 characters."""
-    return F.length(F.trim(text)) >= 8
+#: A whole date and nothing after it but a time of day, with or without a zone. Spark's own
+#: cast also takes years, months and dates with any text after them.
+MOMENT = r"^\s*(?!0000)\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?(Z|[+-]\d{1,2}:?\d{2})?)?\s*$"
 
 
 def safe_timestamp(value: Column | str) -> Column:
-    """Timestamp without zone from ``yyyy-MM-dd``, with ``T`` or a space before any time."""
+    """Timestamp without zone from ``yyyy-MM-dd``, with ``T`` or a space before any time.
+
+    Years are 0001 to 9999. A zone after the time is dropped: times count as they are written.
+    """
     text = _column(value)
-    return F.when(_full_date_only(text), text.try_cast("timestamp_ntz"))
+    moment = F.regexp_replace(text, r"(:\d{1,2}(?:\.\d{1,9})?)(?:Z|[+-]\d{1,2}:?\d{2})\s*$", "$1")
+    return F.when(text.rlike(MOMENT), moment.try_cast("timestamp_ntz"))
 
 
 def safe_date(value: Column | str) -> Column:
-    text = _column(value)
-    return F.when(_full_date_only(text), text.try_cast("date"))
+    """The day of ``safe_timestamp``: NULL as well if the time after the date is none."""
+    return safe_timestamp(value).cast("date")
 
 
 def iso_text(value: Column | str) -> Column:

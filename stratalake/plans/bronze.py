@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,17 +13,19 @@ from pyspark.sql import functions as F
 from stratalake import watermark
 from stratalake.lake import Lake
 from stratalake.operators import latest_by, unmatched, upsert
-from stratalake.schemas import ENROLLMENT_EVENTS, LOADED_AT, PHARMACY_CLAIMS, SOURCE_FILE, TableSpec
+from stratalake.schemas import ENROLLMENT_EVENTS, LOADED_AT, PHARMACY_CLAIMS, TableSpec
 from stratalake.session import empty_frame
-from stratalake.sources import as_text, changed_since, csv_drops, event_pages, events_since, split_incomplete
+from stratalake.sources import (
+    as_text, broken_pages, changed_since, csv_drops, event_pages, events_since, split_incomplete,
+)
 
 #: An operational table, or a function from a start time to the table.
 Source = DataFrame | Callable[[str], DataFrame]
 
 log = logging.getLogger(__name__)
 
-#: More source files than this in one batch are not worth a filter.
-MAX_FILE_FILTER = 1000
+#: Times further ahead of a load's clock than this do not move its watermark.
+AHEAD = "1 DAY"
 
 
 @dataclass(frozen=True)
@@ -58,12 +60,6 @@ def read_bronze(lake: Lake, spec: TableSpec) -> DataFrame:
     return lake.read_loads("bronze", spec.bronze_name, spec.bronze_schema)
 
 
-def _batch_files(batch: DataFrame) -> list[str] | None:
-    """The batch's source files, or None when there are too many for a filter."""
-    found = [r[0] for r in batch.select(SOURCE_FILE).distinct().limit(MAX_FILE_FILTER + 1).collect()]
-    return found if len(found) <= MAX_FILE_FILTER else None
-
-
 def load_batch(
     lake: Lake,
     spec: TableSpec,
@@ -74,6 +70,7 @@ def load_batch(
     full_audit: bool = True,
     required: Sequence[str] = (),
     fixed_batch: bool = False,
+    reset_watermark: bool = False,
 ) -> LoadAudit:
     """Merge a batch into its bronze table, then move the watermark.
 
@@ -84,19 +81,22 @@ def load_batch(
     ``full_audit=False`` leaves two counts out of an insert-only load's audit:
     distinct keys, which shuffles the batch's keys once more, and the whole
     table, which opens every file's footer. Rows without one of the
-    ``required`` columns go to the table ``incomplete_...`` instead.
+    ``required`` columns go to the table ``incomplete_...`` instead. Rows dated
+    more than ``AHEAD`` in the future are loaded but do not move the watermark;
+    ``reset_watermark`` sets it by this batch alone, as a full pull does.
     """
     load_id = load_id or datetime.now().strftime("%Y%m%dT%H%M%S%f")
     staged_at, staged = lake.stage(spec.name, as_text(batch.select(*spec.batch_columns)), load_id)
     try:
-        return _merge_staged(lake, spec, staged, load_id, loaded_at, since, full_audit, required, fixed_batch)
+        return _merge_staged(lake, spec, staged, load_id, loaded_at, since, full_audit, required, fixed_batch,
+                             reset_watermark)
     finally:
         lake.remove(staged_at)
 
 
 def _merge_staged(
     lake: Lake, spec: TableSpec, staged: DataFrame, load_id: str, loaded_at: str | None, since: str | None,
-    full_audit: bool, required: Sequence[str], fixed_batch: bool,
+    full_audit: bool, required: Sequence[str], fixed_batch: bool, reset_watermark: bool,
 ) -> LoadAudit:
     rows_in = staged.count()
     if not rows_in:
@@ -125,17 +125,16 @@ def _merge_staged(
     else:
         but = load_id if fixed_batch else None
         target = lake.read_loads("bronze", spec.bronze_name, spec.bronze_schema, but)
-        files = _batch_files(staged) if SOURCE_FILE in spec.key else None
-        within = {SOURCE_FILE: files} if files else None
-        fresh = unmatched(one_per_key, target, spec.key, within, batch_keys)
+        fresh = unmatched(one_per_key, target, spec.key, batch_keys=batch_keys)
         fresh = fresh.withColumn(LOADED_AT, clock)
         inserted, updated = lake.append_load("bronze", spec.bronze_name, fresh, load_id, fixed_batch), 0
         rows_total = read_bronze(lake, spec).count() if full_audit else None
 
     newest = None
     if spec.watermark_column:
-        seen = watermark.newest(staged, spec.source_name, spec.watermark_column)
-        newest = watermark.commit(lake, spec.source_name, seen)
+        until = F.greatest(clock, F.localtimestamp()) + F.expr(f"INTERVAL {AHEAD}")
+        seen = watermark.newest(staged, spec.source_name, spec.watermark_column, until)
+        newest = watermark.commit(lake, spec.source_name, seen, reset_watermark)
     audit = LoadAudit(spec.name, load_id, since, rows_in, keys, inserted, updated, rows_total, incomplete, newest)
     log.info("loaded %s", audit)
     return audit
@@ -165,11 +164,21 @@ def load_event_pages(
     loaded_at: str | None = None,
     **options: str,
 ) -> LoadAudit:
-    """Load landed event pages from the watermark, minus the lookback, on."""
+    """Load landed event pages from the watermark, minus the lookback, on.
+
+    Lines that are no whole page are kept in the table ``incomplete_event_pages``
+    and counted as incomplete; the pages around them are loaded.
+    """
     spec = ENROLLMENT_EVENTS
     since = watermark.read_since(lake, spec.source_name, lookback, full)
+    load_id = load_id or datetime.now().strftime("%Y%m%dT%H%M%S%f")
+    broken = broken_pages(lake.spark, folder, **options)
+    lost = lake.append_load("bronze", "incomplete_event_pages", broken, load_id, replace=True)
+    if lost:
+        log.warning("%s: %d broken pages, see incomplete_event_pages", spec.name, lost)
     events = events_since(event_pages(lake.spark, folder, **options), since)
-    return load_batch(lake, spec, events, load_id, loaded_at, since)
+    audit = load_batch(lake, spec, events, load_id, loaded_at, since, reset_watermark=full)
+    return replace(audit, rows_incomplete=audit.rows_incomplete + lost)
 
 
 def load_changed_table(
@@ -189,4 +198,5 @@ def load_changed_table(
     since = watermark.read_since(lake, spec.source_name, lookback or spec.lookback, full)
     if callable(source):
         source = source(since)
-    return load_batch(lake, spec, changed_since(source, spec, since), load_id, loaded_at, since)
+    changed = changed_since(source, spec, since)
+    return load_batch(lake, spec, changed, load_id, loaded_at, since, reset_watermark=full)

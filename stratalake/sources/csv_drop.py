@@ -24,21 +24,26 @@ READ_OPTIONS = {
 }
 
 
-def source_file(path: Column) -> Column:
-    """The drop a row came from.
+def source_file(path: Column, folder: str = "") -> Column:
+    """The drop a row came from: its path below the landing folder.
 
-    The last path part, without the suffix compression adds, so a plain and a
-    compressed copy count as one source. A drop may also be a folder of part
-    files, named after the drop. Plain string functions, as this runs per row.
+    Without the suffix compression adds, so a plain and a compressed copy count
+    as one source; drops of one name in different folders are different sources. A drop may also be a
+    folder of part files, named after the drop, with or without ``name=``
+    before it. Plain string functions, as this runs per row.
     """
-    file = F.substring_index(path, "/", -1)
-    folder = F.substring_index(F.substring_index(F.substring_index(path, "/", -2), "/", 1), "=", -1)
-    plain = F.when(F.endswith(file, F.lit(".gz")), file.substr(F.lit(1), F.length(file) - 3)).otherwise(file)
-    return F.when(F.endswith(folder, F.lit(".csv")), folder).otherwise(plain)
+    place = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    below = place.substr(F.lit(len(folder) + 2), F.length(place)) if folder else F.substring_index(path, "/", -1)
+    parent = F.regexp_extract(below, r"^(.*\.csv)/[^/]*$", 1)
+    plain = F.regexp_replace(below, r"\.gz$", "")
+    return F.regexp_replace(F.when(parent != "", parent).otherwise(plain), r"(^|/)[^/=]+=([^/]*)$", "$1$2")
 
 
-def _with_source(raw: DataFrame) -> DataFrame:
-    return raw.select(*PHARMACY_CLAIMS.columns, source_file(F.col("_metadata.file_path")).alias(SOURCE_FILE))
+def _with_source(raw: DataFrame, folder: str) -> DataFrame:
+    path = raw.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(raw.sparkSession._jsc.hadoopConfiguration())
+    base = files.makeQualified(path).toUri().getRawPath().rstrip("/")
+    return raw.select(*PHARMACY_CLAIMS.columns, source_file(F.col("_metadata.file_path"), base).alias(SOURCE_FILE))
 
 
 def csv_drops(spark: SparkSession, folder: str, **options: str) -> DataFrame:
@@ -48,7 +53,7 @@ def csv_drops(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     cannot be split; large drops should come plain or in parts.
     """
     reader = spark.read.schema(PHARMACY_CLAIMS.source_schema).options(**READ_OPTIONS)
-    return _with_source(reader.options(**options).csv(folder))
+    return _with_source(reader.options(**options).csv(folder), folder)
 
 
 def stream_csv_drops(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -56,7 +61,7 @@ def stream_csv_drops(spark: SparkSession, folder: str, files_per_batch: int | No
     reader = spark.readStream.schema(PHARMACY_CLAIMS.source_schema).options(**READ_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _with_source(reader.csv(folder))
+    return _with_source(reader.csv(folder), folder)
 
 
 def split_incomplete(drops: DataFrame, required: Sequence[str] = ("claim_id",)) -> tuple[DataFrame, DataFrame]:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from stratalake.functions import safe_timestamp
 from stratalake.schemas import TableSpec
 
 
@@ -12,10 +14,16 @@ def changed_since(source: DataFrame, spec: TableSpec, since: str) -> DataFrame:
     """The load columns of rows changed after ``since`` (exclusive).
 
     The bound is a literal of the column's own type, so it reaches a Parquet
-    scan or a database as a filter.
+    scan or a database as a filter. Text is compared as times, not as text. Rows
+    without a readable time may have changed, and are pulled.
     """
     kind = source.schema[spec.watermark_column].dataType
-    return source.select(*spec.columns).where(F.col(spec.watermark_column) > F.lit(since).cast("timestamp_ntz").cast(kind))
+    start = F.lit(since).cast("timestamp_ntz")
+    if isinstance(kind, StringType):
+        time = safe_timestamp(spec.watermark_column)
+        return source.select(*spec.columns).where(time.isNull() | (time > start))
+    changed = F.col(spec.watermark_column)
+    return source.select(*spec.columns).where(changed.isNull() | (changed > start.cast(kind)))
 
 
 def as_text(source: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ commit at the same time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import iso_text, safe_timestamp
@@ -52,9 +52,16 @@ def read_since(lake: Lake, source: str, lookback: str, full: bool = False) -> st
     return row["since"] if row and row["since"] else FIRST_WATERMARK
 
 
-def newest(batch: DataFrame, source: str, column: str) -> DataFrame:
-    """One row: the source and the newest parseable time of its batch (NULL if none)."""
-    return batch.agg(iso_text(F.max(safe_timestamp(column))).alias("last_watermark")).select(
+def newest(batch: DataFrame, source: str, column: str, until: Column | None = None) -> DataFrame:
+    """One row: the source and the newest parseable time of its batch (NULL if none).
+
+    Times after ``until`` do not count: one row dated far ahead would otherwise
+    keep all later ones out of every pull.
+    """
+    time = safe_timestamp(column)
+    if until is not None:
+        time = F.when(time <= until, time)
+    return batch.agg(iso_text(F.max(time)).alias("last_watermark")).select(
         F.lit(source).alias("source_name"), "last_watermark"
     )
 
@@ -68,12 +75,13 @@ def advance(watermarks: DataFrame, seen: DataFrame) -> DataFrame:
     )
 
 
-def commit(lake: Lake, source: str, seen: DataFrame) -> str | None:
-    """Store a source's advanced watermark and return it.
+def commit(lake: Lake, source: str, seen: DataFrame, reset: bool = False) -> str | None:
+    """Store a source's advanced watermark and return it. With ``reset`` what was stored does not count.
 
     Call this after the data itself is committed: a crash in between only makes
     the next pull fetch the same rows again.
     """
-    lake.replace("bronze", _table(source), advance(of_source(lake, source), seen).coalesce(1))
+    before = empty_frame(lake.spark, WATERMARK_SCHEMA) if reset else of_source(lake, source)
+    lake.replace("bronze", _table(source), advance(before, seen).coalesce(1))
     row = of_source(lake, source).first()
     return row["last_watermark"] if row else None

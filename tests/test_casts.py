@@ -13,8 +13,8 @@ def cast_all(spark, texts, make):
 
 
 def test_int(spark):
-    texts = ["30", " 30 ", "30.6", "30.5", "30.49999999", "-0.5", "1e2", "2147483648", "x", "", None]
-    assert cast_all(spark, texts, safe_int) == [30, 30, 31, 31, 30, -1, 100, None, None, None, None]
+    texts = ["30", " 30 ", "30.6", "30.5", "30.49999999", "-0.5", "1e2", "3000000000", "9e30", "x", "", None]
+    assert cast_all(spark, texts, safe_int) == [30, 30, 31, 31, 30, -1, 100, 3_000_000_000, None, None, None, None]
 
 
 def test_decimal(spark):
@@ -31,14 +31,18 @@ def test_decimal(spark):
     ("2026-7-2", datetime(2026, 7, 2)),
     ("2026-07", None), ("2026", None), ("20260702", None), ("2026-13-01", None), ("2026-02-30", None),
     ("23:14:00", None), ("soon", None), ("", None), (None, None),
+    ("2026-07-01 garbage", None), ("2026-07-01Tgarbage", None), ("2026-07-01 25:99:99", None), ("+2026-07", None),
+    ("02026-07", None), ("12026-07", None), ("12026-07-01", None), ("2026-07-01T10:00:00+05:00", datetime(2026, 7, 1, 10)),
+    ("2026-07-01T10:00:00Z", datetime(2026, 7, 1, 10)), ("2026-07-01 10:00:00 x", None), ("0000-01-01", None),
 ])
 def test_timestamp(spark, text, want):
     assert cast_all(spark, [text], safe_timestamp) == [want]
 
 
 def test_date(spark):
-    texts = ["2026-07-02", "2026-07-02 10:00:00", "2026-07", "2026-02-30", "n/a", None]
-    assert cast_all(spark, texts, safe_date) == [date(2026, 7, 2), date(2026, 7, 2), None, None, None, None]
+    texts = ["2026-07-02", "2026-07-02 10:00:00", "2026-07", "2026-02-30", "n/a", None, "2026-07-01 garbage",
+             "2026-07-01Tgarbage", "2026-07-01 25:99:99", "+2026-07", "12026-07"]
+    assert cast_all(spark, texts, safe_date) == [date(2026, 7, 2), date(2026, 7, 2), *[None] * 9]
 
 
 def test_types(spark):
@@ -46,7 +50,7 @@ def test_types(spark):
         safe_int("t").alias("i"), safe_decimal("t", 12, 2).alias("d"), safe_timestamp("t").alias("ts"),
         safe_date("t").alias("day"),
     )
-    assert [t for _, t in df.dtypes] == ["int", "decimal(12,2)", "timestamp_ntz", "date"]
+    assert [t for _, t in df.dtypes] == ["bigint", "decimal(12,2)", "timestamp_ntz", "date"]
 
 
 def test_iso_text_orders_like_time(spark):

@@ -14,7 +14,7 @@ def silver(spark, spec, *dicts):
 
 def test_columns_and_types(spark):
     want = {
-        "silver_pharmacy_claims": "string string string string int int timestamp_ntz decimal(10,2) decimal(10,2) string "
+        "silver_pharmacy_claims": "string string string string bigint bigint timestamp_ntz decimal(10,2) decimal(10,2) string "
                                   "string timestamp_ntz",
         "silver_enrollment_events": "string string string string timestamp_ntz timestamp_ntz timestamp_ntz",
         "silver_medical_claims": "string string string string string date decimal(12,2) decimal(12,2) string "

@@ -19,7 +19,9 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(ORACLE) == set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @needs_data

@@ -4,8 +4,12 @@ from datetime import datetime
 
 import pytest
 
-from stratalake.schemas import ENROLLMENT_EVENTS, MEDICAL_CLAIMS, MEMBERS
-from stratalake.sources import as_text, changed_since, csv_drops, event_pages, events_since, split_incomplete
+from pyspark.sql import functions as F
+
+from stratalake.schemas import ENROLLMENT_EVENTS, MEDICAL_CLAIMS, MEMBERS, PROVIDERS
+from stratalake.sources import (
+    as_text, broken_pages, changed_since, csv_drops, event_pages, events_since, split_incomplete,
+)
 from stratalake.sources.tables import jdbc_options
 from tests.helpers import plan, rows
 
@@ -95,7 +99,8 @@ def test_events_filter_is_inclusive(spark):
         [(t,) for t in ("2026-07-01T09:59:59", "2026-07-01T10:00:00", "2026-07-01 10:00:01", "soon", None)],
         "event_time string",
     )
-    assert rows(events_since(events, "2026-07-01T10:00:00")) == [("2026-07-01 10:00:01",), ("2026-07-01T10:00:00",)]
+    assert rows(events_since(events, "2026-07-01T10:00:00")) == [
+        ("2026-07-01 10:00:01",), ("2026-07-01T10:00:00",), ("soon",), (None,)]
 
 
 def member_table(spark, *times):
@@ -130,3 +135,29 @@ def test_jdbc_reads_are_split_by_change_time(spec):
     assert options["dbtable"] == f"dbo.{spec.name}"
     assert options["partitionColumn"] == "updated_at" and options["numPartitions"] == "8"
     assert (options["lowerBound"], options["upperBound"]) == ("2026-07-01 00:00:00", "2026-07-02 00:00:00")
+
+
+def test_broken_pages_are_told_apart(spark, folder):
+    whole = '{"data": [{"event_id": "e1", "event_time": "2026-07-01T10:00:00"}], "count": 1}'
+    (folder / "a.json").write_text("\n".join([
+        whole, whole[:40], '{"data": "none", "count": 1}', '{"count": 3}', '{"data": [], "count": 0}',
+        '{"data": [{"event_id": "e2"}], "count": 2}', '{', '  "data": []', '}',
+    ]))
+    found = rows(broken_pages(spark, str(folder)), "reason")
+    assert found == [("no list of events",)] + [("not a page in JSON",)] * 5 + [("not as many events as it says",)]
+    assert rows(event_pages(spark, str(folder)), "event_id") == [("e1",), ("e2",)]
+
+
+def test_drops_of_one_name_in_two_folders(spark, folder):
+    for name in ("d1", "d2"):
+        (folder / name).mkdir()
+        (folder / name / "x.csv").write_text("claim_id\nRX1\n")
+    assert rows(csv_drops(spark, str(folder)), "claim_id", "_source_file") == [("RX1", "d1/x.csv"), ("RX1", "d2/x.csv")]
+
+
+def test_text_update_times_compare_as_times(spark):
+    source = spark.createDataFrame(
+        [(t,) for t in ("2026-07-01T10:00:00", "2026-07-01 10:00:00", "2026-07-01T10:00:01", "soon", None)], "updated_at string")
+    full = source.select(*[F.lit("x").alias(c) for c in PROVIDERS.columns if c != "updated_at"], "updated_at")
+    assert rows(changed_since(full, PROVIDERS, "2026-07-01 10:00:00"), "updated_at") == [
+        ("2026-07-01T10:00:01",), ("soon",), (None,)]
