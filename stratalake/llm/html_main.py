@@ -2,8 +2,8 @@
 
 A page's article is its ``article`` elements, or ``main``, or else its body.
 From it go elements that are never text of an article (menus, forms, scripts …),
-elements whose class, id or role says the same, and subtrees that recur on many
-pages of the host. Paragraphs, headings and list items do not go for recurring,
+elements whose class, id or role says the same, and subtrees that recur beside
+many different articles of the host. Paragraphs, headings and list items do not go for recurring,
 as articles may share them; the page's article itself does not either.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from stratalake.llm.tables import written
 from stratalake.llm.words import rows_of
 
-#: A subtree belongs to a host's template if it is on so many of its pages, and on this share of them.
+#: A subtree belongs to a host's template if it is beside so many different articles, and beside this share of them.
 LEAST_PAGES, LEAST_SHARE = 5, 0.02
 
 _MARKUP = re.compile(
@@ -177,11 +177,17 @@ def subtree_hash(page: str, node: Node) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _candidates(page: str) -> set[int]:
-    """Hashes of the subtrees that could go, were they on many pages."""
-    nodes, _ = parse(page)
-    keep = _protected(nodes, _roots(nodes))
-    return {subtree_hash(page, n) for k, n in enumerate(nodes) if k not in keep and not n.dropped and n.name not in _WHOLE}
+def _candidates(page: str) -> tuple[set[int], int]:
+    """Hashes of the subtrees that could go, were they beside many articles, and a hash of the page's own article."""
+    nodes, blocks = parse(page)
+    roots = _roots(nodes)
+    keep = _protected(nodes, roots)
+    within = [False] * len(nodes)
+    for k, n in enumerate(nodes):
+        within[k] = k in roots or n.parent >= 0 and within[n.parent]
+    article = "\n".join(text for text, k in blocks if within[k] and not nodes[k].dropped)
+    found = {subtree_hash(page, n) for k, n in enumerate(nodes) if k not in keep and not n.dropped and n.name not in _WHOLE}
+    return found, xxhash.xxh64_intdigest(article.encode("utf-8", "surrogatepass")) >> 1
 
 
 def main_text(page: str, template: set[int]) -> str:
@@ -199,16 +205,24 @@ def main_text(page: str, template: set[int]) -> str:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hosts, hashes = [], []
+    """Per page its subtrees' hashes, and a row without one, each with the article's hash."""
+    def batch() -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, k) for x, k in zip((hosts, hashes, articles), kinds, strict=True)], names=["host", "hash", "article"])
+
+    hosts, hashes, articles = [], [], []
     for host, page in rows_of(batches, "host", "html"):
-        found = _candidates(page) if page else ()
-        hosts += [host] * len(found)
-        hashes += found
+        if page:
+            found, article = _candidates(page)
+            hosts += [host] * (len(found) + 1)
+            hashes += [None, *found]
+            articles += [article] * (len(found) + 1)
         if len(hosts) > 20_000:
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
-            hosts, hashes = [], []
+            yield batch()
+            hosts, hashes, articles = [], [], []
     if hosts:
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
+        yield batch()
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,15 +252,16 @@ def _pages(pages: DataFrame) -> DataFrame:
 def templates(pages: DataFrame) -> DataFrame:
     """``host, template``: the hashes of the subtrees that recur on a host's pages.
 
-    Their number is bounded by a page's elements over ``LEAST_SHARE``. Counts are
-    added up before they are shuffled, so a host with most of the pages is no more than its distinct subtrees.
+    Pages count by their articles: copies of one article are one page, as all that is in them
+    recurs. The hashes' number is bounded by a page's elements over ``LEAST_SHARE``.
+    Rows are made distinct and added up before each shuffle, and none is by host alone.
     """
-    known = _pages(pages).where("host is not null")
-    sizes = known.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = known.select("host", "html").mapInArrow(_counted, "host string, hash long").groupBy("host", "hash").agg(
-        F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
-    counts = written(counts, "subtrees")
-    recurring = counts.join(written(sizes, "hosts"), "host").where(F.col("n") >= LEAST_SHARE * F.col("pages"))
+    known = _pages(pages).where("host is not null").select("host", "html")
+    rows = known.mapInArrow(_counted, "host string, hash long, article long").distinct()
+    counts = written(rows.groupBy("host", "hash").agg(F.count("*").alias("n")).where(
+        (F.col("n") >= LEAST_PAGES) | F.col("hash").isNull()), "subtrees")
+    sizes = counts.where("hash is null").select("host", F.col("n").alias("pages"))
+    recurring = counts.where("hash is not null").join(sizes, "host").where(F.col("n") >= LEAST_SHARE * F.col("pages"))
     return recurring.groupBy("host").agg(F.collect_list("hash").alias("template"))
 
 

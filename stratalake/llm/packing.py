@@ -7,6 +7,9 @@ The histogram of piece lengths, at most one number per length, decides it all:
    rounded down, so that no more pieces of a length are used than there are;
 3. what is left is packed by best fit in falling order of length, on counts.
 
+Where long pieces prevail, three lengths can use up short pieces that others need
+more, so plans with triples, with pairs alone and without patterns are compared.
+
 The plan maps the n-th piece of a length to a sequence and an offset. Its size
 depends on the sequence length alone, not on the number of documents.
 """
@@ -30,7 +33,9 @@ from stratalake.llm.tokens import chunk_tokenizer, vocabulary
 SEQUENCE = 2048
 #: Patterns of three lengths that are looked at, at most about so many.
 TRIPLES = 12_000
-FIT_STEPS = 400
+FIT_STEPS = 300
+#: The plan with the fewest sequences counts of those that use so many kinds of patterns: both, pairs alone, none.
+KINDS = (2, 1, 0)
 
 
 @dataclass
@@ -88,6 +93,10 @@ def fit_counts(groups: list[np.ndarray], counts: np.ndarray) -> list[np.ndarray]
 
 def plan_packing(counts: np.ndarray, size: int = SEQUENCE) -> Plan:
     """``counts[length]`` pieces of each length from 1 to ``size``; the index 0 is not used."""
+    return min((_plan(counts, size, kinds) for kinds in KINDS), key=lambda plan: plan.sequences)
+
+
+def _plan(counts: np.ndarray, size: int, kinds: int) -> Plan:
     counts = counts.astype(np.int64).copy()
     given = np.zeros(len(counts), np.int64)
     slots: list[tuple[int, int, int, int, int]] = []
@@ -102,7 +111,7 @@ def plan_packing(counts: np.ndarray, size: int = SEQUENCE) -> Plan:
         n = int(counts[size])
         put(size, n, sequences, 0)
         sequences += n
-    groups = patterns(counts, size)
+    groups = patterns(counts, size)[:kinds]
     for p, x in zip(groups, fit_counts(groups, counts) if groups else [], strict=True):
         for k in np.argsort(-x, kind="stable"):
             lengths, times = np.unique(p[k], return_counts=True)
