@@ -11,12 +11,16 @@ from stratalake.functions import safe_date, safe_decimal, safe_timestamp
 from stratalake.operators import pages
 
 PAGE_SIZE = 500
+HALFWAY_DROP = "pharmacy_claims_19950601_00.csv"
 FEED_ORDER = ("created_at", "event_id", "plan_code")
 
 
-def write_csv_drops(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """One drop per month: nine columns before the cutoff, ten from then on."""
+def write_csv_drops(spark: SparkSession, sf_dir: str, folder: str, half: int | None = None) -> None:
+    """One drop per month: nine columns before the cutoff, ten from then on. Of two halves the second has the later drops."""
     rows = A.pharmacy_drop_rows(spark, sf_dir).withColumnRenamed(S.SOURCE_FILE, "drop")
+    if half is not None:
+        later = F.col("drop") >= HALFWAY_DROP
+        rows = rows.where(later if half else ~later)
     first_v2 = f"pharmacy_claims_{A.NPI_CUTOFF.replace('-', '')}_00.csv"
     for frame in (rows.where(F.col("drop") < first_v2).drop("pharmacy_npi"), rows.where(F.col("drop") >= first_v2)):
         writer = frame.hint("rebalance", "drop").write.mode("append").partitionBy("drop")
@@ -27,8 +31,11 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.bronze_enrollment_events(spark, sf_dir).select(*S.ENROLLMENT_EVENTS.columns)
 
 
-def write_event_pages(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    pages(event_feed(spark, sf_dir), FEED_ORDER, PAGE_SIZE).drop("cursor").write.json(folder)
+def write_event_pages(spark: SparkSession, sf_dir: str, folder: str, half: int | None = None) -> None:
+    feed = event_feed(spark, sf_dir)
+    if half is not None:  # any event may come late
+        feed = feed.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
+    pages(feed, FEED_ORDER, PAGE_SIZE).drop("cursor").write.mode("append").json(folder)
 
 
 def operational_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

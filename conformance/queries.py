@@ -591,7 +591,7 @@ _OPERATIONAL_CLAIMS = """
     created_at nulls last) = 1"""
 
 
-@query(with_parts(
+_PER_MEMBER = with_parts(
     """select g.*, cast(coalesce(e.in_state, 0) as bigint) as in_state_claims,
          cast(coalesce(e.disallowed, 0) as decimal(23,2)) as total_disallowed
        from gold_member_360 g left join (
@@ -599,14 +599,10 @@ _OPERATIONAL_CLAIMS = """
          from gold_claims_enriched group by 1) e using (member_id)""",
     "gold_member_360", "gold_claims_enriched",
     replace={"bronze_medical_claims": _OPERATIONAL_CLAIMS},
-))
-def medallion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sources landed, loaded and modelled; both gold tables read back and joined."""
-    root = run_folder(spark, "refresh")
-    lake = Lake(spark, f"{root}/lake")
-    L.write_csv_drops(spark, sf_dir, f"{root}/drops")
-    L.write_event_pages(spark, sf_dir, f"{root}/pages")
-    refresh(lake, f"{root}/drops", f"{root}/pages", L.operational_tables(spark, sf_dir), load_id="run1")
+)
+
+
+def _per_member(lake: Lake) -> DataFrame:
     per_member = lake.read("gold", "gold_claims_enriched").groupBy("member_id").agg(
         F.sum(F.col("in_state_care").cast("long")).alias("in_state_claims"),
         F.sum("disallowed_amount").alias("total_disallowed"),
@@ -614,3 +610,33 @@ def medallion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("gold", "gold_member_360").join(per_member, "member_id", "left").withColumns({
         c: F.coalesce(F.col(c), F.lit(0)) for c in ("in_state_claims", "total_disallowed")
     })
+
+
+@query(_PER_MEMBER)
+def refresh_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two incremental refreshes: the second brings later drops and pages, claims again, plan changes and no new providers."""
+    root = run_folder(spark, "refresh_twice")
+    lake = Lake(spark, f"{root}/lake")
+    whole, early = L.operational_tables(spark, sf_dir), F.col("updated_at") < F.lit("2005-06-01").cast("timestamp_ntz")
+    some = F.pmod(F.xxhash64("claim_id"), F.lit(3)) > 0
+    one = latest_by(whole["medical_claims"], ["claim_id"], "updated_at")
+    first = {"medical_claims": one.where(some), "members": whole["members"].where(early), "providers": whole["providers"]}
+    again = {"medical_claims": one.withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 9 YEARS")),
+             "members": whole["members"].where(~early), "providers": whole["providers"].limit(0)}
+    for run, tables in enumerate((first, again)):
+        L.write_csv_drops(spark, sf_dir, f"{root}/drops", run)
+        L.write_event_pages(spark, sf_dir, f"{root}/pages", run)
+        refresh(lake, f"{root}/drops", f"{root}/pages", tables, loaded_at=A.FIRST_LOAD, checkpoints=f"{root}/checkpoints",
+                full_audit=False)
+    return _per_member(lake)
+
+
+@query(_PER_MEMBER)
+def medallion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources landed, loaded and modelled; both gold tables read back and joined."""
+    root = run_folder(spark, "refresh")
+    lake = Lake(spark, f"{root}/lake")
+    L.write_csv_drops(spark, sf_dir, f"{root}/drops")
+    L.write_event_pages(spark, sf_dir, f"{root}/pages")
+    refresh(lake, f"{root}/drops", f"{root}/pages", L.operational_tables(spark, sf_dir), load_id="run1")
+    return _per_member(lake)

@@ -117,7 +117,7 @@ def _merge_staged(
     if spec.update_on_match:
         before = read_bronze(lake, spec)
         rows_before = before.count()
-        merged = upsert(before, one_per_key.withColumn(LOADED_AT, clock), spec.key, keep=[LOADED_AT])
+        merged = upsert(before, one_per_key.withColumn(LOADED_AT, clock), spec.key, keep=[LOADED_AT], newer_by=spec.newer_by)
         lake.replace("bronze", spec.bronze_name, merged)
         rows_total = read_bronze(lake, spec).count()
         inserted = rows_total - rows_before
@@ -141,7 +141,8 @@ def _merge_staged(
 
 
 def load_pharmacy_drops(
-    lake: Lake, folder: str, load_id: str | None = None, loaded_at: str | None = None, required: Sequence[str] = ()
+    lake: Lake, folder: str, load_id: str | None = None, loaded_at: str | None = None, required: Sequence[str] = (),
+    full_audit: bool = True,
 ) -> LoadAudit:
     """Load every CSV drop in a folder; drops loaded before add nothing.
 
@@ -152,7 +153,7 @@ def load_pharmacy_drops(
         drops = csv_drops(lake.spark, folder)
     else:
         drops = empty_frame(lake.spark, PHARMACY_CLAIMS.bronze_schema)
-    return load_batch(lake, PHARMACY_CLAIMS, drops, load_id, loaded_at, required=required)
+    return load_batch(lake, PHARMACY_CLAIMS, drops, load_id, loaded_at, full_audit=full_audit, required=required)
 
 
 def load_event_pages(
@@ -162,6 +163,7 @@ def load_event_pages(
     lookback: str = ENROLLMENT_EVENTS.lookback,
     load_id: str | None = None,
     loaded_at: str | None = None,
+    full_audit: bool = True,
     **options: str,
 ) -> LoadAudit:
     """Load landed event pages from the watermark, minus the lookback, on.
@@ -177,7 +179,7 @@ def load_event_pages(
     if lost:
         log.warning("%s: %d broken pages, see incomplete_event_pages", spec.name, lost)
     events = events_since(event_pages(lake.spark, folder, **options), since)
-    audit = load_batch(lake, spec, events, load_id, loaded_at, since, reset_watermark=full)
+    audit = load_batch(lake, spec, events, load_id, loaded_at, since, full_audit, reset_watermark=full)
     return replace(audit, rows_incomplete=audit.rows_incomplete + lost)
 
 
@@ -189,6 +191,7 @@ def load_changed_table(
     lookback: str | None = None,
     load_id: str | None = None,
     loaded_at: str | None = None,
+    full_audit: bool = True,
 ) -> LoadAudit:
     """Load the rows of an operational table changed since its watermark, minus the lookback.
 
@@ -199,4 +202,4 @@ def load_changed_table(
     if callable(source):
         source = source(since)
     changed = changed_since(source, spec, since)
-    return load_batch(lake, spec, changed, load_id, loaded_at, since, reset_watermark=full)
+    return load_batch(lake, spec, changed, load_id, loaded_at, since, full_audit, reset_watermark=full)

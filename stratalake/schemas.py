@@ -23,8 +23,9 @@ class TableSpec:
     ``columns`` are the business columns, all strings in bronze. ``order_by``
     and ``newest`` say which of two batch rows with one key is kept.
     ``update_on_match`` makes the load an upsert; otherwise a key that is
-    already in bronze is left alone. ``watermark_column`` is ``None`` for a
-    source that keeps no watermark.
+    already in bronze is left alone. With ``newer_by`` an upsert keeps a stored
+    row whose time there is later. ``watermark_column`` is ``None`` for a source
+    that keeps no watermark.
     """
 
     name: str
@@ -37,6 +38,7 @@ class TableSpec:
     watermark_column: str | None = None
     inclusive: bool = False
     lookback: str = TABLE_LOOKBACK
+    newer_by: str | None = None
 
     @property
     def bronze_name(self) -> str:

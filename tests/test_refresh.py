@@ -2,7 +2,7 @@ import pytest
 
 from stratalake.__main__ import parser, run
 from stratalake.plans import publish_views, refresh
-from stratalake.schemas import MEDICAL_CLAIMS, MEMBERS, PROVIDERS
+from stratalake.schemas import CHANGED_TABLES, MEDICAL_CLAIMS, MEMBERS, PROVIDERS
 from tests.helpers import rows
 from tests.test_loads import member, page_of, table
 from tests.test_sources import V1, V2, claim, drop, event
@@ -72,3 +72,23 @@ def test_command_line(spark, lake, landed, folder):
     again = step("refresh", "--drops", str(landed / "drops"), "--pages", str(landed / "pages"), "--full", *args)
     assert {r.rows_inserted for r in again.collect()} == {0}
     assert {r.since for r in again.collect()} == {None, "2000-01-01T00:00:00"}
+
+
+def test_second_refresh_reads_new_files_only(lake, folder):
+    drops, pages = folder / "drops", folder / "pages"
+    for f in (drops, pages):
+        f.mkdir()
+    spark = lake.spark
+    empty = {s.name: spark.createDataFrame([], ", ".join(
+        f"{c} {'timestamp_ntz' if c == s.watermark_column else 'string'}" for c in s.columns)) for s in CHANGED_TABLES}
+
+    def run(n):
+        (drops / f"d{n}.csv").write_text(f"claim_id,member_id\nRX{n},M1\n")
+        (pages / f"p{n}.json").write_text(f'{{"data": [{{"event_id": "e{n}", "event_time": "2001-01-0{n}"}}], "count": 1}}\n')
+        audits = refresh(lake, str(drops), str(pages), empty, checkpoints=str(folder / "checkpoints"), full_audit=False)
+        return {a.table: (a.rows_in, a.rows_inserted) for a in audits if a.rows_in}
+
+    assert run(1) == {"pharmacy_claims": (1, 1), "enrollment_events": (1, 1)}
+    assert run(2) == {"pharmacy_claims": (1, 1), "enrollment_events": (1, 1)}
+    assert lake.read("silver", "silver_pharmacy_claims").count() == 2
+    assert lake.read("silver", "silver_enrollment_events").count() == 2
