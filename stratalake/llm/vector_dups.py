@@ -30,8 +30,9 @@ from stratalake.llm.words import rows_of
 FITTED = 16_000
 #: Aim for so many vectors a list, and at most so many lists.
 PER_LIST, MOST_LISTS = 400, 1024
-#: A list is probed if its centroid is at most so much farther than the nearest.
-SLACK = 0.15
+#: A list is probed if its centroid is at most so much farther than the nearest. Of pairs at cosine 0.951, the
+#: hardest, 0.999 and more were found so among 10,256 and 51,282 vectors of 64 components.
+SLACK = 0.04
 SUBSPACES, CODES = 16, 64
 #: Members and probes of a list that meet in one group.
 MEMBERS, PROBES = 1024, 2048
