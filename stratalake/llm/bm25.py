@@ -1,12 +1,14 @@
 """Exact top-k by BM25: an inverted index in shards, pruned by block maxima, merged by global statistics.
 
 A shard indexes some thousand documents, ordered by length: for each term its
-documents and frequencies. Documents of a shard form blocks. For a query, the
-greatest possible contribution of each of its terms in each block gives an upper
-bound per block; blocks are taken in falling order of their bounds, and no block
-whose bound is below the k-th best score so far is looked into. Bounds and
-scores use document frequencies and mean length of the whole corpus, so a
-shard's best k are a superset of its share of the global best k.
+documents and frequencies. Documents of a shard form blocks. Terms that are in
+many of a shard's documents prune nothing; what they give is added up outright,
+for a group of queries and all documents at once. For the other terms of a query,
+the greatest possible contribution in each block, added to the block's best sum
+so far, gives an upper bound per block; blocks are taken in falling order of their
+bounds, and no block whose bound is below the k-th best score so far is looked
+into. Bounds and scores use document frequencies and mean length of the whole
+corpus, so a shard's best k are a superset of its share of the global best k.
 """
 
 from __future__ import annotations
@@ -25,10 +27,12 @@ from stratalake.llm.words import WordHashes, hash_words, rows_of
 
 K1, B = 1.2, 0.75
 #: A shard holds at most so many documents, and is closed beyond so many postings.
-SHARD_DOCS, SHARD_POSTINGS = 16_384, 3_000_000
+SHARD_DOCS, SHARD_POSTINGS = 16_384, 6_000_000
 BLOCK = 64
+#: Terms in at least one of so many documents of a shard are added up outright.
+FREQUENT = 16
 #: Queries that travel together.
-QUERIES_TOGETHER = 64
+QUERIES_TOGETHER = 128
 #: Scores count to so many decimals; equal ones are ordered by doc_id.
 DECIMALS = 6
 _SLACK = 2 * 10.0**-DECIMALS
@@ -131,58 +135,101 @@ class Shard:
         self.run_most = np.maximum.reduceat(self.worth, self.runs[:-1]) if len(block) else np.zeros(0)
         self.term_runs = np.searchsorted(self.runs, self.starts)
         self.blocks = -(-len(self.doc_ids) // BLOCK)
-
-    def best(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """At least the k best documents with a score over zero: their ids and rounded scores."""
-        at = np.searchsorted(self.terms, terms).clip(max=max(0, len(self.terms) - 1))
-        there = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        at, weights = at[there], weights[there]
+        df = np.diff(self.starts)
+        self.row = np.full(len(df), -1)  # of the frequent terms' table
+        often = np.flatnonzero(df * FREQUENT >= len(self.doc_ids))
+        self.row[often] = np.arange(len(often))
+        self.table = np.zeros((len(often), len(self.doc_ids)))
+        for r, t in enumerate(often):
+            own = slice(self.starts[t], self.starts[t + 1])
+            self.table[r, self.owners[own]] = self.worth[own]
+
+    def find(self, terms: np.ndarray) -> np.ndarray:
+        """Places of terms, -1 for those that the shard does not have."""
+        if not len(self.terms):
+            return np.full(len(terms), -1)
+        at = np.searchsorted(self.terms, terms).clip(max=len(self.terms) - 1)
+        return np.where(self.terms[at] == terms, at, -1)
+
+    def best(self, places: list[np.ndarray], weights: list[np.ndarray], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query the ids and rounded scores of its k best documents with a score over zero."""
+        often = np.zeros((len(places), len(self.table)))
+        for q, (at, weight) in enumerate(zip(places, weights, strict=True)):
+            row = np.where(at >= 0, self.row[at], -1) if len(self.row) else np.full(len(at), -1)
+            often[q, row[row >= 0]] = weight[row >= 0]
+        sums = often @ self.table
+        edges = np.arange(0, len(self.doc_ids), BLOCK)
+        for q, (at, weight) in enumerate(zip(places, weights, strict=True)):
+            rest = at >= 0
+            rest[rest] = self.row[at[rest]] < 0
+            yield self._best(sums[q], np.maximum.reduceat(sums[q], edges), at[rest], weight[rest], k)
+
+    def _best(self, total: np.ndarray, bound: np.ndarray, at: np.ndarray, weights: np.ndarray, k: int):
         count = self.term_runs[at + 1] - self.term_runs[at]
         runs, weight = ragged(self.term_runs[at], count), np.repeat(weights, count)
-        bound = np.bincount(self.run_block[runs], self.run_most[runs] * weight, self.blocks)
+        bound = bound + np.bincount(self.run_block[runs], self.run_most[runs] * weight, self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         docs, scores = np.zeros(0, np.int64), np.zeros(0)
-        done, take = 0, max(1, -(-2 * k // BLOCK))
+        done, take = 0, 2 + -(-2 * k // BLOCK)
         while done < len(order):
             if len(scores) >= k:
                 limit = np.partition(scores, len(scores) - k)[len(scores) - k] - _SLACK
-                left = int((bound[order[done:]] >= limit).sum())  # bounds fall
-                if not left:
+                take = int((bound[order[done:]] >= limit).sum())  # bounds fall
+                if not take:
                     break
-                take = min(take, left)
             chosen = np.zeros(self.blocks, bool)
             chosen[order[done:done + take]] = True
             use = chosen[self.run_block[runs]]
             size = self.runs[runs[use] + 1] - self.runs[runs[use]]
             postings = ragged(self.runs[runs[use]], size)
-            total = np.bincount(self.owners[postings], self.worth[postings] * np.repeat(weight[use], size), len(self.doc_ids))
-            found = np.flatnonzero(total)
-            docs, scores = np.concatenate([docs, found]), np.concatenate([scores, total[found]])
-            done, take = done + take, take * 4
+            more = np.bincount(self.owners[postings], self.worth[postings] * np.repeat(weight[use], size), len(self.doc_ids))
+            found = ragged(np.flatnonzero(chosen) * BLOCK, np.minimum(BLOCK, len(total) - np.flatnonzero(chosen) * BLOCK))
+            score = total[found] + more[found]
+            docs, scores = np.concatenate([docs, found[score > 0]]), np.concatenate([scores, score[score > 0]])
+            done += take
         scores = scores.round(DECIMALS)
         best = np.lexsort((self.doc_ids[docs], -scores))[:k]
         return self.doc_ids[docs[best]], scores[best]
 
 
+_GROUP = ["query_ids", "vocabulary", "idf", "starts_of_queries", "term_numbers", "times"]
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A group of queries with each of its terms once."""
+    for queries, in rows_of(batches, "queries"):
+        terms = np.concatenate([np.array(q["terms"], np.int64) for q in queries])
+        idf = np.concatenate([np.array(q["idf"], np.float64) for q in queries])
+        vocabulary, first, number = np.unique(terms.view(np.uint64), return_index=True, return_inverse=True)
+        values = (
+            np.array([q["query_id"] for q in queries], np.int64), vocabulary, idf[first],
+            np.cumsum([0, *(len(q["terms"]) for q in queries)]).astype(np.int32), number.astype(np.int32),
+            np.concatenate([np.array(q["times"], np.int32) for q in queries]),
+        )
+        yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in values], names=_GROUP)
+
+
 def _searched(k: int, mean_length: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = None, None
-        columns = ("shard", *_SHARD[3:], "queries")
+        columns = ("shard", *_SHARD[3:], *_GROUP)
         for batch in batches:
             for row in range(batch.num_rows):
-                own, *payload, queries = (batch.column(c)[row].as_py() for c in columns)
-                if queries is None:  # a shard comes before its queries
+                own, *payload = (batch.column(c)[row].as_py() for c in columns)
+                payload, group = payload[:len(_SHARD) - 3], payload[len(_SHARD) - 3:]
+                if group[0] is None:  # a shard comes before its queries
                     shard, number = Shard(*payload, mean_length), own
                     continue
                 if own != number:
                     raise ValueError("queries without their shard")
-                ids, docs, scores = [], [], []
-                for q in queries:
-                    found, score = shard.best(np.array(q["terms"], np.int64).view(np.uint64), np.array(q["weights"]), k)
-                    ids.append(np.full(len(found), q["query_id"]))
-                    docs.append(found)
-                    scores.append(score)
+                kinds = (np.int64, np.uint64, np.float64, np.int32, np.int32, np.int32)
+                query_ids, vocabulary, idf, starts, numbers, times = (np.frombuffer(x, t) for x, t in zip(group, kinds, strict=True))
+                place = shard.find(vocabulary)
+                each = [slice(a, b) for a, b in zip(starts, starts[1:], strict=False)]
+                best = shard.best([place[numbers[e]] for e in each], [idf[numbers[e]] * times[e] for e in each], k)
+                ids, docs, scores = zip(*(
+                    (np.full(len(found), q), found, score) for q, (found, score) in zip(query_ids, best, strict=True)), strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [np.concatenate(x) for x in (ids, docs, scores)], names=["query_id", "doc_id", "score"])
 
@@ -210,19 +257,20 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     df = index.select("terms", "starts").mapInArrow(_document_frequencies, "term long, df long")
     df = df.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
     idf = F.log1p((F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighed = asked.groupBy("query_id", "term").agg(F.sum("times").alias("times")).join(written(df, "df"), "term").select(
-        "query_id", "term", (idf * F.col("times")).alias("weight"))
-    each = weighed.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("term", "weight"))).alias("w")).select(
-        F.struct("query_id", F.col("w.term").alias("terms"), F.col("w.weight").alias("weights")).alias("query"))
-    count = written(each, "queries")
-    groups = max(1, -(-count.count() // QUERIES_TOGETHER))
-    together = written(count.groupBy(F.pmod(F.xxhash64("query.query_id"), F.lit(groups)).alias("group")).agg(
-        F.collect_list("query").alias("queries")), "together")
+    weighed = asked.groupBy("query_id", "term").agg(F.sum("times").alias("times")).join(
+        written(df, "df").withColumn("idf", idf), "term")
+    each = weighed.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("term", "times", "idf"))).alias("t")).select(
+        F.struct("query_id", F.col("t.term").alias("terms"), F.col("t.times").alias("times"), F.col("t.idf").alias("idf")).alias("query"))
+    each = written(each, "queries")
+    groups = max(1, -(-each.count() // QUERIES_TOGETHER))
+    together = each.groupBy(F.pmod(F.xxhash64("query.query_id"), F.lit(groups)).alias("group")).agg(
+        F.collect_list("query").alias("queries"))
+    together = written(together.mapInArrow(_packed, ", ".join(f"{c} binary" for c in _GROUP)), "together")
     # every group of queries goes to every shard: a stated set of queries against all rows, in blocks
-    sent = index.select("shard").crossJoin(together.select("queries")).select(
-        "shard", *[F.lit(None).cast("binary").alias(c) for c in _SHARD[3:]], "queries")
-    shards = index.select("shard", *_SHARD[3:], F.lit(None).cast(sent.schema["queries"].dataType).alias("queries"))
-    met = shards.union(sent).repartition("shard").sortWithinPartitions("shard", F.col("queries").isNotNull())
+    nothing = lambda names: [F.lit(None).cast("binary").alias(c) for c in names]
+    sent = index.select("shard").crossJoin(together).select("shard", *nothing(_SHARD[3:]), *_GROUP)
+    shards = index.select("shard", *_SHARD[3:], *nothing(_GROUP))
+    met = shards.union(sent).repartition("shard").sortWithinPartitions("shard", F.col("query_ids").isNotNull())
     found = met.mapInArrow(_searched(k, mean_length), "query_id long, doc_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
