@@ -32,7 +32,7 @@ BLOCK = 64
 #: Terms in at least one of so many documents of a shard are added up outright.
 FREQUENT = 16
 #: Queries that travel together.
-QUERIES_TOGETHER = 128
+QUERIES_TOGETHER = 256
 #: Scores count to so many decimals; equal ones are ordered by doc_id.
 DECIMALS = 6
 _SLACK = 2 * 10.0**-DECIMALS
