@@ -2,12 +2,12 @@
 
 Equal vectors are one class. Classes are dealt into coarse inverted lists by the
 nearest centroid; what is left of a vector after its centroid is coded per
-subspace. A vector probes every list whose centroid is hardly farther than its
-nearest one. There, distances to the members' codes are added up from tables;
-members whose coded distance, less their own coding error, is within the limit
-are compared exactly in double precision. The limit of the first step is a bound,
-so it loses no pair; only lists that are not probed can, and as both vectors of a
-pair probe, a pair is lost only where neither finds the other's list.
+subspace. A vector probes every list that its distance to the plane between that
+list's centroid and its own lets hold a partner. There, distances to the members'
+codes are added up from tables; members whose coded distance, less their own coding
+error, is within the limit are compared exactly in double precision. Both steps are
+bounds, so no pair is lost: the vectors of a pair are on different sides of the plane
+between their lists' centroids, so one of them is at most half the limit from it.
 """
 
 from __future__ import annotations
@@ -30,9 +30,6 @@ from stratalake.llm.words import rows_of
 FITTED = 16_000
 #: Aim for so many vectors a list, and at most so many lists.
 PER_LIST, MOST_LISTS = 400, 1024
-#: A list is probed if its centroid is at most so much farther than the nearest. Of pairs at cosine 0.951, the
-#: hardest, 0.999 and more were found so among 10,256 and 51,282 vectors of 64 components.
-SLACK = 0.04
 SUBSPACES, CODES = 16, 64
 #: Members and probes of a list that meet in one group.
 MEMBERS, PROBES = 1024, 2048
@@ -69,6 +66,14 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return distance.argmin(axis=1), distance
 
 
+def probes(distance: np.ndarray, near: np.ndarray, apart: np.ndarray, limit: float) -> np.ndarray:
+    """Whether each vector probes each list: it is at most ``limit / 2`` from the plane between the list's centroid and
+    its nearest one. ``distance`` is to all centroids, ``apart`` between them. Of two vectors of different lists at most
+    ``limit`` apart, one probes the other's list."""
+    square = distance ** 2
+    return square - square[np.arange(len(near)), near][:, None] <= limit * apart[near] + 1e-9
+
+
 @dataclass(frozen=True)
 class Quantiser:
     centroids: np.ndarray
@@ -85,10 +90,10 @@ class Quantiser:
     def distances(self, queries: np.ndarray, number: int, codes: np.ndarray) -> np.ndarray:
         """Distances from queries to the coded members of one list, from a table per query and subspace."""
         residual = queries - self.centroids[number]
-        out = np.zeros((len(queries), len(codes)))
+        out = np.zeros((len(codes), len(queries)))
         for j, (c, book) in enumerate(zip(self.cuts, self.codebooks, strict=True)):
-            out += (_nearest(residual[:, c], book)[1] ** 2)[:, codes[:, j]]
-        return np.sqrt(out)
+            out += np.ascontiguousarray(_nearest(residual[:, c], book)[1].T ** 2)[codes[:, j]]
+        return np.sqrt(out).T
 
 
 def fit_quantiser(x: np.ndarray, lists: int) -> Quantiser:
@@ -122,6 +127,7 @@ def _links(classes: DataFrame, width: int, cosine: float) -> tuple[DataFrame, Da
                       [np.eye(1, width)[0]])
     q = fit_quantiser(sample, max(1, min(MOST_LISTS, count // PER_LIST, len(sample))))
     limit = np.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
+    apart = _nearest(q.centroids, q.centroids)[1]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,18 +135,16 @@ def _links(classes: DataFrame, width: int, cosine: float) -> tuple[DataFrame, Da
                 part = batch.slice(at, 1000)
                 x = np.frombuffer(b"".join(part.column("unit").to_pylist()), np.float64).reshape(-1, width)
                 near, distance = _nearest(x, q.centroids)
-                reach = distance.min(axis=1) + SLACK
                 codes = q.encode(x - q.centroids[near])
                 error = np.linalg.norm(x - q.centroids[near] - q.decode(codes), axis=1)
-                probes = [np.flatnonzero(d <= r).astype(np.int32) for d, r in zip(distance, reach, strict=True)]
+                asked = [np.flatnonzero(row).astype(np.int32) for row in probes(distance, near, apart, limit)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("rep"), part.column("n"), part.column("unit"), pa.array(near.astype(np.int32)),
-                     pa.array(reach), pa.array(error), pa.array([c.tobytes() for c in codes], pa.binary()),
-                     pa.array(probes, pa.list_(pa.int32()))],
-                    names=["rep", "n", "unit", "list", "reach", "error", "codes", "probes"])
+                     pa.array(error), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(asked, pa.list_(pa.int32()))],
+                    names=["rep", "n", "unit", "list", "error", "codes", "probes"])
 
     placed = written(own.select("rep", "n", "unit").mapInArrow(
-        assign, "rep long, n long, unit binary, list int, reach double, error double, codes binary, probes array<int>"), "placed")
+        assign, "rep long, n long, unit binary, list int, error double, codes binary, probes array<int>"), "placed")
     probing = placed.withColumn("probed", F.explode("probes"))
     parts = placed.groupBy(F.col("list").alias("probed")).agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("member_parts")).join(
         probing.groupBy("probed").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("probe_parts")), "probed")
@@ -148,7 +152,7 @@ def _links(classes: DataFrame, width: int, cosine: float) -> tuple[DataFrame, Da
 
     part_of = lambda n: F.pmod(F.xxhash64("rep", F.lit(5)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["rep", "n", "unit", "list", "reach", "error", "codes"]
+    asking = ["rep", "n", "unit", "list"]
     members = placed.withColumn("probed", F.col("list")).join(parts, "probed").withColumn(
         "member_part", part_of("member_parts")).withColumn("probe_part", every("probe_parts"))
     probers = probing.join(parts, "probed").withColumn(
@@ -166,13 +170,14 @@ def _links(classes: DataFrame, width: int, cosine: float) -> tuple[DataFrame, Da
         count: dict[int, int] = {}
         edges = []
         # whether a member probes the prober's list as well: then the pair counts once, for the smaller prober
-        to_list = _nearest(y, q.centroids)[1]
+        asks = np.zeros((len(y), len(q.centroids)), bool)
+        asks[np.repeat(np.arange(len(y)), left["probes"].str.len()), np.concatenate(left["probes"].to_numpy())] = True
         for at in range(0, len(x), 256):
             rows = slice(at, at + 256)
             near = q.distances(x[rows], number, codes) <= limit + left["error"].to_numpy()[None, :] + 1e-9
             i, j = np.nonzero(near)
             i += at
-            both = to_list[j, right["list"].to_numpy()[i]] <= left["reach"].to_numpy()[j]
+            both = asks[j, right["list"].to_numpy()[i]]
             use = (x_id[i] != y_id[j]) & (~both | (x_id[i] < y_id[j]))
             i, j = i[use], j[use]
             use = np.concatenate([(x[i[k:k + 20_000]] * y[j[k:k + 20_000]]).sum(axis=1) for k in range(0, len(i), 20_000)]
@@ -191,8 +196,8 @@ def _links(classes: DataFrame, width: int, cosine: float) -> tuple[DataFrame, Da
                              "n": np.concatenate([np.full(len(a), -1), np.fromiter(count.values(), np.int64, len(count))])}).astype("int64")
 
     found = written(
-        members.select(*group, *columns).groupBy(*group).cogroup(
-            probers.select(*[F.col(c).alias(f"by_{c}") for c in (*group, *columns)]).groupBy(*[f"by_{c}" for c in group]))
+        members.select(*group, *asking, "error", "codes", "probes").groupBy(*group).cogroup(
+            probers.select(*[F.col(c).alias(f"by_{c}") for c in (*group, *asking)]).groupBy(*[f"by_{c}" for c in group]))
         .applyInPandas(compare, "a long, b long, n long"), "found")
     return found.where("n < 0").select("a", "b"), found.where("n >= 0").select(F.col("a").alias("rep"), "n")
 

@@ -352,6 +352,24 @@ def test_vectors(spark, monkeypatch):
     assert vector_dups.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spread", ["narrow", "falling", "even"])
+def test_no_pair_is_lost_to_a_list_not_probed(spread):
+    rng = np.random.default_rng(6)
+    draw = {"narrow": lambda n: rng.normal(size=(n, 8)) @ rng.normal(size=(8, 64)), "even": lambda n: rng.normal(size=(n, 64)),
+            "falling": lambda n: rng.normal(size=(n, 64)) / np.arange(1, 65)}[spread]
+    unit = lambda v: v / np.linalg.norm(v, axis=1)[:, None]
+    x = unit(draw(6000))
+    step = unit(draw(6000))
+    step = unit(step - (step * x).sum(axis=1)[:, None] * x)
+    y = 0.951 * x + np.sqrt(1 - 0.951 ** 2) * step
+    centres = vector_dups._kmeans(np.concatenate([x, y]), 128, 1, 4)
+    limit, apart = np.sqrt(0.1) + 1e-9, vector_dups._nearest(centres, centres)[1]
+    (a, d_a), (b, d_b) = vector_dups._nearest(x, centres), vector_dups._nearest(y, centres)
+    assert (a != b).any()
+    row = np.arange(len(x))
+    assert (vector_dups.probes(d_a, a, apart, limit)[row, b] | vector_dups.probes(d_b, b, apart, limit)[row, a]).all()
+
+
 # -- quality ----------------------------------------------------------------------------------
 
 def test_quality(spark):
