@@ -48,7 +48,7 @@ def _extreme(values: np.ndarray, length: int, choose) -> np.ndarray:
 
 
 def window_starts(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the chosen windows of a text and their content hashes; each content once, at its first start."""
+    """Starts of the chosen windows of a text and their content hashes."""
     if len(hashes) < WINDOW + REACH - 1:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     content = mix(hashes, 201)
@@ -60,8 +60,6 @@ def window_starts(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     least = _extreme(content, REACH, np.minimum)
     pad = np.zeros(REACH - 1, np.uint64)
     chosen = np.flatnonzero(_extreme(np.concatenate([pad, least, pad]), REACH, np.maximum) == content)
-    _, first = np.unique(content[chosen], return_index=True)
-    chosen = chosen[np.sort(first)]
     return chosen, content[chosen]
 
 

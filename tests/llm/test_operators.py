@@ -135,6 +135,13 @@ def test_bands_recall():
     assert hit >= 295
 
 
+def test_each_occurrence_of_a_passage_goes(spark):
+    passage = prose(70, 60)
+    rows = [(1, f"{prose(1, 40)} {passage} {prose(2, 30)}"), (2, f"{prose(3, 30)} {passage} {prose(4, 45)} {passage} {prose(5, 30)}")]
+    got = {r.doc_id: r for r in paragraph_dedup.remove_repeats(documents(spark, rows)).collect()}
+    assert got[2].removed_words == 120 and got[2].text == f"{prose(3, 30)} {prose(4, 45)} {prose(5, 30)}"
+
+
 # -- packing ------------------------------------------------------------------------
 
 def clip_ids(text):
