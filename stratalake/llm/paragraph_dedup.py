@@ -12,6 +12,10 @@ Two kinds of paragraphs are looked at:
   the same window in every copy. Their single band is the whole content.
   Windows that follow each other alike in two documents form runs; a run is
   verified word by word and extended to both sides as far as the words agree.
+
+Members of a bucket are first compared with its first one. Then windows around
+which a document does not agree with that first one give all passages of
+``MIN_WORDS`` words that hold them, which are grouped by content.
 """
 
 from __future__ import annotations
@@ -47,16 +51,24 @@ def _extreme(values: np.ndarray, length: int, choose) -> np.ndarray:
     return choose(out[:len(out) - (length - done)], out[length - done:]) if length > done else out
 
 
+def _content(hashes: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """A hash of each ``length`` successive words, by doubling."""
+    part, size, out, done = mix(hashes, seed), 1, None, 0
+    while True:
+        if length & size:
+            n = len(hashes) - done - size + 1
+            out = part[done:done + n] if out is None else mix(out[:n] ^ (part[done:done + n] << np.uint64(1)), seed + 1 + size)
+            done += size
+        if done == length:
+            return out
+        part, size = mix(part[:-size] ^ (part[size:] << np.uint64(1)), seed + 100 + size), 2 * size
+
+
 def window_starts(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the chosen windows of a text and their content hashes."""
     if len(hashes) < WINDOW + REACH - 1:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    content = mix(hashes, 201)
-    two = mix(content[:-1] ^ (content[1:] << np.uint64(1)), 202)
-    four = mix(two[:-2] ^ (two[2:] << np.uint64(1)), 203)
-    eight = mix(four[:-4] ^ (four[4:] << np.uint64(1)), 204)
-    sixteen = mix(eight[:-8] ^ (eight[8:] << np.uint64(1)), 205)
-    content = mix(sixteen[:-4] ^ (four[16:] << np.uint64(1)), 206)
+    content = _content(hashes, WINDOW, 1000)
     least = _extreme(content, REACH, np.minimum)
     pad = np.zeros(REACH - 1, np.uint64)
     chosen = np.flatnonzero(_extreme(np.concatenate([pad, least, pad]), REACH, np.maximum) == content)
@@ -174,16 +186,62 @@ def alike(a: np.ndarray, b: np.ndarray, room: int, n: int) -> tuple[int, int] |
 
 
 def _verify_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Verified runs; ``same_to`` is the end of a run without any other word, or beyond all words at the text's end."""
     for batch in batches:
-        ids, first, last = [], [], []
-        for doc_id, lo, room, n, a, b in rows_of([batch], "doc_id", "lo", "room", "n", "words", "hub_words"):
-            if found := alike(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), room, n):
-                ids.append(doc_id)
-                first.append(lo + found[0])
-                last.append(lo + found[1])
+        rows = []
+        for doc_id, lo, hi, hub_doc, hub_lo, room, n, a, b in rows_of(
+                [batch], "doc_id", "lo", "hi", "hub_doc", "hub_lo", "room", "n", "words", "hub_words"):
+            x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+            if found := alike(x, y, room, n):
+                first, last = found
+                exact = (x[first:last] == y[first:last]).all()
+                ended = last == len(x) < hi - lo
+                rows.append((doc_id, lo + first, lo + last, hub_doc, lo - hub_lo, (1 << 30 if ended else lo + last) if exact else None))
+        columns = zip(*rows, strict=True) if rows else [()] * len(_VERIFIED)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32())],
-            names=["doc_id", "first", "last"])
+            [pa.array(list(x), k) for x, k in zip(columns, _VERIFIED.values(), strict=True)], names=list(_VERIFIED))
+
+
+_VERIFIED = {"doc_id": pa.int64(), "first": pa.int32(), "last": pa.int32(), "hub_doc": pa.int64(), "shift": pa.int32(), "same_to": pa.int32()}
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Content of each passage of ``MIN_WORDS`` words around the asked-for windows, as 128 bits."""
+    memory = WordHashes()
+    for doc_id, text, starts in rows_of(batches, "doc_id", "text", "starts"):
+        hashes = hash_words(split_words(text), memory)
+        if len(hashes) < MIN_WORDS:
+            continue
+        at = np.unique((np.array(starts, np.int64)[:, None] - np.arange(MIN_WORDS - WINDOW + 1)).ravel())
+        at = at[(at >= 0) & (at <= len(hashes) - MIN_WORDS)]
+        one, two = (_content(hashes, MIN_WORDS, seed)[at] for seed in (2000, 3000))
+        for k in range(0, len(at), 50_000):
+            part = slice(k, k + 50_000)
+            yield pa.RecordBatch.from_arrays(
+                [signed(one[part]), signed(two[part]), pa.array(np.full(len(at[part]), doc_id, np.int64)),
+                 pa.array(at[part].astype(np.int32))], names=["one", "two", "doc_id", "first"])
+
+
+def _longer_with_others(texts: DataFrame, windows: DataFrame, runs: DataFrame) -> DataFrame:
+    """``doc_id, first, last`` of passages that repeat an earlier document other than the window's first one.
+
+    A window is settled where every passage of ``MIN_WORDS`` words that holds it is the same in
+    that first document. All the others of a bucket give their passages, its first one does too.
+    """
+    settled = runs.where("same_to is not null").select(
+        F.col("doc_id").alias("d"), F.col("hub_doc").alias("h"), F.col("shift").alias("s"), F.col("first").alias("f"), "same_to")
+    around = (F.col("f") <= F.greatest(F.col("start") - (MIN_WORDS - WINDOW), F.lit(0))) & (F.col("same_to") >= F.col("start") + MIN_WORDS)
+    rest = windows.join(settled, (F.col("doc_id") == F.col("d")) & (F.col("hub_doc") == F.col("h")) & (
+        F.col("start") - F.col("hub_start") == F.col("s")) & around, "left_anti")
+    rest = written(rest.select("doc_id", "start", "hub_doc", "hub_start").distinct(), "rest")
+    held = rest.groupBy("hub_doc", "hub_start").agg(F.count("*").alias("n"), F.max(F.col("doc_id") != F.col("hub_doc")).alias("others"))
+    held = written(held.where("n > 1 and others").select("hub_doc", "hub_start"), "held")
+    asked = rest.join(held, ["hub_doc", "hub_start"]).select("doc_id", "start").union(held).groupBy("doc_id").agg(
+        F.collect_set("start").alias("starts"))
+    passages = texts.join(asked, "doc_id").mapInArrow(_passages, "one long, two long, doc_id long, first int").distinct()
+    earliest = F.first("doc_id").over(Window.partitionBy("one", "two").orderBy("doc_id"))
+    return passages.withColumn("hub", earliest).where("doc_id <> hub").select(
+        "doc_id", "first", (F.col("first") + MIN_WORDS).alias("last"))
 
 
 def _verify_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,21 +260,25 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
     keyed = texts.mapInArrow(_paragraphs, "key long, doc_id long, start int, n int")
     by_key = Window.partitionBy("key").orderBy("doc_id", "start")
-    shared = keyed.withColumn("hub", F.first(F.struct("doc_id", "start", "n")).over(by_key)).where("doc_id <> hub.doc_id")
+    shared = keyed.withColumn("hub", F.first(F.struct("doc_id", "start", "n")).over(by_key)).where(
+        "doc_id <> hub.doc_id or start <> hub.start")
     shared = written(
-        shared.select("doc_id", "start", "n", F.col("hub.doc_id").alias("hub_doc"), F.col("hub.start").alias("hub_start"),
-                      F.col("hub.n").alias("hub_n")), "shared")
+        shared.select(F.when(F.col("n") >= MIN_WORDS, F.col("key")).alias("key"), "doc_id", "start", "n", F.col("hub.doc_id").alias("hub_doc"),
+                      F.col("hub.start").alias("hub_start"), F.col("hub.n").alias("hub_n")), "shared")
+    windows = shared.where((F.col("n") == WINDOW) & (F.col("hub_n") == WINDOW))
     runs = (
-        shared.where((F.col("n") == WINDOW) & (F.col("hub_n") == WINDOW)).groupBy("doc_id")
+        windows.where("doc_id <> hub_doc").groupBy("doc_id")
         .agg(F.collect_set(F.struct("start", "hub_doc", "hub_start")).alias("windows"))
         .mapInArrow(_runs, _RUN_SCHEMA)
     )
-    lines = shared.where((F.col("n") >= MIN_WORDS) & (F.col("hub_n") >= MIN_WORDS)).distinct().select(
-        "doc_id", F.col("start").alias("lo"), F.expr("start + n as hi"), "hub_doc",
-        F.col("hub_start").alias("hub_lo"), F.expr("hub_start + hub_n as hub_hi"),
-        F.lit(None).cast("int").alias("room"), F.lit(None).cast("int").alias("n"))
-    pairs = written(runs.union(lines), "pairs")
-    asked = pairs.select("doc_id", "lo", "hi").union(pairs.select("hub_doc", "hub_lo", "hub_hi")).distinct()
+    lines = shared.where((F.col("n") >= MIN_WORDS) & (F.col("hub_n") >= MIN_WORDS)).select(
+        "key", "doc_id", F.col("start").alias("lo"), F.expr("start + n as hi"), "hub_doc",
+        F.col("hub_start").alias("hub_lo"), F.expr("hub_start + hub_n as hub_hi"))
+    pairs = written(runs.union(lines.where("doc_id <> hub_doc").drop("key").distinct().select(
+        "*", F.lit(None).cast("int").alias("room"), F.lit(None).cast("int").alias("n"))), "pairs")
+    asked = pairs.select("doc_id", "lo", "hi").union(pairs.select("hub_doc", "hub_lo", "hub_hi")).union(
+        lines.where("doc_id = hub_doc").select("doc_id", "lo", "hi")).union(
+        lines.where("doc_id = hub_doc").select("hub_doc", "hub_lo", "hub_hi")).distinct()
     asked = asked.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
     parts = texts.join(asked, "doc_id").mapInArrow(_slices, "doc_id long, lo int, hi int, words binary")
     parts = written(parts.dropDuplicates(["doc_id", "lo", "hi"]), "parts")
@@ -224,12 +286,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                              F.col("words").alias("hub_words"))
     both = written(pairs.join(parts, ["doc_id", "lo", "hi"]).join(hub_parts, ["hub_doc", "hub_lo", "hub_hi"]), "both")
 
-    run_spans = both.where("room is not null").mapInArrow(_verify_runs, "doc_id long, first int, last int")
+    verified = both.where("room is not null").mapInArrow(
+        _verify_runs, "doc_id long, first int, last int, hub_doc long, shift int, same_to int")
+    verified = written(verified, "verified")
+    run_spans = verified.select("doc_id", "first", "last").union(_longer_with_others(texts, windows, verified))
     links = both.where("room is null").mapInArrow(
         _verify_lines, "doc_id long, lo int, hi int, hub_doc long, hub_lo int, hub_hi int")
-    clusters = components(links.select(
+    links = written(links.select(
         F.struct("doc_id", "lo", "hi").alias("a"),
-        F.struct(F.col("hub_doc").alias("doc_id"), F.col("hub_lo").alias("lo"), F.col("hub_hi").alias("hi")).alias("b")))
+        F.struct(F.col("hub_doc").alias("doc_id"), F.col("hub_lo").alias("lo"), F.col("hub_hi").alias("hi")).alias("b")), "similar")
+    clusters = components(links)
     line_spans = clusters.where("node.doc_id <> component.doc_id").select(
         F.col("node.doc_id").alias("doc_id"), F.col("node.lo").alias("first"), F.col("node.hi").alias("last"))
     return run_spans.union(line_spans)

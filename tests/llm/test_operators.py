@@ -135,6 +135,17 @@ def test_bands_recall():
     assert hit >= 295
 
 
+def test_passage_of_which_an_earlier_document_has_a_piece(spark):
+    rows = []
+    for k in range(0, 120, 4):
+        passage = prose(500 + k, 55).split()
+        piece = " ".join(passage[5:50])
+        around = [prose(10_000 + 10 * k + i, 20 + 3 * i) for i in range(6)]
+        rows += [(k + i, f"{around[i]} {held} {around[i + 3]}") for i, held in enumerate((piece, " ".join(passage), " ".join(passage)))]
+    got = {r.doc_id: r.removed_words for r in paragraph_dedup.remove_repeats(documents(spark, rows)).collect()}
+    assert all((got[k], got[k + 1], got[k + 2]) == (0, 0, 55) for k in range(0, 120, 4)), got
+
+
 def test_each_occurrence_of_a_passage_goes(spark):
     passage = prose(70, 60)
     rows = [(1, f"{prose(1, 40)} {passage} {prose(2, 30)}"), (2, f"{prose(3, 30)} {passage} {prose(4, 45)} {passage} {prose(5, 30)}")]
