@@ -13,7 +13,8 @@ Two kinds of paragraphs are looked at:
   Windows that follow each other alike in two documents form runs; a run is
   verified word by word and extended to both sides as far as the words agree.
 
-Members of a bucket are first compared with its first one. Then windows around
+Members of a bucket are first compared with its first one. Then lines of a bucket
+that are in different clusters are compared across those; and windows around
 which a document does not agree with that first one give all passages of
 ``MIN_WORDS`` words that hold them, which are grouped by content.
 """
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +39,8 @@ from stratalake.llm.words import WordHashes, hash_words, mix, rows_of, shingle_s
 MIN_WORDS = 50
 WINDOW, REACH = 20, 31
 BANDS, ROWS, SHINGLE, SIMILARITY = 10, 3, 5, 0.8
+#: Lines of a bucket that are compared in one group.
+BLOCK = 256
 
 _ODD = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64), 101) | np.uint64(1)
 _WORD = re.compile(r"[^ \t-\r]+")
@@ -76,14 +80,16 @@ def window_starts(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def long_lines(text: str) -> list[tuple[int, int]]:
-    """First word and number of words of each line of at least ``MIN_WORDS`` words."""
-    found, at = [], 0
-    for line in text.split("\n"):
+    """First word and number of words of each line, and of each paragraph between blank lines, of at least ``MIN_WORDS`` words."""
+    found, at, top = {}, 0, 0
+    for line in [*text.split("\n"), ""]:
         n = len(line.encode("utf-8", "surrogatepass").split())
-        if n >= MIN_WORDS:
-            found.append((at, n))
+        for start in (at, top) if n else (top,):
+            if at + n - start >= MIN_WORDS and (start == at or not n):
+                found[start, at + n - start] = None
         at += n
-    return found
+        top = top if n else at
+    return list(found)
 
 
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
@@ -102,7 +108,8 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sets:
             keys = band_keys(sets)
             for k, (doc_id, start, n) in enumerate(lines):
-                out.append((keys[k], np.full(BANDS, doc_id), np.full(BANDS, start), np.full(BANDS, n)))
+                own = np.append(keys[k], whole[k])
+                out.append((own, *(np.full(len(own), x) for x in (doc_id, start, n))))
         if not out:
             return None
         key, doc, start, n = (np.concatenate(x) for x in zip(*out, strict=True))
@@ -110,7 +117,7 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [signed(key), doc.astype(np.int64), start.astype(np.int32), n.astype(np.int32)],
             names=["key", "doc_id", "start", "n"])
 
-    memory, out, sets, lines, held = WordHashes(), [], [], [], 0
+    memory, out, sets, lines, whole, held = WordHashes(), [], [], [], [], 0
     for doc_id, text in rows_of(batches, "doc_id", "text"):
         hashes = hash_words(split_words(text), memory)
         at, content = window_starts(hashes)
@@ -119,11 +126,13 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start, n in long_lines(text) if len(hashes) >= MIN_WORDS else ():
             lines.append((doc_id, start, n))
             sets.append(shingles(hashes[start:start + n], SHINGLE))
+            # a band of its own for equal lines
+            whole.append(np.uint64(xxhash.xxh64_intdigest(hashes[start:start + n].tobytes(), 320)))
         held += len(hashes)
         if held > 100_000:
             if (batch := flush()) is not None:
                 yield batch
-            out, sets, lines, held = [], [], [], 0
+            out, sets, lines, whole, held = [], [], [], [], 0
     if (batch := flush()) is not None:
         yield batch
 
@@ -222,6 +231,54 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(at[part].astype(np.int32))], names=["one", "two", "doc_id", "first"])
 
 
+def _similar_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between similar lines of different clusters and documents."""
+    for low, high, members in rows_of(batches, "low", "high", "members"):
+        sets = [shingle_set(np.frombuffer(m["words"], np.uint32).astype(np.uint64), SHINGLE) for m in members]
+        first, second = ([k for k, m in enumerate(members) if m["block"] == b] for b in (low, high))
+        found = []
+        for i in first:
+            for j in second:
+                x, y = members[i], members[j]
+                if low == high and j <= i or x["component"] == y["component"]:
+                    continue
+                # equal lines stand for each other
+                a, b = (x["one"], y["one"]) if x["one"]["doc_id"] != y["one"]["doc_id"] else (
+                    (x["other"], y["one"]) if x["other"]["doc_id"] != y["one"]["doc_id"] else (x["one"], y["other"]))
+                if a["doc_id"] == b["doc_id"] or min(len(sets[i]), len(sets[j])) < SIMILARITY * max(len(sets[i]), len(sets[j])):
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if common and common >= SIMILARITY * (len(sets[i]) + len(sets[j]) - common):
+                    found.append((a, b))
+        node = pa.struct([("doc_id", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], node) for k in (0, 1)], names=["a", "b"])
+
+
+_NODE = "struct<doc_id: long, lo: int, hi: int>"
+
+
+def _across(lines: DataFrame, labels: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links ``a, b`` of similar lines of buckets that hold lines of different clusters."""
+    at = lambda node, new: labels.select(F.col("node").alias(node), F.col("component").alias(new))
+    nodes = lines.select("key", F.struct("doc_id", "lo", "hi").alias("node"), F.expr(
+        "named_struct('doc_id', hub_doc, 'lo', hub_lo, 'hi', hub_hi)").alias("hub"))
+    placed = nodes.join(at("node", "c"), "node", "left").join(at("hub", "c_hub"), "hub", "left").select(
+        "key", "node", "hub", F.coalesce("c", "node").alias("c"), F.coalesce("c_hub", "hub").alias("c_hub"))
+    placed = written(placed, "placed")
+    inside = placed.join(written(placed.where("c <> c_hub").select("key").distinct(), "open"), "key", "left_semi")
+    inside = inside.select("key", "node", "c").union(inside.select("key", "hub", "c_hub")).distinct()
+    words = parts.select(F.struct("doc_id", "lo", "hi").alias("node"), "words")
+    members = inside.join(words, "node").groupBy("key", F.col("c").alias("component"), F.xxhash64("words").alias("digest")).agg(
+        F.min("node").alias("one"), F.max("node").alias("other"), F.first("words").alias("words"))
+    members = written(members, "members")
+    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("one", F.lit(3)), F.col("blocks")).cast("int"))
+    split = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    grouped = split.groupBy("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high")).agg(
+        F.collect_list(F.struct("component", "one", "other", "words", "block")).alias("members"))
+    return written(grouped.mapInArrow(_similar_in_blocks, f"a {_NODE}, b {_NODE}").distinct(), "across")
+
+
 def _longer_with_others(texts: DataFrame, windows: DataFrame, runs: DataFrame) -> DataFrame:
     """``doc_id, first, last`` of passages that repeat an earlier document other than the window's first one.
 
@@ -296,6 +353,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.struct("doc_id", "lo", "hi").alias("a"),
         F.struct(F.col("hub_doc").alias("doc_id"), F.col("hub_lo").alias("lo"), F.col("hub_hi").alias("hi")).alias("b")), "similar")
     clusters = components(links)
+    more = _across(lines, clusters, parts)
+    if not more.isEmpty():
+        clusters = components(links.union(more))
     line_spans = clusters.where("node.doc_id <> component.doc_id").select(
         F.col("node.doc_id").alias("doc_id"), F.col("node.lo").alias("first"), F.col("node.hi").alias("last"))
     return run_spans.union(line_spans)

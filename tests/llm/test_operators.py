@@ -153,6 +153,26 @@ def test_each_occurrence_of_a_passage_goes(spark):
     assert got[2].removed_words == 120 and got[2].text == f"{prose(3, 30)} {prose(4, 45)} {prose(5, 30)}"
 
 
+def test_lines_of_one_bucket_are_compared_with_each_other(spark, monkeypatch):
+    monkeypatch.setattr(paragraph_dedup, "BANDS", 1)  # every line of one bucket, and the first is unlike the rest
+    monkeypatch.setattr(paragraph_dedup, "band_keys", lambda sets: np.full((len(sets), 1), 7, np.uint64))
+    line = prose(80, 90).split()
+    near = [*line[:45], "x", *line[46:]]
+    rows = [(1, prose(81, 90)), (2, " ".join(line)), (3, prose(82, 70)), (4, " ".join(near))]
+    got = {r.doc_id: r.removed_words for r in paragraph_dedup.remove_repeats(documents(spark, rows)).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 90}
+
+
+def test_paragraphs_of_short_lines(spark):
+    words = prose(90, 96).split()
+    changed = [*words[:30], "x", *words[31:62], "y", *words[63:]]
+    lay = lambda w: "\n".join(" ".join(w[k:k + 12]) for k in range(0, 96, 12))
+    rows = [(1, f"{prose(1, 20)}\n\n{lay(words)}\n\n{prose(2, 20)}"), (2, f"{prose(3, 20)}\n \n{lay(changed)}\n\n{prose(4, 20)}")]
+    got = {r.doc_id: r for r in paragraph_dedup.remove_repeats(documents(spark, rows)).collect()}
+    assert got[1].removed_words == 0 and got[2].removed_words == 96
+    assert paragraph_dedup.long_lines("a\n\n" + lay(words) + "\n") == [(1, 96)]
+
+
 # -- packing ------------------------------------------------------------------------
 
 def clip_ids(text):
