@@ -614,7 +614,10 @@ def _per_member(lake: Lake) -> DataFrame:
 
 @query(_PER_MEMBER)
 def refresh_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two incremental refreshes: the second brings later drops and pages, claims again, plan changes and no new providers."""
+    """Two incremental refreshes: the second brings later drops and pages, claims again, plan changes and no new providers.
+
+    Each finds one page that is cut off.
+    """
     root = run_folder(spark, "refresh_twice")
     lake = Lake(spark, f"{root}/lake")
     whole, early = L.operational_tables(spark, sf_dir), F.col("updated_at") < F.lit("2005-06-01").cast("timestamp_ntz")
@@ -626,8 +629,11 @@ def refresh_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     for run, tables in enumerate((first, again)):
         L.write_csv_drops(spark, sf_dir, f"{root}/drops", run)
         L.write_event_pages(spark, sf_dir, f"{root}/pages", run)
-        refresh(lake, f"{root}/drops", f"{root}/pages", tables, loaded_at=A.FIRST_LOAD, checkpoints=f"{root}/checkpoints",
-                full_audit=False)
+        spark.createDataFrame([('{"data": [',)], "value string").write.text(f"{root}/pages/cut_off{run}")
+        audits = refresh(lake, f"{root}/drops", f"{root}/pages", tables, loaded_at=A.FIRST_LOAD, checkpoints=f"{root}/checkpoints",
+                         full_audit=False)
+        if (lost := sum(a.rows_incomplete for a in audits)) != 1:
+            raise RuntimeError(f"{lost} broken pages counted, not 1")
     return _per_member(lake)
 
 

@@ -1,8 +1,8 @@
 from stratalake.sources.csv_drop import csv_drops, source_file, split_incomplete, stream_csv_drops
-from stratalake.sources.json_pages import broken_pages, event_pages, events_since, stream_event_pages
+from stratalake.sources.json_pages import broken_pages, event_pages, events_since, split_pages, stream_event_pages
 from stratalake.sources.tables import as_text, changed_since, jdbc_table
 
 __all__ = [
     "as_text", "broken_pages", "changed_since", "csv_drops", "event_pages", "events_since", "jdbc_table",
-    "source_file", "split_incomplete", "stream_csv_drops", "stream_event_pages",
+    "source_file", "split_incomplete", "split_pages", "stream_csv_drops", "stream_event_pages",
 ]

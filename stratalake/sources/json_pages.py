@@ -47,15 +47,25 @@ def broken_pages(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     A page is one line: one that is cut off, or laid out over several lines, gives a row per
     line. ``page`` is the line as it stands, where it is not JSON.
     """
-    found = _landed(spark, folder, **options).withColumn("reason", _reason()).where("reason is not null")
-    return found.select(F.col("_metadata.file_path").alias("file"), "reason", F.col(CORRUPT).alias("page"))
+    return _broken(_landed(spark, folder, **options).withColumn("file", F.col("_metadata.file_path")))
+
+
+def _broken(pages: DataFrame) -> DataFrame:
+    found = pages.withColumn("reason", _reason()).where("reason is not null")
+    return found.select("file", "reason", F.col(CORRUPT).alias("page"))
 
 
 def stream_event_pages(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(EVENT_PAGE_SCHEMA).option("recursiveFileLookup", "true")
+    """The landed pages, whole or not; ``split_pages`` takes a micro-batch of them apart."""
+    reader = spark.readStream.schema(_READ_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _events(reader.json(folder))
+    return reader.json(folder).withColumn("file", F.col("_metadata.file_path"))
+
+
+def split_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The events as by ``event_pages``, and what is broken as by ``broken_pages``."""
+    return _events(pages), _broken(pages)
 
 
 def events_since(events: DataFrame, since: str) -> DataFrame:

@@ -73,3 +73,17 @@ def test_events_are_taken_however_late(spark, lake, folder):
     page_of(pages, "p2.json", event(1, "2026-07-02T12:00:00"), event(2, "2025-01-01T00:00:00"))
     run(follow_event_pages(lake, str(pages), mark))
     assert [r[0] for r in rows(read_bronze(lake, ENROLLMENT_EVENTS), "event_id")] == ["EV1", "EV2"]
+
+
+def test_broken_pages_are_kept_and_counted(spark, lake, folder):
+    pages, mark, audits = folder / "pages", str(folder / "checkpoint"), []
+    pages.mkdir()
+    page_of(pages, "p1.json", event(1))
+    (pages / "p2.json").write_text('{"data": [{"event_id": "x\n{"count": 3}\n{"data": [{"event_id": "e9"}], "count": 2}\n')
+    run(follow_event_pages(lake, str(pages), mark, audits=audits))
+    page_of(pages, "p3.json", event(2))
+    run(follow_event_pages(lake, str(pages), mark, audits=audits))
+    assert [a.rows_incomplete for a in audits] == [3, 0]
+    assert read_bronze(lake, ENROLLMENT_EVENTS).count() == 3
+    kept = spark.read.parquet(lake.path("bronze", "incomplete_event_pages"))
+    assert rows(kept, "reason") == [("no list of events",), ("not a page in JSON",), ("not as many events as it says",)]
