@@ -22,9 +22,13 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies: five-word shingles, similarity of 0.8 or more."""
-    kept = jaccard_components(docs, size=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """One document of every group of near copies: five-word shingles, similarity of 0.8 or more.
+
+    Rows with a NULL doc_id are compared with nothing and stay. Rows that share a doc_id
+    are one document: all of them stay or all go, exact copies included.
+    """
+    copies = jaccard_components(docs, size=5, percent=80).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,6 +94,14 @@ def test_jaccard_repeated_and_empty(spark):
     assert jaccard_join.jaccard_components(documents(spark, [])).count() == 0
 
 
+def test_rows_without_an_id_stay_in_the_pipeline(spark):
+    import corpus_pipeline
+
+    rows = [(1, prose(1, 40)), (2, prose(1, 40)), (3, prose(2, 40)), (3, prose(2, 40)), (None, prose(1, 40)), (None, "other")]
+    got = corpus_pipeline.one_of_each_group(spark, documents(spark, rows), "")
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(r for r in rows if r[0] != 2)
+
+
 # -- substring dedup --------------------------------------------------------------
 
 def test_remove_repeats(spark):
