@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import chat
+from stratalake.llm import chat, periodic_runs
 from stratalake.llm import oracle as O
 from stratalake.llm.bm25 import top_k
+from stratalake.llm.graph_search import nearest
 from stratalake.llm.html_main import extract_main_text
 from stratalake.llm.jaccard_join import jaccard_components
 from stratalake.llm.packing import pack
@@ -18,6 +19,7 @@ from stratalake.llm.quality import scores, train
 from stratalake.llm.tables import table
 from stratalake.llm.token_files import token_file_rows
 from stratalake.llm.vector_dups import near_duplicate_vectors
+from stratalake.llm.whitening import whiten
 
 #: Texts of conversation -1: control strings of a common chat template.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -70,11 +72,25 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.where("vec_id % 100 = 0").selectExpr("vec_id as query_id", "embedding"), k=10)
+
+
+def op12_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.collapse_runs(docs, least=24, times=3))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), most=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat_formatting, op2_best_fit_packing, op3_html_extraction, op4_exact_top_k_search, op5_substring_dedup,
         op6_token_id_output, op7_embedding_near_dedup, op8_ngram_jaccard_join, op9_sentencepiece_codec,
-        op10_quality_classifier,
+        op10_quality_classifier, op11_approximate_nearest_neighbours, op12_periodic_run_detection, op13_embedding_whitening,
     )
 }
 ORACLE: dict[str, str] = {
