@@ -34,7 +34,7 @@ def parser() -> argparse.ArgumentParser:
                    help="an operational table: a Parquet folder or a jdbc: URL; once per table")
     p.add_argument("--jdbc-schema", default="dbo")
     p.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
-    p.add_argument("--full", action="store_true", help="load from the beginning and set the watermarks anew")
+    p.add_argument("--full", action="store_true", help="load from the beginning, set the watermarks anew and build all models anew")
     p.add_argument("--views", action="store_true", help="publish SQL views at the end")
     return p
 
@@ -61,7 +61,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         "load-tables": lambda: [
             load_changed_table(lake, s, tables[s.name], args.full) for s in CHANGED_TABLES if s.name in tables
         ],
-        "build-models": lambda: build_models(lake) or [],
+        "build-models": lambda: build_models(lake, args.full) and [],
         "refresh": lambda: refresh(lake, args.drops, args.pages, tables, args.full),
     }
     audits = steps[args.step]()

@@ -1,25 +1,33 @@
 """Where the tables live: plain Parquet folders below one root.
 
-Two layouts cover all tables. Insert-only tables hold one ``load_id=`` folder
-per load. Tables that are replaced as a whole (upserted dimensions, silver,
-gold, watermarks) hold ``v=`` folders of which the newest committed one counts;
-a replacement that dies half-way leaves readers on the version before it. Each
-table has one writer at a time.
+Bronze, silver and gold tables are laid out by key hash with a log of what is
+committed (see ``keyed``). Two simpler layouts serve the rest: rows set aside
+stand in one ``load_id=`` folder per load, and small tables that are replaced
+as a whole, such as the watermarks, in ``v=`` folders of which the newest
+committed one counts. A write that dies half-way leaves readers on what was
+committed before it. Each table has one writer at a time.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.session import empty_frame
 
+if TYPE_CHECKING:
+    from stratalake.keyed import KeyedTable
+
 DEFAULT_SCHEMA = "SILVER"
 COMMIT_MARK = "_COMMITTED"
 
+#: Hash buckets of a new table; ``KeyedTable.compact`` deals a grown one into more.
+BUCKETS = 16
+
 
 def schema_name(layer: str | None) -> str:
     """A layer's schema name: trimmed and upper-cased, or the default."""
@@ -30,6 +38,7 @@ def schema_name(layer: str | None) -> str:
 class Lake:
     spark: SparkSession
     root: str
+    buckets: int = BUCKETS  # of tables not written yet
 
     def path(self, layer: str | None, name: str) -> str:
         return f"{self.root.rstrip('/')}/{schema_name(layer)}/{name}"
@@ -52,7 +61,24 @@ class Lake:
         fs, p = self._fs(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
-    # -- insert-only tables --------------------------------------------------
+    def create_text(self, path: str, text: str) -> None:
+        """A small file; fails if it is there already."""
+        fs, p = self._fs(path)
+        out = fs.create(p, False)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    def read_text(self, path: str) -> str:
+        fs, p = self._fs(path)
+        source = fs.open(p)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        finally:
+            source.close()
+
+    # -- rows set aside ------------------------------------------------------
 
     def append_load(self, layer: str, name: str, df: DataFrame, load_id: str, replace: bool = False) -> int:
         """Add rows to a load's folder, or ``replace`` what is there; returns how many were added."""
@@ -104,7 +130,16 @@ class Lake:
                 self.remove(f"{path}/v={version}")
         return new
 
+    def keyed(self, layer: str, name: str, key: str = "", schema: T.StructType | None = None) -> KeyedTable:
+        """A table laid out by key hash; readers need not know the key."""
+        from stratalake.keyed import KeyedTable
+
+        return KeyedTable(self, layer, name, key, schema)
+
     def read(self, layer: str | None, name: str, schema: T.StructType | None = None) -> DataFrame:
+        """The committed rows of a table of either kind."""
+        if self.exists(f"{self.path(layer, name)}/_log"):
+            return self.keyed(layer, name, schema=schema).read()
         version = self.current(layer, name)
         if version is None:
             if schema is None:
@@ -115,13 +150,13 @@ class Lake:
 
     # -- staging -------------------------------------------------------------
 
-    def stage(self, name: str, df: DataFrame, load_id: str) -> tuple[str, DataFrame]:
-        """Write a batch once and read it back.
+    def stage(self, name: str, df: DataFrame, load_id: str, *metrics: Column) -> tuple[str, DataFrame, dict]:
+        """Write a batch once and read it back, with the ``metrics`` asked for.
 
         The source is read a single time, later steps see the same rows even if
         tasks are run again, and Spark knows the batch's size when it plans the
-        merge.
+        merge. Metrics are aggregates that the writing tasks take along the way.
         """
-        path = f"{self.path('staging', name)}/{load_id}"
-        df.write.mode("overwrite").parquet(path)
-        return path, self.spark.read.schema(df.schema).parquet(path)
+        path, seen = f"{self.path('staging', name)}/{load_id}", Observation()
+        (df.observe(seen, *metrics) if metrics else df).write.mode("overwrite").parquet(path)
+        return path, self.spark.read.schema(df.schema).parquet(path), seen.get if metrics else {}

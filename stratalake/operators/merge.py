@@ -59,12 +59,14 @@ def upsert(
     keys: Sequence[str],
     keep: Sequence[str] = (),
     newer_by: str | None = None,
+    flags: bool = False,
 ) -> DataFrame:
     """Target with matching rows replaced by the batch's and new keys added.
 
     ``keep`` names columns whose first value survives an update. With
     ``newer_by`` a row is only replaced when the batch's timestamp there is not
-    older. One join, so target and batch are each shuffled once.
+    older. One join, so target and batch are each shuffled once. ``flags`` adds
+    the columns ``_inserted`` and ``_matched``, for whoever counts rows.
     """
     tgt = target.withColumn("_in_target", F.lit(True)).alias("tgt")
     src = batch.withColumn("_in_batch", F.lit(True)).alias("src")
@@ -83,4 +85,5 @@ def upsert(
             F.when(take_batch, theirs).otherwise(mine)
         return chosen.alias(column)
 
-    return tgt.join(src, same_key, "full_outer").select(*[pick(c) for c in target.columns])
+    marks = [(in_batch & ~in_target).alias("_inserted"), (in_batch & in_target).alias("_matched")] if flags else []
+    return tgt.join(src, same_key, "full_outer").select(*[pick(c) for c in target.columns], *marks)

@@ -7,10 +7,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake import watermark
+from stratalake.functions import iso_text
+from stratalake.keyed import KeyedTable, Snapshot
 from stratalake.lake import Lake
 from stratalake.operators import latest_by, unmatched, upsert
 from stratalake.schemas import ENROLLMENT_EVENTS, LOADED_AT, PHARMACY_CLAIMS, TableSpec
@@ -54,10 +56,13 @@ def audit_frame(spark: SparkSession, audits: Sequence[LoadAudit]) -> DataFrame:
     return spark.createDataFrame([tuple(asdict(a).values()) for a in audits], AUDIT_SCHEMA)
 
 
+def bronze_table(lake: Lake, spec: TableSpec) -> KeyedTable:
+    """A bronze table, in buckets by the first column of its key, which is its silver table's key."""
+    return lake.keyed("bronze", spec.bronze_name, spec.key[0], spec.bronze_schema)
+
+
 def read_bronze(lake: Lake, spec: TableSpec) -> DataFrame:
-    if spec.update_on_match:
-        return lake.read("bronze", spec.bronze_name, spec.bronze_schema)
-    return lake.read_loads("bronze", spec.bronze_name, spec.bronze_schema)
+    return bronze_table(lake, spec).read()
 
 
 def load_batch(
@@ -74,68 +79,68 @@ def load_batch(
 ) -> LoadAudit:
     """Merge a batch into its bronze table, then move the watermark.
 
-    The batch is staged first, so its source is read once. Loading again after
+    The batch is staged first, so its source is read once; rows, newest time and
+    buckets are counted by the tasks that stage it. The merge reads the batch's
+    buckets of the table only, and becomes visible as a whole. Loading again after
     a failure adds only what is missing. With ``fixed_batch`` the ``load_id``
     stands for exactly this batch, as a stream's does, and a second load
     replaces the first, which also keeps rows with a NULL key from doubling.
-    ``full_audit=False`` leaves two counts out of an insert-only load's audit:
-    distinct keys, which shuffles the batch's keys once more, and the whole
-    table, which opens every file's footer. Rows without one of the
+    ``full_audit=False`` leaves the count of distinct keys, which shuffles the
+    batch's keys once more, out of an insert-only load's audit. Rows without one of the
     ``required`` columns go to the table ``incomplete_...`` instead. Rows dated
     more than ``AHEAD`` in the future are loaded but do not move the watermark;
     ``reset_watermark`` sets it by this batch alone, as a full pull does.
     """
     load_id = load_id or datetime.now().strftime("%Y%m%dT%H%M%S%f")
-    staged_at, staged = lake.stage(spec.name, as_text(batch.select(*spec.batch_columns)), load_id)
+    table = bronze_table(lake, spec)
+    before = table.snapshot()
+    clock = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
+    metrics = [F.count(F.lit(1)).alias("rows"), F.collect_set(table.bucket(before.buckets)).alias("buckets")]
+    if spec.watermark_column:
+        until = F.greatest(clock, F.localtimestamp()) + F.expr(f"INTERVAL {AHEAD}")
+        metrics.append(iso_text(watermark.newest_time(spec.watermark_column, until)).alias("newest"))
+    staged_at, staged, seen = lake.stage(spec.name, as_text(batch.select(*spec.batch_columns)), load_id, *metrics)
     try:
-        return _merge_staged(lake, spec, staged, load_id, loaded_at, since, full_audit, required, fixed_batch,
-                             reset_watermark)
+        return _merge_staged(table, spec, staged, seen, before, load_id, clock, since, full_audit, required, fixed_batch, reset_watermark)
     finally:
         lake.remove(staged_at)
 
 
 def _merge_staged(
-    lake: Lake, spec: TableSpec, staged: DataFrame, load_id: str, loaded_at: str | None, since: str | None,
-    full_audit: bool, required: Sequence[str], fixed_batch: bool, reset_watermark: bool,
+    table: KeyedTable, spec: TableSpec, staged: DataFrame, seen: dict, before: Snapshot, load_id: str, clock: Column,
+    since: str | None, full_audit: bool, required: Sequence[str], fixed_batch: bool, reset_watermark: bool,
 ) -> LoadAudit:
-    rows_in = staged.count()
+    lake, rows_in = table.lake, seen["rows"]
     if not rows_in:
         log.warning("%s: nothing to load", spec.name)
-        total = read_bronze(lake, spec).count() if full_audit else None
-        return LoadAudit(spec.name, load_id, since, 0, 0, 0, 0, total, 0, None)
+        return LoadAudit(spec.name, load_id, since, 0, 0, 0, 0, before.rows, 0, None)
 
     incomplete = 0
     if required:
         staged, lacking = split_incomplete(staged, required)
         incomplete = lake.append_load("bronze", f"incomplete_{spec.name}", lacking, load_id, fixed_batch)
 
-    clock = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
     one_per_key = latest_by(staged, spec.key, spec.order_by, spec.newest)
-    batch_keys = staged.select(*spec.key).distinct()
-    keys = batch_keys.count() if full_audit or spec.update_on_match else None
-
+    batch_keys, buckets = staged.select(*spec.key).distinct(), sorted(seen["buckets"])
+    keys = inserted = updated = 0
     if spec.update_on_match:
-        before = read_bronze(lake, spec)
-        rows_before = before.count()
-        merged = upsert(before, one_per_key.withColumn(LOADED_AT, clock), spec.key, keep=[LOADED_AT], newer_by=spec.newer_by)
-        lake.replace("bronze", spec.bronze_name, merged)
-        rows_total = read_bronze(lake, spec).count()
-        inserted = rows_total - rows_before
-        updated = keys - inserted
+        merged = upsert(table.read(buckets, before), one_per_key.withColumn(LOADED_AT, clock), spec.key, keep=[LOADED_AT],
+                        newer_by=spec.newer_by, flags=True)
+        counts = table.rewrite(merged, buckets, load_id, before, counted=["_inserted", "_matched"], added="_inserted")
+        inserted, updated = counts["_inserted"], counts["_matched"]
+        keys = inserted + updated
     else:
-        but = load_id if fixed_batch else None
-        target = lake.read_loads("bronze", spec.bronze_name, spec.bronze_schema, but)
-        fresh = unmatched(one_per_key, target, spec.key, batch_keys=batch_keys)
-        fresh = fresh.withColumn(LOADED_AT, clock)
-        inserted, updated = lake.append_load("bronze", spec.bronze_name, fresh, load_id, fixed_batch), 0
-        rows_total = read_bronze(lake, spec).count() if full_audit else None
+        keys = batch_keys.count() if full_audit else None
+        if not (fixed_batch and before.merged_load(load_id)):  # else it is there, in a folder with others
+            known = [p for p in before.parts if not (fixed_batch and p.loads == (load_id,))]
+            fresh = unmatched(one_per_key, table.read(buckets, before, known), spec.key, batch_keys=batch_keys)
+            inserted = table.append(fresh.withColumn(LOADED_AT, clock), load_id, before, replacing=fixed_batch)
 
     newest = None
     if spec.watermark_column:
-        until = F.greatest(clock, F.localtimestamp()) + F.expr(f"INTERVAL {AHEAD}")
-        seen = watermark.newest(staged, spec.source_name, spec.watermark_column, until)
-        newest = watermark.commit(lake, spec.source_name, seen, reset_watermark)
-    audit = LoadAudit(spec.name, load_id, since, rows_in, keys, inserted, updated, rows_total, incomplete, newest)
+        mark = lake.spark.createDataFrame([(spec.source_name, seen["newest"])], "source_name string, last_watermark string")
+        newest = watermark.commit(lake, spec.source_name, mark, reset_watermark)
+    audit = LoadAudit(spec.name, load_id, since, rows_in, keys, inserted, updated, table.snapshot().rows, incomplete, newest)
     log.info("loaded %s", audit)
     return audit
 

@@ -74,12 +74,21 @@ SILVER_MODELS = {
 }
 
 
+def typed(model: SilverModel, bronze: DataFrame) -> DataFrame:
+    """The bronze rows with their text parsed."""
+    return bronze.select(*[
+        model.parse[c](c).alias(c) if c in model.parse else F.col(c)
+        for c in (*model.bronze.batch_columns, S.LOADED_AT)
+    ])
+
+
 def build_silver(model: SilverModel | str, bronze: DataFrame) -> DataFrame:
     """Parse the bronze text and keep the newest row of each key."""
     if isinstance(model, str):
         model = SILVER_MODELS[model]
-    typed = bronze.select(*[
-        model.parse[c](c).alias(c) if c in model.parse else F.col(c)
-        for c in (*model.bronze.batch_columns, S.LOADED_AT)
-    ])
-    return latest_by(typed, [model.key], model.newest_by)
+    return latest_by(typed(model, bronze), [model.key], model.newest_by)
+
+
+def add_to_silver(model: SilverModel, silver: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Silver rows with more bronze rows added: the newest of old and new is the newest of all."""
+    return latest_by(silver.unionByName(typed(model, bronze)), [model.key], model.newest_by)

@@ -52,16 +52,19 @@ def read_since(lake: Lake, source: str, lookback: str, full: bool = False) -> st
     return row["since"] if row and row["since"] else FIRST_WATERMARK
 
 
-def newest(batch: DataFrame, source: str, column: str, until: Column | None = None) -> DataFrame:
-    """One row: the source and the newest parseable time of its batch (NULL if none).
+def newest_time(column: str, until: Column | None = None) -> Column:
+    """The newest parseable time of a batch (NULL if none), as an aggregate.
 
     Times after ``until`` do not count: one row dated far ahead would otherwise
     keep all later ones out of every pull.
     """
     time = safe_timestamp(column)
-    if until is not None:
-        time = F.when(time <= until, time)
-    return batch.agg(iso_text(F.max(time)).alias("last_watermark")).select(
+    return F.max(time if until is None else F.when(time <= until, time))
+
+
+def newest(batch: DataFrame, source: str, column: str, until: Column | None = None) -> DataFrame:
+    """One row: the source and the ``newest_time`` of its batch."""
+    return batch.agg(iso_text(newest_time(column, until)).alias("last_watermark")).select(
         F.lit(source).alias("source_name"), "last_watermark"
     )
 

@@ -73,7 +73,7 @@ def test_missing_tables(spark, lake):
 
 
 def test_staging_is_below_the_root(spark, lake):
-    path, staged = lake.stage("t", numbers(spark, 1, 2), "load")
+    path, staged, _ = lake.stage("t", numbers(spark, 1, 2), "load")
     assert path.startswith(lake.root) and staged.count() == 2
     lake.remove(path)
     assert not lake.exists(path)

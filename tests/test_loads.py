@@ -219,4 +219,4 @@ def test_audit_frame(spark, lake):
     row = audit_frame(spark, [audit]).first().asDict()
     assert row["table"] == "members" and row["rows_inserted"] == 1 and row["watermark"] == audit.watermark
     quick = load_batch(lake, MEDICAL_CLAIMS, batch(spark, MEDICAL_CLAIMS, {"claim_id": "C1"}), "l1", full_audit=False)
-    assert quick.rows_total is None and quick.rows_deduped is None and quick.rows_inserted == 1
+    assert quick.rows_total == 1 and quick.rows_deduped is None and quick.rows_inserted == 1

@@ -1,5 +1,6 @@
 from stratalake.plans import read_bronze
 from stratalake.plans import bronze as loads
+from stratalake.plans.bronze import bronze_table
 from stratalake.schemas import ENROLLMENT_EVENTS, PHARMACY_CLAIMS
 from stratalake.streaming import follow_event_pages, follow_pharmacy_drops
 from tests.helpers import rows
@@ -44,8 +45,8 @@ def test_streams_of_two_folders_do_not_share_loads(spark, lake, folder):
         drop(folder / name, f"{name}.csv", V1, claim(1))
         queries.append(run(follow_pharmacy_drops(lake, str(folder / name), str(folder / f"{name}-checkpoint"))))
     assert rows(read_bronze(lake, PHARMACY_CLAIMS), "_source_file") == [("one.csv",), ("two.csv",)]
-    loads = [n for n in lake.children(lake.path("bronze", "bronze_pharmacy_claims")) if n.startswith("load_id=")]
-    assert sorted(loads) == sorted(f"load_id=stream-{q.id}-000000000000" for q in queries)
+    loads = [p.loads for p in bronze_table(lake, PHARMACY_CLAIMS).snapshot().parts]
+    assert sorted(loads) == sorted((f"stream-{q.id}-000000000000",) for q in queries)
 
 
 def test_a_failed_micro_batch_is_completed_on_restart(spark, lake, folder, monkeypatch):
@@ -53,7 +54,7 @@ def test_a_failed_micro_batch_is_completed_on_restart(spark, lake, folder, monke
     drops.mkdir()
     drop(drops, "a.csv", V1, claim(1))
     with monkeypatch.context() as broken:
-        broken.setattr(loads, "read_bronze", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        broken.setattr(loads, "unmatched", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
         query = follow_pharmacy_drops(lake, str(drops), mark)
         try:
             query.awaitTermination()
@@ -62,7 +63,7 @@ def test_a_failed_micro_batch_is_completed_on_restart(spark, lake, folder, monke
         assert query.exception() is not None
     run(follow_pharmacy_drops(lake, str(drops), mark))
     assert rows(read_bronze(lake, PHARMACY_CLAIMS), "claim_id") == [("RX1",)]
-    assert len([n for n in lake.children(lake.path("bronze", "bronze_pharmacy_claims")) if "load_id=" in n]) == 1
+    assert len(bronze_table(lake, PHARMACY_CLAIMS).snapshot().parts) == 1
 
 
 def test_events_are_taken_however_late(spark, lake, folder):
