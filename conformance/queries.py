@@ -13,12 +13,13 @@ from conformance.oracle import with_parts
 from stratalake import Lake, run_folder, watermark
 from stratalake import schemas as S
 from stratalake.functions import safe_date, safe_decimal, safe_int, safe_timestamp
+from stratalake.keyed import BUCKET, FOLDER
 from stratalake.operators import (
     frequent_keys, insert_only, keys_to_spread, latest_by, page, pages, unmatched, upsert,
 )
 from stratalake.plans import (
-    SILVER_MODELS, audit_frame, build_silver, claims_enriched, load_batch, load_pharmacy_drops, member_360,
-    read_bronze, refresh, schema_versions,
+    SILVER_MODELS, audit_frame, bronze_table, build_models, build_silver, claims_enriched, load_batch, load_changed_table,
+    load_pharmacy_drops, member_360, publish_views, read_bronze, refresh, schema_versions,
 )
 from stratalake.session import empty_frame
 from stratalake.sources import as_text, broken_pages, changed_since, event_pages, events_since, split_incomplete
@@ -279,6 +280,46 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(target, batch, ["member_id"], keep=["_loaded_at"])
 
 
+def _loaded_in_parts(lake: Lake, first: DataFrame, parts: int) -> None:
+    """The first run as so many loads."""
+    for part in range(parts):
+        load_batch(lake, S.ENROLLMENT_EVENTS, first.where(F.pmod(F.xxhash64("event_id"), F.lit(parts)) == part), f"run1-{part}")
+
+
+@query(_with_runs(f"""
+  select 'after' as seen, count(*) as n, count(distinct event_id) as keys, count(*) filter (plan_code like 'RUN2_%') as later from ({_INSERTED})
+  union all select 'meanwhile', count(*), count(distinct event_id), 0 from target"""))
+def merge_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load dies with half of its files written: readers see the rows before it, and the load that follows adds each row once."""
+    lake, spec = Lake(spark, run_folder(spark, "merge_failure")), S.ENROLLMENT_EVENTS
+    pulled = _second_pull(spark, sf_dir)
+    _loaded_in_parts(lake, _first_run(spark, sf_dir), 1)
+    table = bronze_table(lake, spec)
+    half = pulled.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0).withColumn("_loaded_at", F.localtimestamp())
+    half.withColumn(BUCKET, table.bucket(lake.buckets)).write.partitionBy(BUCKET).parquet(f"{table.data}/{FOLDER}=wdead")
+
+    def seen(rows: DataFrame, when: str) -> DataFrame:
+        return rows.agg(
+            F.lit(when).alias("seen"), F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("keys"),
+            F.count_if(F.col("plan_code").startswith("RUN2_")).alias("later"))
+
+    meanwhile = seen(read_bronze(lake, spec), "meanwhile")
+    load_batch(lake, spec, pulled, "run2")
+    return meanwhile.union(seen(read_bronze(lake, spec), "after"))
+
+
+@query(_with_runs(_INSERTED))
+def merge_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first run comes in four loads, which are put together, in more buckets too; the second pull merges into what that leaves."""
+    lake, spec = Lake(spark, run_folder(spark, "merge_compaction")), S.ENROLLMENT_EVENTS
+    _loaded_in_parts(lake, _first_run(spark, sf_dir), 4)
+    table = bronze_table(lake, spec)
+    if not (table.compact() and table.compact(buckets=24)) or len(table.snapshot().parts) != 1:
+        raise RuntimeError("the loads are not one folder")
+    load_batch(lake, spec, _second_pull(spark, sf_dir), "run2")
+    return read_bronze(lake, spec).drop("_loaded_at")
+
+
 # -- watermarks and incremental scans -------------------------------------------
 
 @query(with_parts(
@@ -539,6 +580,84 @@ def top_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page(silver("silver_providers", spark, sf_dir), ["provider_id"], 0, 5)
 
 
+# -- what loads leave behind ---------------------------------------------------------
+
+@query("select 'RX' || o_orderkey as claim_id, o_orderpriority as drug_name, o_orderstatus as pharmacy_npi, 'drop.csv' as _source_file from orders")
+def compressed_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drop with surplus fields stands there plain and compressed, beside an empty folder: each claim is one row."""
+    root = run_folder(spark, "compressed")
+    lake = Lake(spark, f"{root}/lake")
+    rows = A.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("RX"), F.col("o_orderkey")).alias("claim_id"),
+        *[F.lit("1").alias(c) for c in ("member_id", "ndc_code")], F.col("o_orderpriority").alias("drug_name"),
+        *[F.lit("1").alias(c) for c in ("quantity", "days_supply", "fill_time", "ingredient_cost", "copay_amount")],
+        F.col("o_orderstatus").alias("pharmacy_npi"), F.lit("more").alias("surplus"), F.lit("fields").alias("and_more"))
+    for compression in ("none", "gzip"):
+        rows.write.mode("append").option("header", True).option("escape", '"').option("compression", compression).csv(f"{root}/drops/drop.csv")
+    spark.range(0).selectExpr("'' AS value").write.text(f"{root}/none")
+    if load_pharmacy_drops(lake, f"{root}/none", "none").rows_in:
+        raise RuntimeError("an empty folder has rows")
+    load_pharmacy_drops(lake, f"{root}/drops", "first")
+    return read_bronze(lake, S.PHARMACY_CLAIMS).select("claim_id", "drug_name", "pharmacy_npi", S.SOURCE_FILE)
+
+
+@query("""with times as (select cast(o_orderdate as timestamp) + interval 4000 day as t, timestamp '2006-01-01' as early, timestamp '2007-01-01' as late
+    from orders), w as (select max(t) filter (t < early) as w1, max(t) filter (t < late) as w2, max(t) as w3 from times)
+  select 'first' as load_id, '2000-01-01T00:00:00' as since, count(*) filter (t < early) as rows_in, count(*) filter (t < early) as rows_inserted,
+    count(*) filter (t < early) as rows_total, strftime(any_value(w1), '%Y-%m-%dT%H:%M:%S.%f') as watermark from times, w
+  union all select 'next', strftime(any_value(w1) - interval 5 minutes, '%Y-%m-%dT%H:%M:%S.%f'), count(*) filter (t > w1 - interval 5 minutes),
+    count(*) filter (t >= early), count(*), strftime(any_value(w3), '%Y-%m-%dT%H:%M:%S.%f') from times, w
+  union all select 'full', '2000-01-01T00:00:00', count(*) filter (t < late), 0, count(*), strftime(any_value(w2), '%Y-%m-%dT%H:%M:%S.%f') from times, w""")
+def full_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pull from the beginning adds nothing that is there and sets the watermark by what it saw, even back."""
+    lake = Lake(spark, run_folder(spark, "full_pull"))
+    source = A.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("C"), F.col("o_orderkey")).alias("claim_id"),
+        *[F.lit(None).cast("string").alias(c) for c in S.MEDICAL_CLAIMS.columns[1:-1]],
+        (F.col("o_orderdate").cast("timestamp_ntz") + F.expr("INTERVAL 4000 DAYS")).alias("updated_at"))
+    until = lambda t: F.col("updated_at") < F.lit(t).cast("timestamp_ntz")
+    return audit_frame(spark, [
+        load_changed_table(lake, S.MEDICAL_CLAIMS, source.where(until("2006-01-01")), load_id="first"),
+        load_changed_table(lake, S.MEDICAL_CLAIMS, source, load_id="next"),
+        load_changed_table(lake, S.MEDICAL_CLAIMS, source.where(until("2007-01-01")), full=True, load_id="full"),
+    ]).select("load_id", "since", "rows_in", "rows_inserted", "rows_total", "watermark")
+
+
+@query("""select * from (
+    select unnest(['BRONZE', 'SILVER', 'GOLD']) as layer, unnest(['bronze_members', 'silver_members', 'gold_member_360']) as name, count(*) as n from customer
+    union all select unnest(['BRONZE', 'SILVER']), unnest(['bronze_providers', 'silver_providers']), count(*) from supplier
+    union all values ('BRONZE', 'ingestion_watermarks', 2))""")
+def published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and rows of the tables that SQL users see, by layer; tables without rows are not published."""
+    lake = Lake(spark, run_folder(spark, "published"))
+    load_batch(lake, S.MEMBERS, A.members_first(spark, sf_dir), "first")
+    load_batch(lake, S.PROVIDERS, A.bronze_providers(spark, sf_dir), "first")
+    build_models(lake)
+    counts = [
+        spark.table(name).agg(F.lit(name.split(".")[0]).alias("layer"), F.lit(name.split(".")[1]).alias("name"), F.count(F.lit(1)).alias("n"))
+        for name in publish_views(lake)]
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.union(more)
+    return out
+
+
+@query("""select 'bronze_members' as name, true as within, count(*) as n from customer union all select 'ingestion_watermarks', true, 1""")
+def load_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times that a load stores lie between its start and its end."""
+    lake = Lake(spark, run_folder(spark, "load_times"))
+    started = spark.range(1).select(F.localtimestamp().alias("t")).first()["t"]
+    load_batch(lake, S.MEMBERS, A.members_first(spark, sf_dir), "first")
+    ended = spark.range(1).select(F.localtimestamp().alias("t")).first()["t"]
+
+    def within(rows: DataFrame, name: str, column: str) -> DataFrame:
+        return rows.agg(F.lit(name).alias("name"), F.bool_and(F.col(column).between(F.lit(started), F.lit(ended))).alias("within"),
+                        F.count(F.lit(1)).alias("n"))
+
+    return within(read_bronze(lake, S.MEMBERS), "bronze_members", S.LOADED_AT).union(
+        within(watermark.state(lake), "ingestion_watermarks", "updated_at"))
+
+
 # -- loads end to end --------------------------------------------------------------
 
 @query(_with_runs("""
@@ -637,6 +756,34 @@ def refresh_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_member(lake)
 
 
+@query(_PER_MEMBER)
+def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads, each followed by the models: first rows, later drops, events and claims, then plan changes alone.
+
+    From the second on only buckets that changed are written.
+    """
+    lake = Lake(spark, run_folder(spark, "incremental"))
+    whole, early = L.operational_tables(spark, sf_dir), F.col("updated_at") < F.lit("2005-06-01").cast("timestamp_ntz")
+    one = latest_by(whole["medical_claims"], ["claim_id"], "updated_at")
+    some = F.pmod(F.xxhash64("claim_id"), F.lit(3)) > 0
+    drops, feed = A.pharmacy_drop_rows(spark, sf_dir), L.event_feed(spark, sf_dir)
+    later, other = F.col(S.SOURCE_FILE) >= L.HALFWAY_DROP, F.pmod(F.xxhash64("event_id"), F.lit(2)) == 1
+    members = whole["members"]
+    loads = (
+        ((S.PHARMACY_CLAIMS, drops.where(~later)), (S.ENROLLMENT_EVENTS, feed.where(~other)), (S.MEDICAL_CLAIMS, one.where(some)),
+         (S.MEMBERS, members.where(early)), (S.PROVIDERS, whole["providers"])),
+        ((S.PHARMACY_CLAIMS, drops.where(later)), (S.ENROLLMENT_EVENTS, feed.where(other)), (S.MEDICAL_CLAIMS, one)),
+        ((S.MEMBERS, members.where(~early)),),
+    )
+    for run, batches in enumerate(loads):
+        for spec, batch in batches:
+            load_batch(lake, spec, batch, f"run{run}", A.FIRST_LOAD, full_audit=False)
+        done = set(build_models(lake).values())
+        if run and "full" in done:
+            raise RuntimeError(f"run {run} has built a table anew")
+    return _per_member(lake)
+
+
 @query(_PER_MEMBER)
 def medallion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources landed, loaded and modelled; both gold tables read back and joined."""
