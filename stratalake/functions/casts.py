@@ -32,10 +32,11 @@ def safe_timestamp(value: Column | str) -> Column:
     """Timestamp without zone from ``yyyy-MM-dd``, with ``T`` or a space before any time.
 
     Years are 0001 to 9999. A zone after the time is dropped: times count as they are written.
+    The cast drops most zones itself; only where it fails are they cut off first.
     """
     text = _column(value)
-    moment = F.regexp_replace(text, r"(:\d{1,2}(?:\.\d{1,9})?)(?:Z|[+-]\d{1,2}:?\d{2})\s*$", "$1")
-    return F.when(text.rlike(MOMENT), moment.try_cast("timestamp_ntz"))
+    without_zone = F.regexp_replace(text, r"(:\d{1,2}(?:\.\d{1,9})?)(?:Z|[+-]\d{1,2}:?\d{2})\s*$", "$1")
+    return F.when(text.rlike(MOMENT), F.coalesce(text.try_cast("timestamp_ntz"), without_zone.try_cast("timestamp_ntz")))
 
 
 def safe_date(value: Column | str) -> Column:
