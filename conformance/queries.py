@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conformance import adapter as A
@@ -423,6 +423,57 @@ def stream_file_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(lake, S.PHARMACY_CLAIMS).drop("_loaded_at")
 
 
+@query(_BRONZE_DROPS)
+def stream_dedup_prefilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All drops are sent twice and followed; rows read within the last hour go before the merge."""
+    root = run_folder(spark, "stream_prefilter")
+    lake, audits = Lake(spark, f"{root}/lake"), []
+    for _ in range(2):
+        L.write_csv_drops(spark, sf_dir, f"{root}/drops")
+        follow_pharmacy_drops(lake, f"{root}/drops", f"{root}/checkpoint", loaded_at=A.FIRST_LOAD, audits=audits, full_audit=False,
+                              repeats_within="1 hour").awaitTermination()
+    if sum(a.rows_in for a in audits[1:]):
+        raise RuntimeError("rows read before have reached the merge")
+    return read_bronze(lake, S.PHARMACY_CLAIMS).drop("_loaded_at")
+
+
+_TEXTS = """select *, ['plain', 'a, b', 'say "x"', 'two' || chr(10) || 'lines', chr(10) || '"', 'x"' || chr(10) || '", y'][o_orderkey % 6 + 1] as odd from orders"""
+
+
+def _odd_text(key: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in ("plain", "a, b", 'say "x"', "two\nlines", '\n"', 'x"\n", y')]), (key % 6 + 1).cast("int"))
+
+
+@query(f"select 'RX' || o_orderkey as claim_id, cast(o_custkey as varchar) as member_id, odd as drug_name, 'drop.csv' as _source_file from ({_TEXTS})")
+def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields with commas, quotes and line breaks."""
+    root = run_folder(spark, "quoted_breaks")
+    lake = Lake(spark, f"{root}/lake")
+    A.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("RX"), F.col("o_orderkey")).alias("claim_id"), F.col("o_custkey").alias("member_id"), F.lit("1").alias("ndc_code"),
+        _odd_text(F.col("o_orderkey")).alias("drug_name"),
+    ).write.option("header", True).option("escape", '"').csv(f"{root}/drops/drop.csv")
+    audit = load_pharmacy_drops(lake, f"{root}/drops", "first", line_breaks=True)
+    if audit.rows_incomplete:
+        raise RuntimeError("whole records were set aside")
+    return read_bronze(lake, S.PHARMACY_CLAIMS).select("claim_id", "member_id", "drug_name", S.SOURCE_FILE)
+
+
+@query("""select 'RX' || o_orderkey as claim_id, cast(o_custkey as varchar) as member_id, case when o_orderkey % 2 = 0 then o_orderpriority end as drug_name,
+    case when o_orderkey % 2 = 0 then 'even.csv' else 'odd.csv' end as _source_file from orders""")
+def csv_permuted_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops with columns in another order, columns left out and columns of their own, taken by name."""
+    root = run_folder(spark, "permuted_headers")
+    lake = Lake(spark, f"{root}/lake")
+    orders = A.table(spark, sf_dir, "orders")
+    claim, member = F.concat(F.lit("RX"), F.col("o_orderkey")).alias("claim_id"), F.col("o_custkey").alias("member_id")
+    for name, rest, columns in (("even", 0, [F.col("o_orderpriority").alias("drug_name"), member, claim]),
+                                ("odd", 1, [F.lit("x").alias("other"), claim, member])):
+        orders.where(F.col("o_orderkey") % 2 == rest).select(*columns).write.option("header", True).csv(f"{root}/drops/{name}.csv")
+    load_pharmacy_drops(lake, f"{root}/drops", "first", by_name=True)
+    return read_bronze(lake, S.PHARMACY_CLAIMS).select("claim_id", "member_id", "drug_name", S.SOURCE_FILE)
+
+
 @query(with_parts(
     """select claim_id, _source_file,
          'pharmacy_npi' as missing from bronze_pharmacy_claims where pharmacy_npi is null""",

@@ -18,7 +18,7 @@ from stratalake.operators import latest_by, unmatched, upsert
 from stratalake.schemas import ENROLLMENT_EVENTS, LOADED_AT, PHARMACY_CLAIMS, TableSpec
 from stratalake.session import empty_frame
 from stratalake.sources import (
-    as_text, broken_pages, changed_since, csv_drops, event_pages, events_since, split_incomplete,
+    as_text, broken_pages, changed_since, csv_drops, csv_drops_with_breaks, event_pages, events_since, split_incomplete,
 )
 
 #: An operational table, or a function from a start time to the table.
@@ -147,18 +147,28 @@ def _merge_staged(
 
 def load_pharmacy_drops(
     lake: Lake, folder: str, load_id: str | None = None, loaded_at: str | None = None, required: Sequence[str] = (),
-    full_audit: bool = True,
+    full_audit: bool = True, line_breaks: bool = False, by_name: bool = False,
 ) -> LoadAudit:
     """Load every CSV drop in a folder; drops loaded before add nothing.
 
     Reads all files each time. ``streaming.follow_pharmacy_drops`` reads each
-    file once.
+    file once. With ``line_breaks`` quoted fields may hold them; ``by_name``, which
+    reads files the same way, takes columns by each file's header. Lines without an end of
+    their record are then kept in the table ``incomplete_drop_lines`` and counted as incomplete.
     """
-    if lake.exists(folder):
-        drops = csv_drops(lake.spark, folder)
-    else:
+    load_id = load_id or datetime.now().strftime("%Y%m%dT%H%M%S%f")
+    lost = 0
+    if not lake.exists(folder):
         drops = empty_frame(lake.spark, PHARMACY_CLAIMS.bronze_schema)
-    return load_batch(lake, PHARMACY_CLAIMS, drops, load_id, loaded_at, full_audit=full_audit, required=required)
+    elif line_breaks or by_name:
+        drops, broken = csv_drops_with_breaks(lake.spark, folder, by_name)
+        lost = lake.append_load("bronze", "incomplete_drop_lines", broken, load_id, replace=True)
+        if lost:
+            log.warning("%s: %d lines of broken records, see incomplete_drop_lines", PHARMACY_CLAIMS.name, lost)
+    else:
+        drops = csv_drops(lake.spark, folder)
+    audit = load_batch(lake, PHARMACY_CLAIMS, drops, load_id, loaded_at, full_audit=full_audit, required=required)
+    return replace(audit, rows_incomplete=audit.rows_incomplete + lost)
 
 
 def load_event_pages(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.schemas import PHARMACY_CLAIMS, SOURCE_FILE
+from stratalake.sources.csv_records import csv_records
 
 #: By position: a short row gets NULLs at its end, surplus fields are ignored,
 #: no row is refused. An empty field is NULL. The header is skipped, not matched.
@@ -39,11 +40,12 @@ def source_file(path: Column, folder: str = "") -> Column:
     return F.regexp_replace(F.when(parent != "", parent).otherwise(plain), r"(^|/)[^/=]+=([^/]*)$", "$1$2")
 
 
-def _with_source(raw: DataFrame, folder: str) -> DataFrame:
+def _with_source(raw: DataFrame, folder: str, file: Column | None = None) -> DataFrame:
     path = raw.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(raw.sparkSession._jsc.hadoopConfiguration())
     base = files.makeQualified(path).toUri().getRawPath().rstrip("/")
-    return raw.select(*PHARMACY_CLAIMS.columns, source_file(F.col("_metadata.file_path"), base).alias(SOURCE_FILE))
+    file = F.col("_metadata.file_path") if file is None else file
+    return raw.select(*PHARMACY_CLAIMS.columns, source_file(file, base).alias(SOURCE_FILE))
 
 
 def csv_drops(spark: SparkSession, folder: str, **options: str) -> DataFrame:
@@ -56,6 +58,16 @@ def csv_drops(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     return _with_source(reader.options(**options).csv(folder), folder)
 
 
+def csv_drops_with_breaks(spark: SparkSession, folder: str, by_name: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The drops as by ``csv_drops``, but quoted fields may hold line breaks, and lines of records without an end.
+
+    ``by_name`` takes columns by each file's header instead of by position. Files are
+    still split over tasks; their lines are shuffled once to be put together.
+    """
+    rows, broken = csv_records(spark, folder, PHARMACY_CLAIMS.columns, by_name, pathGlobFilter=READ_OPTIONS["pathGlobFilter"])
+    return _with_source(rows, folder, F.col("file")), broken
+
+
 def stream_csv_drops(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
     """The same drops as a stream; its checkpoint makes each file be read once."""
     reader = spark.readStream.schema(PHARMACY_CLAIMS.source_schema).options(**READ_OPTIONS)

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from stratalake.schemas import ENROLLMENT_EVENTS, MEDICAL_CLAIMS, MEMBERS, PROVIDERS
 from stratalake.sources import (
-    as_text, broken_pages, changed_since, csv_drops, event_pages, events_since, split_incomplete,
+    as_text, broken_pages, changed_since, csv_drops, csv_drops_with_breaks, event_pages, events_since, split_incomplete,
 )
-from stratalake.sources.tables import jdbc_options
+from stratalake.sources.tables import jdbc_options, stride_predicates, stride_query
 from tests.helpers import plan, rows
 
 V1 = "claim_id,member_id,ndc_code,drug_name,quantity,days_supply,fill_time,ingredient_cost,copay_amount"
@@ -76,6 +76,50 @@ def test_incomplete_rows(spark, folder):
     assert rows(incomplete, "claim_id", "missing") == [("RX2", ["copay_amount"]), (None, ["claim_id", "copay_amount"])]
 
 
+ODD = ["plain", "a, b", 'say ""x""', "two\nlines", "\n", 'x ""\n"", y', "end\n"]
+
+
+def quoted_drop(folder, name, columns, values):
+    lines = "".join(f"RX{i},M{i},{n},\"{v}\"\n" for i, (v, n) in enumerate(zip(values, range(len(values)), strict=True)))
+    (folder / name).write_text(",".join(columns) + "\n" + lines)
+
+
+@pytest.mark.parametrize("split", [None, 7, 64])
+def test_records_over_several_lines(spark, folder, conf, split):
+    if split:
+        conf(spark__sql__files__maxPartitionBytes=str(split), spark__sql__files__openCostInBytes="0", spark__sql__files__minPartitionNum="1")
+    names = ["claim_id", "member_id", "ndc_code", "drug_name"]
+    for file, values in (("a.csv", ODD), ("b.csv", list(reversed(ODD)) * 5)):
+        quoted_drop(folder, file, names, values)
+    got, broken = csv_drops_with_breaks(spark, str(folder))
+    want = [(f"RX{i}", v.replace('""', '"'), file) for file, values in (("a.csv", ODD), ("b.csv", list(reversed(ODD)) * 5))
+            for i, v in enumerate(values)]
+    assert rows(got, "claim_id", "drug_name", "_source_file") == sorted(want, key=repr)
+    assert broken.count() == 0
+
+
+def test_a_quote_without_an_end_is_set_aside(spark, folder):
+    (folder / "a.csv").write_text('claim_id,member_id\r\nRX1,"M\r\n1"\r\n\r\nRX2,"M2\nRX3,M3\n')
+    (folder / "b.csv").write_text('claim_id,member_id\nRX4,M4\n')
+    (folder / "c.csv").write_text("")
+    got, broken = csv_drops_with_breaks(spark, str(folder))
+    assert rows(got, "claim_id", "member_id", "copay_amount") == [("RX1", "M\r\n1", None), ("RX4", "M4", None)]
+    assert rows(broken, "reason", "line") == [("a quote is not closed", 'RX2,"M2'), ("a quote is not closed", "RX3,M3")]
+
+
+def test_columns_by_name(spark, folder):
+    (folder / "a.csv").write_text('drug_name, Claim_ID ,extra\n"x, y",RX1,1\n,RX2\n')
+    (folder / "b.csv").write_text('member_id,"claim_id",pharmacy_npi\nM3,RX3,9\n')
+    (folder / "c.csv").write_text("claim_id\n")
+    got, broken = csv_drops_with_breaks(spark, str(folder), by_name=True)
+    assert rows(got, "claim_id", "member_id", "drug_name", "pharmacy_npi", "_source_file") == [
+        ("RX1", None, "x, y", None, "a.csv"), ("RX2", None, None, None, "a.csv"), ("RX3", "M3", None, "9", "b.csv")]
+    assert broken.count() == 0
+    empty = folder / "none"
+    empty.mkdir()
+    assert csv_drops_with_breaks(spark, str(empty), by_name=True)[0].count() == 0
+
+
 def event(n, time="2026-07-01T10:05:00"):
     return {"event_id": f"EV{n}", "member_id": "M1", "event_type": "ENROLLED", "plan_code": "PPO_GOLD",
             "event_time": time, "created_at": "2026-07-01T10:00:00"}
@@ -161,3 +205,13 @@ def test_text_update_times_compare_as_times(spark):
     full = source.select(*[F.lit("x").alias(c) for c in PROVIDERS.columns if c != "updated_at"], "updated_at")
     assert rows(changed_since(full, PROVIDERS, "2026-07-01 10:00:00"), "updated_at") == [
         ("2026-07-01T10:00:01",), ("soon",), (None,)]
+
+
+def test_even_strides_cover_each_row_once(spark):
+    times = [None, *("2026-07-01 %02d:00:00" % h for h in (1, 1, 1, 2, 3, 9, 9, 12))]
+    df = spark.createDataFrame([(t,) for t in times], "updated_at string")
+    assert "NTILE(4) OVER (ORDER BY updated_at)" in stride_query(MEMBERS, "dbo.members", "2026-07-01T00:00:00", 4)
+    for bounds in ([], [times[1]], [times[1], times[1], times[5], None, times[8]]):
+        predicates = stride_predicates(MEMBERS, bounds)
+        assert sorted(sum((rows(df.where(p)) for p in predicates), []), key=repr) == sorted(((t,) for t in times), key=repr)
+    assert len(stride_predicates(MEMBERS, times)) == 5

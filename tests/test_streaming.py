@@ -1,3 +1,5 @@
+import time
+
 from stratalake.plans import read_bronze
 from stratalake.plans import bronze as loads
 from stratalake.plans.bronze import bronze_table
@@ -88,3 +90,33 @@ def test_broken_pages_are_kept_and_counted(spark, lake, folder):
     assert read_bronze(lake, ENROLLMENT_EVENTS).count() == 3
     kept = spark.read.parquet(lake.path("bronze", "incomplete_event_pages"))
     assert rows(kept, "reason") == [("no list of events",), ("not a page in JSON",), ("not as many events as it says",)]
+
+
+def test_repeated_rows_go_before_the_merge(spark, lake, folder):
+    drops, mark, audits = folder / "drops", str(folder / "checkpoint"), []
+    drops.mkdir()
+    (drops / "a.csv").mkdir()
+
+    def part(n, *lines):
+        drop(drops / "a.csv", f"part-{n}.csv", V1, *lines)
+        query = run(follow_pharmacy_drops(lake, str(drops), mark, audits=audits, repeats_within="1 hour"))
+        return next(p.stateOperators[0].numRowsTotal for p in reversed(query.recentProgress) if p.stateOperators)
+
+    assert part(1, claim(1), claim(1), claim(2)) == 2
+    assert part(2, claim(1), claim(2), claim(2), claim(3)) == 3
+    assert part(3, claim(1, drug="other")) == 4  # not word for word: the merge sees it
+    assert [(a.rows_in, a.rows_inserted) for a in audits if a.rows_in] == [(2, 2), (1, 1), (1, 0)]
+    assert read_bronze(lake, PHARMACY_CLAIMS).count() == 3
+
+
+def test_repeats_are_forgotten_in_time(spark, lake, folder):
+    drops, mark = folder / "drops", str(folder / "checkpoint")
+    (drops / "a.csv").mkdir(parents=True)
+    totals = []
+    for n in range(3):
+        drop(drops / "a.csv", f"part-{n}.csv", V1, claim(n), claim(0))
+        query = run(follow_pharmacy_drops(lake, str(drops), mark, repeats_within="0 seconds"))
+        totals += [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+        time.sleep(0.1)
+    assert max(totals) <= 2  # not all rows read so far
+    assert read_bronze(lake, PHARMACY_CLAIMS).count() == 3  # and the merge drops what comes again
