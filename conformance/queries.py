@@ -452,7 +452,7 @@ def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     A.table(spark, sf_dir, "orders").select(
         F.concat(F.lit("RX"), F.col("o_orderkey")).alias("claim_id"), F.col("o_custkey").alias("member_id"), F.lit("1").alias("ndc_code"),
         _odd_text(F.col("o_orderkey")).alias("drug_name"),
-    ).write.option("header", True).option("escape", '"').csv(f"{root}/drops/drop.csv")
+    ).write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/drops/drop.csv")
     audit = load_pharmacy_drops(lake, f"{root}/drops", "first", line_breaks=True)
     if audit.rows_incomplete:
         raise RuntimeError("whole records were set aside")
