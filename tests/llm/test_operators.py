@@ -330,7 +330,7 @@ def test_main_text(spark):
     df = spark.createDataFrame([(*r, "c") for r in rows], "page_id long, url string, html string, host string")
     got = {r.page_id: r for r in html_main.extract_main_text(df).collect()}
     for k in range(8):
-        assert got[k].text == f"T&itle\nOne two <three> four\nend\nof\nPART {k}"  # the list and "See also us" recur
+        assert got[k].text == f"T&itle\nOne two <three> four\nend of\nPART {k}"  # the list and "See also us" recur
     assert [got[k].text for k in (20, 21, 22, None, 24)] == ["no host", "", "", "plain & text < 3", ""]
     assert all(got[k].text == "Own\nkept\nkept too" for k in range(30, 40))  # copies of one article
     assert got[23].n_chars == 5 * 50_000 - 1 == len(got[23].text)
