@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
-from stratalake.llm.tables import written
+from stratalake.llm.tables import removed, written
 from stratalake.llm.words import WordHashes, hash_words, mix, rows_of, shingle_set, signed, split_words
 
 #: Bands of sizes grow by this factor.
@@ -69,14 +69,14 @@ def band_signatures(dealt: np.ndarray, worth: np.ndarray, number: int, top: int,
     np.add.at(sums, (dealt % np.uint64(n1 * n2)).astype(np.int64), worth)
     sums = sums.reshape(n1, n2)
     base = mix(np.arange(n1, dtype=np.uint64) + np.uint64(number * 1_000_003), 17)
-    found = []
-    for left_out in range(n2):
-        parts = [part for part in range(n2) if part != left_out or not k]
-        own = base
-        for part in parts:
-            own = mix(own ^ sums[:, part], 20 + part)
-        found.append(own[sums[:, parts].any(axis=1)] if top > SMALL else own)
-    return np.concatenate(found)
+    part = np.arange(n2, dtype=np.uint64)
+    own = mix(sums ^ mix(part, 19), 20)
+    rest = own.sum(axis=1)[:, None] - (own if k else np.uint64(0))  # all parts but one, for each one
+    found = mix(base[:, None] ^ rest ^ mix(part, 23), 24)
+    if top > SMALL:
+        filled = sums != 0
+        return found[filled.sum(axis=1)[:, None] > (filled if k else 0)]
+    return found.ravel()
 
 
 def set_signatures(values: np.ndarray, percent: int) -> np.ndarray:
@@ -196,14 +196,16 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
 
 def _exact(near: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets are linked."""
+    """The pairs ``a, b`` whose whole sets are linked; ``near`` is removed."""
     needed = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
     whole = texts.join(needed, "doc_id", "left_semi").mapInArrow(_whole_sets(size), "doc_id long, shingles binary")
     whole = written(whole, "sets")
     full = lambda s: whole.select(F.col("doc_id").alias(s), F.col("shingles").alias(f"shingles_{s}"))
-    return written(
+    found = written(
         near.join(full("a"), "a").join(full("b"), "b").mapInArrow(_linked_pairs(percent), "a long, b long"), "linked",
     )
+    removed(near, whole)
+    return found
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -234,6 +236,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
     member = written(filled.select("doc_id", "digest").join(classes, "digest").select("doc_id", "rep"), "members")
     sketches = summaries.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     sketches = written(sketches.dropDuplicates(["doc_id", "digest"]).select("doc_id", "n_shingles", "sketch"), "sketches")
+    removed(classes)
 
     signatures = texts.mapInArrow(_signatures(size, percent), "signature long, doc_id long")
     first = F.first("doc_id").over(Window.partitionBy("signature").orderBy("doc_id"))
@@ -244,13 +247,19 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
         member.select(F.col("doc_id").alias(column), F.col("rep").alias(new)).distinct(), column)
     stars = reps(reps(pairs, "doc_id", "a"), "hub", "b").where("a <> b")
     stars = written(stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
-    links = _exact(_near(stars, sketches, percent), texts, size, percent)
+    near = _near(stars, sketches, percent)
+    removed(stars)
+    links = _exact(near, texts, size, percent)
     same = member.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     labels = components(links.union(same))
 
-    more = _exact(_across(pairs, buckets, member, labels, sketches, percent), texts, size, percent)
+    near = _across(pairs, buckets, member, labels, sketches, percent)
+    removed(pairs, buckets, sketches)
+    more = _exact(near, texts, size, percent)
     if not more.isEmpty():
+        removed(labels)
         labels = components(links.union(more).union(same))
+    removed(links, more, member)
     return summaries.join(labels.distinct(), summaries["doc_id"] == labels["node"], "left").select(
         summaries["doc_id"], "n_shingles", F.coalesce("component", summaries["doc_id"]).alias("component_id"),
     )
@@ -292,27 +301,29 @@ def _across(
         member.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id").distinct(), "named",
     )
     at = lambda c, new: named.select(F.col("doc_id").alias(c), F.col("component").alias(new))
-    open_pairs = (
+    open_pairs = written(
         pairs.join(at("doc_id", "c_doc"), "doc_id").join(at("hub", "c_hub"), "hub").where("c_doc <> c_hub")
-        .select("doc_id", "hub")
-    )
-    open_buckets = buckets.join(written(open_pairs, "open"), ["doc_id", "hub"], "left_semi").select("signature").distinct()
-    inside = buckets.join(written(open_buckets, "open"), "signature", "left_semi")
+        .select("doc_id", "hub"), "open")
+    open_buckets = written(buckets.join(open_pairs, ["doc_id", "hub"], "left_semi").select("signature").distinct(), "open")
+    inside = buckets.join(open_buckets, "signature", "left_semi")
     inside = inside.select("signature", "doc_id").union(inside.select("signature", F.col("hub")).distinct())
     inside = written(inside.join(named, "doc_id").select("signature", "rep", "component").distinct(), "inside")
+    removed(open_pairs, open_buckets, named)
     content = inside.groupBy("signature").agg(
         F.bit_xor(F.xxhash64("rep")).alias("content"), F.count("*").alias("n"))
     once = content.groupBy("content", "n").agg(F.min("signature").alias("signature"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    inside = inside.join(written(once.select("signature", blocks.alias("blocks")), "once"), "signature")
-    inside = inside.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(3)), F.col("blocks")).cast("int"))
+    once = written(once.select("signature", blocks.alias("blocks")), "once")
     own = sketches.select(F.col("doc_id").alias("rep"), "n_shingles", "sketch")
-    dealt = written(inside.select("signature", "rep", "component", "blocks", "block").join(own, "rep"), "dealt")
+    dealt = inside.join(once, "signature").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(3)), F.col("blocks")).cast("int"))
+    dealt = written(dealt.select("signature", "rep", "component", "blocks", "block").join(own, "rep"), "dealt")
+    removed(inside, once)
     alone = dealt.where("blocks = 1").select("*", F.lit(0).alias("low"), F.lit(0).alias("high"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     split = dealt.where("blocks > 1").select("*", other).select(
         *dealt.columns, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     grouped = alone.union(split).groupBy("signature", "low", "high").agg(
         F.collect_list(F.struct("rep", "component", "n_shingles", "sketch", "block")).alias("members"))
-    near = grouped.mapInArrow(_near_in_blocks(percent), "a long, b long").distinct()
-    return written(near, "across")
+    near = written(grouped.mapInArrow(_near_in_blocks(percent), "a long, b long").distinct(), "across")
+    removed(dealt)
+    return near
