@@ -55,6 +55,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, one after the other, on ``documents``; the places of what is left.
+
+    Documents without a text or words go in the first stage, unless no document is labelled: then that
+    stage keeps all. An empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
