@@ -126,6 +126,7 @@ TABLES = {s.name: s for s in (PHARMACY_CLAIMS, ENROLLMENT_EVENTS, MEDICAL_CLAIMS
 #: The tables pulled from operational databases, in load order.
 CHANGED_TABLES = (MEDICAL_CLAIMS, MEMBERS, PROVIDERS)
 
+# Fields of an event page, and the watermark table.
 EVENT_PAGE_SCHEMA = T.StructType([
     T.StructField("data", T.ArrayType(ENROLLMENT_EVENTS.source_schema)),
     T.StructField("count", T.LongType()),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,8 +34,8 @@ def build_session(app_name: str = "stratalake", master: str | None = None, **con
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder on this machine. Whichever
-    folder it is, ``DataFrame.checkpoint()`` is made to work in it.
+    Only a local session may fall back to a folder on this machine, which goes
+    when Python ends. Whichever folder it is, ``DataFrame.checkpoint()`` is made to work in it.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -44,6 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="stratalake-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if not in_use:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
