@@ -132,15 +132,48 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
     """Writes all rows of ``docs (doc_id, text)`` in rising order of doc_id, NULL ids first.
 
     A document is its ids and the id ``end``; a NULL or empty text is ``end``
-    alone. Other columns are not looked at. Rows that share a doc_id follow each
-    other, in the order of their texts. No segment cuts a document.
+    alone. Other columns are not looked at; no rows give no files with rows. A very long text is encoded whole. Rows that share a doc_id follow each
+    other, in an order that only their texts decide. No segment cuts a document.
     """
     path = path or vocabulary()
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = plain.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
+    ordered = plain.repartitionByRange(*order[:2]).sortWithinPartitions(*order)  # rows of one doc_id may be dealt out too
     ordered.mapInArrow(_segments(path, end), _SEGMENT).write.option("compression", "zstd").parquet(folder)
 
 
+def _counted_before(segments: DataFrame, column: str) -> DataFrame:
+    """``part, segment, base``: the sum of a column over all segments before each one. Windows are by writing task, then over one row of each."""
+    heads = segments.select("part", "segment", column)
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = heads.groupBy("part").agg(F.sum(column).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before.orderBy("part")), F.lit(0)).alias("part_base"))
+    own = F.coalesce(F.sum(column).over(before.partitionBy("part").orderBy("segment")), F.lit(0))
+    return heads.withColumn("own_base", own).join(parts, "part").select("part", "segment", F.expr("part_base + own_base as base"))
+
+
+def document(spark: SparkSession, folder: str, number: int) -> tuple[int | None, list[int]] | None:
+    """``doc_id, ids`` of the document at a place in the files' order, from 0; None beyond the last one.
+
+    Two selects on the boundaries of the one segment that holds it give its place among the ids; nothing else is decoded.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                s = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+                i, bounds = number - s["base"], EliasFano.frombytes(s["boundaries"])
+                ids = np.frombuffer(s["ids"], "<u2" if s["width"] == 2 else "<u4")[bounds.select(i):bounds.select(i + 1)]
+                doc_id = None if s["no_id"][i] else int(np.frombuffer(s["doc_ids"], "<i8", 1, 8 * i)[0])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([doc_id], pa.int64()), pa.array([ids.tolist()], pa.list_(pa.int64()))], names=["doc_id", "ids"])
+
+    segments = spark.read.parquet(folder)
+    holding = _counted_before(segments, "n_docs").where(F.col("base") <= number)
+    found = segments.join(holding, ["part", "segment"]).where(F.col("base") + F.col("n_docs") > number)
+    row = found.mapInArrow(run, "doc_id long, ids array<long>").first()
+    return (row["doc_id"], row["ids"]) if row else None
+
+
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document in the files; ``start`` counts the ids before it.
 
@@ -164,13 +197,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                     names=["part", "segment", "doc_id", "within", "n_tokens", "ids_crc32"])
 
     rows = segments.mapInArrow(run, "part int, segment int, doc_id long, within long, n_tokens long, ids_crc32 long")
-    heads = segments.select("part", "segment", "n_ids")
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    parts = heads.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
-        "part", F.coalesce(F.sum("n").over(before.orderBy("part")), F.lit(0)).alias("part_base"))
-    own = F.coalesce(F.sum("n_ids").over(before.partitionBy("part").orderBy("segment")), F.lit(0))
-    bases = heads.withColumn("own_base", own).join(parts, "part").select(
-        "part", "segment", F.expr("part_base + own_base as base"))
+    bases = _counted_before(segments, "n_ids")
     return rows.join(bases, ["part", "segment"]).select("doc_id", F.expr("base + within as start"), "n_tokens", "ids_crc32")
 
 

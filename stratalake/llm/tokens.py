@@ -9,8 +9,10 @@ import types
 import numpy as np
 import public_tokenizers
 
-#: Chunks whose ids a Python worker remembers; beyond that the memory starts anew.
-REMEMBERED = 700_000
+#: Chunks whose ids a Python worker remembers, some 200 bytes each; beyond that the memory starts anew.
+REMEMBERED = 1_400_000
+#: New chunks that are looked for before they are encoded.
+TOGETHER = 90_000
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -86,7 +88,7 @@ class ChunkTokenizer:
         while start < len(chunks):  # as many texts at once as the memory can hold
             new: dict[bytes, None] = {}
             stop = start
-            while stop < len(chunks) and len(new) < REMEMBERED // 8:
+            while stop < len(chunks) and len(new) < TOGETHER:
                 new.update((c, None) for c in chunks[stop] if c not in known)
                 stop += 1
             if new:
