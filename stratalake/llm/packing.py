@@ -2,14 +2,13 @@
 
 The histogram of piece lengths, at most one number per length, decides it all:
 
-1. patterns of two and three lengths that fill a sequence exactly are enumerated;
-2. repeat counts are fitted to the histogram by non-negative least squares and
-   rounded down, so that no more pieces of a length are used than there are;
+1. patterns of two and three lengths that fill a sequence exactly are enumerated, the
+   pairs at once, the triples by column generation: all of them are priced by what
+   the fit lacks, and the best for each longest length join it, round after round;
+2. repeat counts are fitted to the histogram by non-negative least squares, in which a
+   length's error counts relative to its pieces, and rounded down, so that no more pieces of a length are used than there are;
 3. what is left is packed by best fit in falling order of length, on counts.
 
-Where long pieces prevail, three lengths can use up short pieces that others need
-more, so plans with triples, with pairs alone and without patterns are compared.
-
 The plan maps the n-th piece of a length to a sequence and an offset. Its size
 depends on the sequence length alone, not on the number of documents.
 """
@@ -31,11 +30,8 @@ from stratalake.llm.tables import written
 from stratalake.llm.tokens import chunk_tokenizer, vocabulary
 
 SEQUENCE = 2048
-#: Patterns of three lengths that are looked at, at most about so many.
-TRIPLES = 12_000
-FIT_STEPS = 300
-#: The plan with the fewest sequences counts of those that use so many kinds of patterns: both, pairs alone, none.
-KINDS = (2, 1, 0)
+#: Rounds in which patterns of three lengths join the fit, and steps of the fit in each and at the end.
+ROUNDS, ROUND_STEPS, FIT_STEPS = 24, 30, 300
 
 
 @dataclass
@@ -55,48 +51,81 @@ class Plan:
         return self.sequence[slot] + rank - self.rank[slot], self.offset[slot]
 
 
-def patterns(counts: np.ndarray, size: int) -> list[np.ndarray]:
-    """Groups of patterns as arrays of lengths, one row each, that sum up to ``size``; only lengths that occur."""
+def exact_pairs(counts: np.ndarray, size: int) -> np.ndarray:
+    """All pairs of lengths that occur and sum up to ``size``, one row each, the longer one first."""
     there = np.flatnonzero(counts)
     there = there[there < size]
     pairs = np.stack([size - there, there], axis=1)
-    pairs = pairs[(pairs[:, 0] >= pairs[:, 1]) & (counts[pairs[:, 0]] > 0)]
-    short = there[there <= size // 3 + 1]
-    step = max(1, int(len(there) * len(short) / 3 / TRIPLES))
-    a, c = np.meshgrid(there, short)
-    a, c = a.ravel(), c.ravel()
-    b = size - a - c
-    fit = (a >= b) & (b >= c)
-    fit[fit] &= counts[b[fit]] > 0
-    triples = np.stack([a[fit], b[fit], c[fit]], axis=1)
-    return [p for p in (pairs, triples[::step]) if len(p)]
+    return pairs[(pairs[:, 0] >= pairs[:, 1]) & (counts[pairs[:, 0]] > 0)]
 
 
-def fit_counts(groups: list[np.ndarray], counts: np.ndarray) -> list[np.ndarray]:
-    """Repeat counts x >= 0 that bring the patterns' lengths close to the histogram, by multiplicative steps."""
-    def uses(x):
-        total = np.zeros(len(counts))
-        for p, own in zip(groups, x, strict=True):
+def best_triples(counts: np.ndarray, size: int, value: np.ndarray) -> np.ndarray:
+    """Of all triples of lengths that occur and sum up to ``size``, for each longest length the one with the most value, if it is positive."""
+    there = np.flatnonzero(counts)
+    there = there[there < size]
+    short = there[there <= size // 3]
+    if not len(short):
+        return np.zeros((0, 3), np.int64)
+    a, c = there[:, None], short[None, :]
+    b = size - a - c
+    fits = (a >= b) & (b >= c)
+    fits &= counts[np.maximum(b, 0)] > 0
+    worth = np.where(fits, value[a] + value[np.maximum(b, 0)] + value[c], 0)
+    best = worth.argmax(axis=1)
+    rows = np.flatnonzero(worth[np.arange(len(there)), best] > 0)
+    return np.stack([there[rows], size - there[rows] - short[best[rows]], short[best[rows]]], axis=1)
+
+
+class Fit:
+    """Repeat counts x >= 0 of patterns whose lengths come close to the histogram, by multiplicative steps."""
+
+    def __init__(self, counts: np.ndarray):
+        self.target, self.weight = counts.astype(float), 1.0 / np.maximum(counts, 1.0)
+        self.patterns: list[np.ndarray] = []
+        self.x: list[np.ndarray] = []
+
+    def add(self, patterns: np.ndarray, start: float) -> None:
+        if len(patterns):
+            self.patterns.append(patterns)
+            self.x.append(self.target[patterns].min(axis=1) * start + 1e-6)
+
+    def used(self) -> np.ndarray:
+        total = np.zeros(len(self.target))
+        for p, own in zip(self.patterns, self.x, strict=True):
             for column in p.T:
-                total += np.bincount(column, own, len(counts))
+                total += np.bincount(column, own, len(total))
         return total
 
-    def back(v):
-        return [v[p].sum(axis=1) for p in groups]
-
-    target = back(counts.astype(float))
-    x = [counts[p].min(axis=1) / 4 + 1e-6 for p in groups]
-    for _ in range(FIT_STEPS):
-        x = [own * t / (now + 1e-12) for own, t, now in zip(x, target, back(uses(x)), strict=True)]
-    return x
+    def step(self) -> None:
+        now, want = self.used() * self.weight, self.target * self.weight
+        self.x = [own * want[p].sum(axis=1) / (now[p].sum(axis=1) + 1e-12) for p, own in zip(self.patterns, self.x, strict=True)]
+
+    def lacking(self) -> np.ndarray:
+        """The value of one more piece of each length: what the gradient of the squares says."""
+        return (self.target - self.used()) * self.weight
+
+
+def fitted_patterns(counts: np.ndarray, size: int) -> list[tuple[tuple[int, ...], float]]:
+    """Patterns and repeat counts, the most repeated first."""
+    fit = Fit(counts)
+    fit.add(exact_pairs(counts, size), 0.25)
+    known: set[tuple[int, ...]] = set()
+    for _ in range(ROUNDS):
+        for _ in range(ROUND_STEPS if fit.patterns else 0):
+            fit.step()
+        new = [t for t in map(tuple, best_triples(counts, size, fit.lacking()).tolist()) if t not in known]
+        if not new:
+            break
+        known.update(new)
+        fit.add(np.array(new), 0.1)
+    for _ in range(FIT_STEPS if fit.patterns else 0):
+        fit.step()
+    found = [(tuple(row), n) for p, x in zip(fit.patterns, fit.x, strict=True) for row, n in zip(p.tolist(), x.tolist(), strict=True)]
+    return sorted(found, key=lambda f: (-f[1], f[0]))
 
 
 def plan_packing(counts: np.ndarray, size: int = SEQUENCE) -> Plan:
     """``counts[length]`` pieces of each length from 1 to ``size``; the index 0 is not used."""
-    return min((_plan(counts, size, kinds) for kinds in KINDS), key=lambda plan: plan.sequences)
-
-
-def _plan(counts: np.ndarray, size: int, kinds: int) -> Plan:
     counts = counts.astype(np.int64).copy()
     given = np.zeros(len(counts), np.int64)
     slots: list[tuple[int, int, int, int, int]] = []
@@ -111,17 +140,14 @@ def _plan(counts: np.ndarray, size: int, kinds: int) -> Plan:
         n = int(counts[size])
         put(size, n, sequences, 0)
         sequences += n
-    groups = patterns(counts, size)[:kinds]
-    for p, x in zip(groups, fit_counts(groups, counts) if groups else [], strict=True):
-        for k in np.argsort(-x, kind="stable"):
-            lengths, times = np.unique(p[k], return_counts=True)
-            n = min(int(x[k]), int((counts[lengths] // times).min()))
-            if n > 0:
-                offset = 0
-                for length in p[k].tolist():
-                    put(length, n, sequences, offset)
-                    offset += length
-                sequences += n
+    for pattern, repeats in fitted_patterns(counts, size):
+        n = min(int(repeats), *(int(counts[length]) // pattern.count(length) for length in pattern))
+        if n > 0:
+            offset = 0
+            for length in pattern:
+                put(length, n, sequences, offset)
+                offset += length
+            sequences += n
     spaces: list[int] = []  # rising
     bins: dict[int, list[tuple[int, int]]] = {}  # space: first sequence, how many
     for length in range(size - 1, 0, -1):
