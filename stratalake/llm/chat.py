@@ -93,7 +93,9 @@ def canonical_turns(records: DataFrame, key: str) -> DataFrame:
     """``key, turns`` from records of one layout; ``turns`` is an array of (turn, role, text) in order.
 
     The fingerprint is taken over all columns but ``key`` that some mapping
-    names at its top level; other columns are not looked at. NULL roles and texts are
+    names at its top level; other columns are not looked at. Where columns of several layouts
+    are there, so that no mapping has the fingerprint, the layout counts that has the most of them, if there is one
+    such; a column named like a field of another layout does no harm. NULL roles and texts are
     empty; empty fields of one-record layouts (no ``input``, say) give no turn.
     Other names of roles are made ours, save in layouts of one row per turn, where
     roles stay as they are. There, rows are ordered by turn (NULL first), then
@@ -102,10 +104,13 @@ def canonical_turns(records: DataFrame, key: str) -> DataFrame:
     """
     named = {p.split(".")[1].removesuffix("[]") for m in MAPPINGS.values() for p in m.paths}
     own = [f for f in records.schema.fields if f.name != key and f.name in named]
-    found = fingerprint(list(field_paths(T.StructType(own))))
-    if found not in MAPPINGS:
-        raise UnknownLayout(f"no mapping for {sorted(field_paths(T.StructType(own)))}")
-    m = MAPPINGS[found]
+    paths = set(field_paths(T.StructType(own)))
+    m = MAPPINGS.get(fingerprint(list(paths)))
+    if m is None:
+        whole = sorted((m for m in MAPPINGS.values() if paths.issuperset(m.paths)), key=lambda m: -len(m.paths))
+        if not whole or len(whole) > 1 and len(whole[0].paths) == len(whole[1].paths):
+            raise UnknownLayout(f"no mapping for {sorted(paths)}")
+        m = whole[0]
     if m.turn:
         row = F.struct(
             F.col(m.turn).cast("long").alias("turn"), _text(F.col(m.role)).alias("role"), _text(F.col(m.text)).alias("text"))
