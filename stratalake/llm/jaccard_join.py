@@ -31,14 +31,14 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
 from stratalake.llm.tables import removed, written
-from stratalake.llm.words import WordHashes, hash_words, mix, rows_of, shingle_set, signed, split_words
+from stratalake.llm.words import WordHashes, gathered, hash_words, mix, rows_of, shingle_set, signed, split_words
 
 #: Bands of sizes grow by this factor.
 BAND_GROWTH = 1.35
 #: Largest set of the bands with more second-level parts.
 SMALL = 300
-#: Counters of a sketch: how many shingles of a set fall into each of so many cells.
-CELLS = 96
+#: Counters of a sketch: how many shingles of a set fall into each of so many cells, and of finer ones, modulo 4.
+CELLS, FINE = 96, 512
 #: Members of a bucket that are compared with as many others at a time.
 BLOCK = 256
 
@@ -94,9 +94,27 @@ def set_signatures(values: np.ndarray, percent: int) -> np.ndarray:
 
 
 def sketch_of(values: np.ndarray) -> bytes:
-    """Counts per cell. Their distance never exceeds the number of elements in which two sets differ."""
-    return np.bincount((mix(values, 41) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).clip(0, 255) \
-        .astype(np.uint8).tobytes()
+    """Counts per cell. Neither kind's distance ever exceeds the number of elements in which two sets differ.
+
+    The fine cells tell sets of some hundred elements apart, the others larger ones.
+    """
+    place = mix(values, 41)
+    counts = np.bincount((place % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).clip(0, 255).astype(np.uint8)
+    fine = np.bincount((place >> np.uint64(40)).astype(np.int64) % FINE, minlength=FINE).astype(np.uint8).reshape(-1, 4) & 3
+    return counts.tobytes() + (fine << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8).tobytes()
+
+
+def cells_of(sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of sketches, a row each."""
+    raw = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, CELLS + FINE // 4)
+    fine = raw[:, CELLS:, None] >> np.array([0, 2, 4, 6], np.uint8) & 3
+    return raw[:, :CELLS].astype(np.int16), fine.reshape(len(raw), FINE).astype(np.int8)
+
+
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of rows of fine counts, each round the circle of four."""
+    d = np.abs(a - b)
+    return np.minimum(d, 4 - d).sum(axis=-1, dtype=np.int32)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -160,12 +178,13 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def _near_sketches(percent: int):
     def run(batches):
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
-                    for c in ("sketch_a", "sketch_b"))
-            sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            most = sizes * (100 - percent) // (100 + percent)
-            keep = np.abs(a - b).sum(axis=1) <= most
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                (a, fine_a), (b, fine_b) = (cells_of(part.column(c).to_pylist()) for c in ("sketch_a", "sketch_b"))
+                sizes = part.column("n_a").to_numpy() + part.column("n_b").to_numpy()
+                most = sizes * (100 - percent) // (100 + percent)
+                keep = (np.abs(a - b).sum(axis=1) <= most) & (apart(fine_a, fine_b) <= most)
+                yield part.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
@@ -198,7 +217,7 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 def _exact(near: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose whole sets are linked; ``near`` is removed."""
     needed = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    whole = texts.join(needed, "doc_id", "left_semi").mapInArrow(_whole_sets(size), "doc_id long, shingles binary")
+    whole = texts.join(needed, "doc_id", "left_semi").mapInArrow(lambda batches: gathered(_whole_sets(size)(batches)), "doc_id long, shingles binary")
     whole = written(whole, "sets")
     full = lambda s: whole.select(F.col("doc_id").alias(s), F.col("shingles").alias(f"shingles_{s}"))
     found = written(
@@ -273,14 +292,15 @@ def _near_in_blocks(percent: int):
                 first = np.flatnonzero(members.field("block").to_numpy() == batch.column("low")[row].as_py())
                 second = np.flatnonzero(members.field("block").to_numpy() == batch.column("high")[row].as_py())
                 ids, group, sizes = (members.field(c).to_numpy() for c in ("rep", "component", "n_shingles"))
-                cells = np.frombuffer(b"".join(members.field("sketch").to_pylist()), np.uint8).reshape(-1, CELLS)
-                cells = cells.astype(np.int16)
+                cells, fine = cells_of(members.field("sketch").to_pylist())
                 a, b = [], []
                 for x in first:
                     y = second[(group[second] != group[x]) & (100 * np.minimum(sizes[second], sizes[x])
                                                               >= percent * np.maximum(sizes[second], sizes[x]))]
                     most = (sizes[y] + sizes[x]) * (100 - percent) // (100 + percent)
-                    y = y[np.abs(cells[y] - cells[x]).sum(axis=1) <= most]
+                    near = np.abs(cells[y] - cells[x]).sum(axis=1) <= most
+                    y, most = y[near], most[near]
+                    y = y[apart(fine[y], fine[x]) <= most]
                     a.append(np.maximum(ids[y], ids[x]))
                     b.append(np.minimum(ids[y], ids[x]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
@@ -324,6 +344,6 @@ def _across(
         *dealt.columns, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     grouped = alone.union(split).groupBy("signature", "low", "high").agg(
         F.collect_list(F.struct("rep", "component", "n_shingles", "sketch", "block")).alias("members"))
-    near = written(grouped.mapInArrow(_near_in_blocks(percent), "a long, b long").distinct(), "across")
+    near = written(grouped.mapInArrow(lambda batches: gathered(_near_in_blocks(percent)(batches)), "a long, b long").distinct(), "across")
     removed(dealt)
     return near

@@ -69,6 +69,21 @@ def rows_of(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple]
             yield from zip(*(part.column(c).to_pylist() for c in columns), strict=True)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = 20_000, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches, each of which costs some time to hand over."""
+    held: list[pa.RecordBatch] = []
+    n = held_bytes = 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        held_bytes += batch.nbytes
+        if n >= rows or held_bytes >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n, held_bytes = [], 0, 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def signed(values: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's long."""
     return values.view(np.int64)
