@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.llm.components import components
-from stratalake.llm.tables import written
-from stratalake.llm.words import WordHashes, hash_words, mix, rows_of, shingle_set, shingles, signed, split_words
+from stratalake.llm.tables import removed, written
+from stratalake.llm.words import WordHashes, gathered, hash_words, mix, rows_of, shingle_set, shingles, signed, split_words
 
 #: A passage is removed if it has at least so many words.
 MIN_WORDS = 50
@@ -163,18 +163,36 @@ _RUN = ["doc_id", "lo", "hi", "hub_doc", "hub_lo", "hub_hi", "room", "n"]
 _RUN_SCHEMA = "doc_id long, lo int, hi int, hub_doc long, hub_lo int, hub_hi int, room int, n int"
 
 
+def islands(parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Parts of a text that overlap, as one."""
+    out: list[list[int]] = []
+    for lo, hi in sorted(parts):
+        if out and lo < out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return [(lo, hi) for lo, hi in out]
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word hashes of the asked-for parts of texts."""
+    """Word hashes of the asked-for parts of texts; parts that overlap are given once, together."""
     memory = WordHashes()
     for doc_id, text, parts in rows_of(batches, "doc_id", "text", "parts"):
         hashes = hash_words(split_words(text), memory)
-        lo, hi = [p["lo"] for p in parts], [p["hi"] for p in parts]
-        for k in range(0, len(lo), 200):
-            a, b = lo[k:k + 200], hi[k:k + 200]
+        found = islands([(p["lo"], p["hi"]) for p in parts])
+        for k in range(0, len(found), 200):
+            some = found[k:k + 200]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([doc_id] * len(a), pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32()),
-                 pa.array([hashes[x:y].astype(np.uint32).tobytes() for x, y in zip(a, b, strict=True)], pa.binary())],
-                names=["doc_id", "lo", "hi", "words"])
+                [pa.array([doc_id] * len(some), pa.int64()), *(pa.array([x[i] for x in some], pa.int32()) for i in (0, 1)),
+                 pa.array([hashes[x:y].astype(np.uint32).tobytes() for x, y in some], pa.binary())],
+                names=["island_doc", "island_lo", "island_hi", "island"])
+
+
+def _with_words(rows: DataFrame, parts: DataFrame, doc_id: str, lo: str, hi: str, words: str) -> DataFrame:
+    """The rows with the word hashes of a part of a text, out of the island that it is in."""
+    inside = (F.col(doc_id) == F.col("island_doc")) & (F.col(lo) >= F.col("island_lo")) & (F.col(hi) <= F.col("island_hi"))
+    cut = F.substring("island", 4 * (F.col(lo) - F.col("island_lo")) + 1, 4 * (F.col(hi) - F.col(lo)))
+    return rows.join(parts, inside).select(*rows.columns, cut.alias(words))
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -265,18 +283,22 @@ def _across(lines: DataFrame, labels: DataFrame, parts: DataFrame) -> DataFrame:
     placed = nodes.join(at("node", "c"), "node", "left").join(at("hub", "c_hub"), "hub", "left").select(
         "key", "node", "hub", F.coalesce("c", "node").alias("c"), F.coalesce("c_hub", "hub").alias("c_hub"))
     placed = written(placed, "placed")
-    inside = placed.join(written(placed.where("c <> c_hub").select("key").distinct(), "open"), "key", "left_semi")
+    open_keys = written(placed.where("c <> c_hub").select("key").distinct(), "open")
+    inside = placed.join(open_keys, "key", "left_semi")
     inside = inside.select("key", "node", "c").union(inside.select("key", "hub", "c_hub")).distinct()
-    words = parts.select(F.struct("doc_id", "lo", "hi").alias("node"), "words")
-    members = inside.join(words, "node").groupBy("key", F.col("c").alias("component"), F.xxhash64("words").alias("digest")).agg(
+    inside = _with_words(inside.select("*", "node.*"), parts, "doc_id", "lo", "hi", "words")
+    members = inside.groupBy("key", F.col("c").alias("component"), F.xxhash64("words").alias("digest")).agg(
         F.min("node").alias("one"), F.max("node").alias("other"), F.first("words").alias("words"))
     members = written(members, "members")
+    removed(placed, open_keys)
     blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("one", F.lit(3)), F.col("blocks")).cast("int"))
     split = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     grouped = split.groupBy("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high")).agg(
         F.collect_list(F.struct("component", "one", "other", "words", "block")).alias("members"))
-    return written(grouped.mapInArrow(_similar_in_blocks, f"a {_NODE}, b {_NODE}").distinct(), "across")
+    found = written(grouped.mapInArrow(lambda batches: gathered(_similar_in_blocks(batches)), f"a {_NODE}, b {_NODE}").distinct(), "across")
+    removed(members)
+    return found
 
 
 def _longer_with_others(texts: DataFrame, windows: DataFrame, runs: DataFrame) -> DataFrame:
@@ -295,10 +317,12 @@ def _longer_with_others(texts: DataFrame, windows: DataFrame, runs: DataFrame) -
     held = written(held.where("n > 1 and others").select("hub_doc", "hub_start"), "held")
     asked = rest.join(held, ["hub_doc", "hub_start"]).select("doc_id", "start").union(held).groupBy("doc_id").agg(
         F.collect_set("start").alias("starts"))
-    passages = texts.join(asked, "doc_id").mapInArrow(_passages, "one long, two long, doc_id long, first int").distinct()
+    passages = texts.join(asked, "doc_id").mapInArrow(lambda batches: gathered(_passages(batches)), "one long, two long, doc_id long, first int").distinct()
     earliest = F.first("doc_id").over(Window.partitionBy("one", "two").orderBy("doc_id"))
-    return passages.withColumn("hub", earliest).where("doc_id <> hub").select(
-        "doc_id", "first", (F.col("first") + MIN_WORDS).alias("last"))
+    found = written(passages.withColumn("hub", earliest).where("doc_id <> hub").select(
+        "doc_id", "first", (F.col("first") + MIN_WORDS).alias("last")), "passages")
+    removed(rest, held)
+    return found
 
 
 def _verify_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +350,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     runs = (
         windows.where("doc_id <> hub_doc").groupBy("doc_id")
         .agg(F.collect_set(F.struct("start", "hub_doc", "hub_start")).alias("windows"))
-        .mapInArrow(_runs, _RUN_SCHEMA)
+        .mapInArrow(lambda batches: gathered(_runs(batches)), _RUN_SCHEMA)
     )
     lines = shared.where((F.col("n") >= MIN_WORDS) & (F.col("hub_n") >= MIN_WORDS)).select(
         "key", "doc_id", F.col("start").alias("lo"), F.expr("start + n as hi"), "hub_doc",
@@ -337,25 +361,30 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         lines.where("doc_id = hub_doc").select("doc_id", "lo", "hi")).union(
         lines.where("doc_id = hub_doc").select("hub_doc", "hub_lo", "hub_hi")).distinct()
     asked = asked.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
-    parts = texts.join(asked, "doc_id").mapInArrow(_slices, "doc_id long, lo int, hi int, words binary")
-    parts = written(parts.dropDuplicates(["doc_id", "lo", "hi"]), "parts")
-    hub_parts = parts.select(F.col("doc_id").alias("hub_doc"), F.col("lo").alias("hub_lo"), F.col("hi").alias("hub_hi"),
-                             F.col("words").alias("hub_words"))
-    both = written(pairs.join(parts, ["doc_id", "lo", "hi"]).join(hub_parts, ["hub_doc", "hub_lo", "hub_hi"]), "both")
+    parts = texts.join(asked, "doc_id").mapInArrow(lambda batches: gathered(_slices(batches)), "island_doc long, island_lo int, island_hi int, island binary")
+    parts = written(parts.dropDuplicates(["island_doc", "island_lo"]), "parts")
+    both = _with_words(_with_words(pairs, parts, "doc_id", "lo", "hi", "words"), parts, "hub_doc", "hub_lo", "hub_hi", "hub_words")
+    both = written(both, "both")
+    removed(pairs)
 
     verified = both.where("room is not null").mapInArrow(
         _verify_runs, "doc_id long, first int, last int, hub_doc long, shift int, same_to int")
     verified = written(verified, "verified")
-    run_spans = verified.select("doc_id", "first", "last").union(_longer_with_others(texts, windows, verified))
+    longer = _longer_with_others(texts, windows, verified)
+    run_spans = verified.select("doc_id", "first", "last").union(longer)
     links = both.where("room is null").mapInArrow(
         _verify_lines, "doc_id long, lo int, hi int, hub_doc long, hub_lo int, hub_hi int")
     links = written(links.select(
         F.struct("doc_id", "lo", "hi").alias("a"),
         F.struct(F.col("hub_doc").alias("doc_id"), F.col("hub_lo").alias("lo"), F.col("hub_hi").alias("hi")).alias("b")), "similar")
+    removed(both)
     clusters = components(links)
     more = _across(lines, clusters, parts)
+    removed(shared, parts)
     if not more.isEmpty():
+        removed(clusters)
         clusters = components(links.union(more))
+    removed(links, more)
     line_spans = clusters.where("node.doc_id <> component.doc_id").select(
         F.col("node.doc_id").alias("doc_id"), F.col("node.lo").alias("first"), F.col("node.hi").alias("last"))
     return run_spans.union(line_spans)
