@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.tables import written
-from stratalake.llm.words import REMEMBERED, rows_of
+from stratalake.llm.words import REMEMBERED, gathered, rows_of
 
 #: Labelled documents that a model is fitted to, at most about so many (chosen by a hash of their id).
 LABELLED = 20_000
@@ -126,9 +126,11 @@ def grades_of(labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> QualityModel | None:
-    """A model fitted to about ``labelled`` rated documents at most; None if there are none.
+    """A model fitted to about ``labelled`` rated documents at most; None if there are none, or no documents.
 
-    Only bounded things reach the driver: the chosen features, and which of them
+    Rows with a NULL doc_id, in either table, and labels without a document take no part; a NULL or
+    empty text is a document without features. Rows of ``docs`` that share a doc_id count as one, the one with the least
+    features in order. Other columns are not looked at. Only bounded things reach the driver: the chosen features, and which of them
     each of those documents has.
     """
     grades = grades_of(labels)
@@ -145,7 +147,9 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Quali
                 names=["doc_id", "grade", "features"],
             )
 
-    rows = written(rated.mapInArrow(extract, "doc_id long, grade int, features array<int>"), "rated").withColumn(
+    rows = rated.mapInArrow(lambda batches: gathered(extract(batches)), "doc_id long, grade int, features array<int>").groupBy("doc_id").agg(
+        F.min("grade").alias("grade"), F.min("features").alias("features"))
+    rows = written(rows, "rated").withColumn(
         "held_out", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(HELD_OUT)) == 0)
     seen = rows.where("not held_out")
     totals = {r["grade"]: r["n"] for r in seen.groupBy("grade").agg(F.count("*").alias("n")).collect()}
@@ -172,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Quali
                 names=["grade", "held_out", "picked"],
             )
 
-    known = rows.orderBy("doc_id").mapInArrow(pick, "grade int, held_out boolean, picked binary").toPandas()
+    known = rows.orderBy("doc_id").mapInArrow(lambda batches: gathered(pick(batches)), "grade int, held_out boolean, picked binary").toPandas()
     picked = [np.frombuffer(x, np.int32).astype(np.int64) for x in known["picked"]]
     held, grade = known["held_out"].to_numpy(bool), known["grade"].to_numpy()
     weights, thresholds = _fit([r for r, h in zip(picked, held, strict=True) if not h], grade[~held], len(buckets))
@@ -229,7 +233,11 @@ def scores(docs: DataFrame, model: QualityModel | None) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: QualityModel | None) -> DataFrame:
-    """The rows of ``docs`` whose text is kept by ``scores``, with all their columns."""
+    """The rows of ``docs`` whose text is kept by ``scores``, with all their columns, whatever their names.
+
+    Rows with a NULL or empty text go, unless there is no model; rows with a NULL id and
+    repeated rows are judged like others. No rows give no rows.
+    """
     if model is None:
         return docs
 
