@@ -133,6 +133,46 @@ def test_windows_of_a_passage_are_found_wherever_it_stands(lead):
     assert set(paragraph_dedup.window_starts(one)[1]) & set(paragraph_dedup.window_starts(two)[1])
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_passages_against_brute_force(spark, seed):
+    """All words go that stand in 50 words of an earlier document, and none but those of 20 words that another one has too."""
+    rng = np.random.default_rng(seed)
+    fresh = (f"v{i}" for i in range(10**6))
+    texts = [[next(fresh) for _ in range(int(rng.integers(20, 400)))] for _ in range(12)]
+    for _ in range(25):  # passages of any length, put into any other document
+        a, b = (texts[i] for i in rng.choice(len(texts), 2, replace=False))
+        n, at = int(rng.integers(30, 120)), int(rng.integers(0, len(a)))
+        place = int(rng.integers(0, len(b) + 1))
+        b[place:place] = a[at:at + n]
+    docs = documents(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    got = {r.doc_id: {w for s in r.repeated_spans for w in range(s["first"], s["last"])} for r in paragraph_dedup.remove_repeats(docs).collect()}
+    for size, holds in ((50, lambda some, i: some <= got[i]), (20, lambda some, i: got[i] <= some)):
+        first: dict[tuple, int] = {}
+        for i, words in enumerate(texts):
+            repeated = set()
+            for at in range(len(words) - size + 1):
+                if first.setdefault(tuple(words[at:at + size]), i) < i:
+                    repeated |= set(range(at, at + size))
+            assert holds(repeated, i)
+
+
+def test_islands():
+    assert paragraph_dedup.islands([(5, 9), (0, 3), (2, 4), (4, 5), (8, 12), (8, 10)]) == [(0, 4), (4, 5), (5, 12)]
+
+
+@pytest.mark.parametrize("size", [3, 40, 400, 6000])
+def test_sketches_never_overstate(size):
+    rng = np.random.default_rng(size)
+    a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+    for changed in (0, 1, size // 10, size // 2, size):
+        b = np.unique(np.concatenate([a[changed:], rng.integers(0, 2**63, changed).astype(np.uint64)]))
+        (x, fine_x), (y, fine_y) = (jaccard_join.cells_of([jaccard_join.sketch_of(v)]) for v in (a, b))
+        differing = len(np.setxor1d(a, b))
+        assert np.abs(x - y).sum() <= differing and jaccard_join.apart(fine_x, fine_y)[0] <= differing
+        if 40 <= size <= 400 and changed == size // 10:
+            assert jaccard_join.apart(fine_x, fine_y)[0] > 0.6 * differing
+
+
 def test_bands_recall():
     rng = np.random.default_rng(3)
     hit = 0
@@ -221,6 +261,21 @@ def test_packed_sequences_hold_the_ids(spark):
         assert rows[p.sequence_id][p.offset:p.offset + p.length] == [*clip_ids(prose(p.doc_id, 70 + p.doc_id)), 0][p.start:p.start + p.length]
 
 
+def test_best_triples_against_all():
+    rng = np.random.default_rng(3)
+    counts, value = rng.integers(0, 2, 65), rng.normal(size=65)
+    counts[0] = 0
+    every = [(a, b, c) for a in range(64) for b in range(1, a + 1) for c in range(1, b + 1)
+             if a + b + c == 64 and counts[a] and counts[b] and counts[c]]
+    best = {}
+    for t in every:
+        worth = value[list(t)].sum()
+        if worth > max(0, best.get(t[0], (0,))[0]):
+            best[t[0]] = worth, t
+    got = {int(t[0]): value[t].sum() for t in packing.best_triples(counts, 64, value)}
+    assert got.keys() == best.keys() and all(got[a] == pytest.approx(best[a][0]) for a in got)
+
+
 def test_plan_of_large_counts():
     counts = np.zeros(2049, np.int64)
     rng = np.random.default_rng(1)
@@ -249,6 +304,18 @@ def test_token_files(spark):
     assert token_files.token_file_rows(documents(spark, [])).count() == 0
 
 
+def test_documents_are_read_by_their_place(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "SEGMENT_IDS", 300)
+    rows = [(i // 2, prose(i, 5 + 7 * (i % 40))) for i in range(120)] + [(None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    token_files.write_token_files(docs, str(tmp_path / "files"))
+    want = Counter((i, tuple([*clip_ids(text), 2])) for i, text in rows)
+    found = [token_files.document(spark, str(tmp_path / "files"), n) for n in (0, 1, 7, 60, 119, 120)]
+    assert [f[0] for f in found] == [None, 0, 3, 29, 59, 59]
+    assert all((i, tuple(ids)) in want for i, ids in found)
+    assert token_files.document(spark, str(tmp_path / "files"), 121) is None
+
+
 @pytest.mark.parametrize("n", [1, 255, 256, 257, 3000])
 @pytest.mark.parametrize("step", [1, 2, 900, 10**6])
 def test_elias_fano(n, step):
@@ -312,6 +379,11 @@ def test_chat_layouts(spark):
     assert sorted(r.id for r in unknown.collect()) == [4, 5, 6]
     with pytest.raises(chat.UnknownLayout):
         chat.canonical_turns(spark.createDataFrame([(1, "a")], "id long, prompt string"), "id")
+    # columns named like fields of other layouts
+    rows = spark.createDataFrame([(1, 0, "user", "hi", "x", "y")], "id long, turn int, role string, text string, output string, prompt string")
+    assert [(t.role, t.text) for t in chat.canonical_turns(rows, "id").first().turns] == [("user", "hi")]
+    with pytest.raises(chat.UnknownLayout):
+        chat.canonical_turns(spark.createDataFrame([(1, "a", "b", "c")], "id long, prompt string, completion string, response string"), "id")
 
 
 # -- pages ------------------------------------------------------------------------------
@@ -418,6 +490,14 @@ def test_no_pair_is_lost_to_a_list_not_probed(spread):
 
 # -- quality ----------------------------------------------------------------------------------
 
+def test_repeated_documents_are_fitted_once(spark):
+    rows = [(k, prose(k, 60) + (" idiot" if k % 2 else "")) for k in range(40)]
+    labelled = spark.createDataFrame([(k, 1 - k % 2, k % 2) for k in range(40)], "doc_id long, quality int, toxic int")
+    again = rows + [(3, rows[3][1])] * 200 + [(None, "x")]
+    one, other = (quality.train(documents(spark, r), labelled) for r in (rows, again))
+    assert one.report == other.report and (one.weights == other.weights).all()
+    assert quality.train(documents(spark, []), labelled) is None
+
 def test_quality(spark):
     rng = np.random.default_rng(4)
     rows, labels = [], []
