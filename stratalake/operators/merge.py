@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import safe_timestamp
 
+#: Batches of more rows are never broadcast, nor are the keys they meet. Spark goes by the size of files,
+#: where a column of keys beside columns of NULLs or repeated values is far smaller than in memory.
+BROADCAST_ROWS = 100_000
+
 
 def unmatched(
     batch: DataFrame,
@@ -21,12 +25,15 @@ def unmatched(
     keys: Sequence[str],
     within: Mapping[str, Sequence] | None = None,
     batch_keys: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Batch rows whose key is not in the target.
 
     The target is read for its key columns only, and first cut down to the keys
     of the batch: when the batch's keys are small Spark broadcasts them, and
-    the large target is scanned without being shuffled. ``within`` restricts
+    the large target is scanned without being shuffled. A batch known to have more than
+    ``BROADCAST_ROWS`` ``rows`` is joined with the target's keys at once, by a shuffle that may
+    spill and that uses how the batch was dealt out to find one row per key. ``within`` restricts
     the target by values of key columns that cover the whole batch, such as its
     source files; being part of the key, they cannot hide a match. Pass
     ``batch_keys`` when the batch's distinct keys can be had more cheaply than
@@ -37,6 +44,8 @@ def unmatched(
         if column not in keys:
             raise ValueError(f"{column} is not a key column")
         known = known.where(F.col(column).isin(list(values)))
+    if rows is not None and rows > BROADCAST_ROWS:
+        return batch.join(known.select(*keys).hint("merge"), list(keys), "left_anti")
     if batch_keys is None:
         batch_keys = batch.select(*keys)
     hits = known.select(*keys).join(batch_keys, list(keys), "left_semi")

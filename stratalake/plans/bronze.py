@@ -133,7 +133,7 @@ def _merge_staged(
         keys = batch_keys.count() if full_audit else None
         if not (fixed_batch and before.merged_load(load_id)):  # else it is there, in a folder with others
             known = [p for p in before.parts if not (fixed_batch and p.loads == (load_id,))]
-            fresh = unmatched(one_per_key, table.read(buckets, before, known), spec.key, batch_keys=batch_keys)
+            fresh = unmatched(one_per_key, table.read(buckets, before, known), spec.key, batch_keys=batch_keys, rows=rows_in)
             inserted = table.append(fresh.withColumn(LOADED_AT, clock), load_id, before, replacing=fixed_batch)
 
     newest = None

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratalake.operators import insert_only, latest_by, unmatched, upsert
 from tests.helpers import final_plan, plan, rows
@@ -110,6 +111,18 @@ def test_a_large_target_is_scanned_for_its_keys_and_not_shuffled(spark, folder):
     assert fresh.count() == 50 - 7
 
 
+def test_many_keys_are_not_broadcast_however_small_their_files(spark, folder):
+    """Beside columns of NULLs the keys are a small share of a file's estimated size."""
+    many = spark.range(120_000).selectExpr("concat('C', id) AS k", *[f"CAST(NULL AS STRING) AS v{i}" for i in range(12)])
+    many.write.parquet(f"{folder}/batch")
+    many.where("k > 'C5'").unionByName(many.limit(1).withColumn("k", F.lit(None).cast("string"))).write.parquet(f"{folder}/target")
+    batch, target = spark.read.parquet(f"{folder}/batch"), spark.read.parquet(f"{folder}/target")
+    one = latest_by(batch, ["k"], "v0")
+    known_size, estimated = unmatched(one, target, ["k"], rows=120_000), unmatched(one, target, ["k"])
+    assert rows(known_size, "k") == rows(estimated, "k") and known_size.count() == many.where("k <= 'C5'").count()
+    assert "BroadcastExchange" in plan(estimated) and "BroadcastExchange" not in final_plan(known_size)
+
+
 def test_upsert_shuffles_each_side_once(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     merged = upsert(frame(spark, ("a", "f", "o", None)), frame(spark, ("a", "f", "n", None)), ["k"])
