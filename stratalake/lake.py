@@ -25,6 +25,10 @@ if TYPE_CHECKING:
 DEFAULT_SCHEMA = "SILVER"
 COMMIT_MARK = "_COMMITTED"
 
+#: Rows of a staged file. Spark deals files out by size, and small ones at a fixed least size each, so a
+#: task gets a bounded number of rows however well they are compressed.
+STAGED_ROWS = 50_000
+
 #: Hash buckets of a new table; ``KeyedTable.compact`` deals a grown one into more.
 BUCKETS = 16
 
@@ -155,8 +159,9 @@ class Lake:
 
         The source is read a single time, later steps see the same rows even if
         tasks are run again, and Spark knows the batch's size when it plans the
-        merge. Metrics are aggregates that the writing tasks take along the way.
+        merge. Files have a limited number of rows, which bounds what a task that sorts them holds. Metrics are aggregates that the writing tasks take along the way.
         """
         path, seen = f"{self.path('staging', name)}/{load_id}", Observation()
-        (df.observe(seen, *metrics) if metrics else df).write.mode("overwrite").parquet(path)
+        counted = df.observe(seen, *metrics) if metrics else df
+        counted.write.mode("overwrite").option("maxRecordsPerFile", STAGED_ROWS).parquet(path)
         return path, self.spark.read.schema(df.schema).parquet(path), seen.get if metrics else {}

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from stratalake import Lake
 from stratalake.lake import COMMIT_MARK, schema_name
@@ -81,3 +82,12 @@ def test_staging_is_below_the_root(spark, lake):
 
 def test_commit_mark_is_hidden_from_readers():
     assert COMMIT_MARK.startswith("_")
+
+
+def test_staged_files_have_a_bounded_number_of_rows(lake, monkeypatch):
+    monkeypatch.setattr("stratalake.lake.STAGED_ROWS", 100)
+    rows = lake.spark.range(0, 1050, 1, 2).selectExpr("CAST(id AS STRING) AS k", "CAST(NULL AS STRING) AS v")
+    path, staged, seen = lake.stage("many", rows, "one", F.count(F.lit(1)).alias("rows"))
+    per_file = [r["n"] for r in staged.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert max(per_file) <= 100 and sum(per_file) == seen["rows"] == 1050
+    assert staged.exceptAll(rows).isEmpty()
