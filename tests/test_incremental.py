@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from stratalake.keyed import KeyedTable
 from stratalake.plans import build_models, load_batch
 from stratalake.plans import models as M
 from stratalake.plans.bronze import bronze_table
@@ -92,3 +93,20 @@ def test_a_run_that_dies_before_gold_is_made_good(spark, lake, monkeypatch):
     done = build_models(lake)
     assert done["silver_medical_claims"] == "nothing" and done["gold_claims_enriched"] == "buckets"
     assert rows(lake.read("gold", "gold_member_360"), "member_id", "total_claims") == [("M1", 2), ("M2", 0)]
+
+
+def test_changes_of_a_table_are_found_once_for_both_gold_tables(spark, lake, monkeypatch):
+    def load(run, claim, member):
+        load_batch(lake, MEDICAL_CLAIMS, batch(spark, MEDICAL_CLAIMS, {"claim_id": claim, "member_id": member}), run)
+
+    load_batch(lake, MEMBERS, batch(spark, MEMBERS, {"member_id": "M1"}, {"member_id": "M2"}), "m")
+    load("l1", "C1", "M1")
+    build_models(lake)
+    load("l2", "C2", "M2")
+    found, before = [], KeyedTable.changed_since
+    monkeypatch.setattr(KeyedTable, "changed_since", lambda self, *a: found.append(self.name) or before(self, *a))
+    assert build_models(lake)["gold_member_360"] == "buckets"
+    assert sorted(found) == sorted(SILVER_MODELS)
+    assert rows(lake.read("gold", "gold_claims_enriched"), "claim_id", "member_id") == [("C1", "M1"), ("C2", "M2")]
+    assert rows(lake.read("gold", "gold_member_360"), "member_id", "total_claims") == [("M1", 1), ("M2", 1)]
+    assert not lake.children(lake.path("staging", "changed_silver_medical_claims"))
