@@ -25,27 +25,35 @@ READ_OPTIONS = {
 }
 
 
-def source_file(path: Column, folder: str = "") -> Column:
-    """The drop a row came from: its path below the landing folder.
+def _without_end(text: str, n: Column) -> Column:
+    return F.substr(F.col(text), F.lit(1), F.length(text) - n)
+
+
+def _with_source(raw: DataFrame, folder: str, file: Column | None = None) -> DataFrame:
+    """The drops' columns and the drop a row came from: its path below the landing folder.
 
     Without the suffix compression adds, so a plain and a compressed copy count
     as one source; drops of one name in different folders are different sources. A drop may also be a
-    folder of part files, named after the drop, with or without ``name=``
-    before it. Plain string functions, as this runs per row.
+    folder of part files, named after the drop, with or without ``name=`` before it. This runs
+    per row, so paths are cut at fixed places, each step once, in code small enough for the JVM to compile.
     """
-    place = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    below = place.substr(F.lit(len(folder) + 2), F.length(place)) if folder else F.substring_index(path, "/", -1)
-    parent = F.regexp_extract(below, r"^(.*\.csv)/[^/]*$", 1)
-    plain = F.regexp_replace(below, r"\.gz$", "")
-    return F.regexp_replace(F.when(parent != "", parent).otherwise(plain), r"(^|/)[^/=]+=([^/]*)$", "$1$2")
-
-
-def _with_source(raw: DataFrame, folder: str, file: Column | None = None) -> DataFrame:
     path = raw.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(raw.sparkSession._jsc.hadoopConfiguration())
-    base = files.makeQualified(path).toUri().getRawPath().rstrip("/")
-    file = F.col("_metadata.file_path") if file is None else file
-    return raw.select(*PHARMACY_CLAIMS.columns, source_file(file, base).alias(SOURCE_FILE))
+    uri = files.makeQualified(path).toUri()
+    base = uri.getRawPath().rstrip("/")
+    start = f"{uri.getScheme()}://{uri.getRawAuthority() or ''}{base}/"
+    rows = raw.select(*PHARMACY_CLAIMS.columns, (F.col("_metadata.file_path") if file is None else file).alias("_path"))
+    place = F.regexp_replace("_path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    below = F.when(F.col("_path").startswith(start), F.substr("_path", F.lit(len(start) + 1))).otherwise(
+        F.substr(place, F.lit(len(base) + 2))) if base else F.substring_index("_path", "/", -1)
+    rows = rows.withColumn("_below", below)
+    rows = rows.withColumn("_parent", _without_end("_below", F.length(F.substring_index("_below", "/", -1)) + 1))
+    plain = F.when(F.endswith("_below", F.lit(".gz")), _without_end("_below", F.lit(3))).otherwise(F.col("_below"))
+    rows = rows.withColumn("_drop", F.when(F.endswith("_parent", F.lit(".csv")), F.col("_parent")).otherwise(plain))
+    rows = rows.withColumn("_name", F.substring_index("_drop", "/", -1)).withColumn("_equals", F.instr("_name", "="))
+    unnamed = F.concat(_without_end("_drop", F.length("_name")), F.substr("_name", F.col("_equals") + 1))
+    source = F.when(F.col("_equals") > 1, unnamed).otherwise(F.col("_drop"))
+    return rows.select(*PHARMACY_CLAIMS.columns, source.alias(SOURCE_FILE))
 
 
 def csv_drops(spark: SparkSession, folder: str, **options: str) -> DataFrame:

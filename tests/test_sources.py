@@ -6,10 +6,11 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from stratalake.schemas import ENROLLMENT_EVENTS, MEDICAL_CLAIMS, MEMBERS, PROVIDERS
+from stratalake.schemas import ENROLLMENT_EVENTS, MEDICAL_CLAIMS, MEMBERS, PHARMACY_CLAIMS, PROVIDERS
 from stratalake.sources import (
     as_text, broken_pages, changed_since, csv_drops, csv_drops_with_breaks, event_pages, events_since, split_incomplete,
 )
+from stratalake.sources.csv_drop import _with_source
 from stratalake.sources.tables import jdbc_options, stride_predicates, stride_query
 from tests.helpers import plan, rows
 
@@ -55,6 +56,22 @@ def test_a_compressed_copy_has_the_same_source(spark, folder):
     assert rows(csv_drops(spark, str(folder)), "claim_id", "_source_file") == [("RX1", "a.csv")] * 2
 
 
+def test_sources_are_cut_at_fixed_places_and_searched_for_patterns_only_elsewhere(spark, folder):
+    drop(folder, "a.csv", V1, claim(1))
+    found = plan(csv_drops(spark, str(folder)))
+    assert "regexp_extract" not in found and found.count("regexp_replace") <= 1
+    at = f"{folder}/"
+    cases = {
+        f"file://{at}a.csv": "a.csv", f"file:{at}a.csv": "a.csv", f"{at}a.csv": "a.csv", f"hdfs://h:1{at}d/a.csv.gz": "d/a.csv",
+        f"file://{at}a.csv/part-0.csv": "a.csv", f"file://{at}drop=a.csv/part-0.csv.gz": "a.csv", f"file://{at}d/x=a=b.csv": "d/a=b.csv",
+        f"file://{at}=a.csv": "=a.csv", f"file://{at}a.csv/d/p=1": "a.csv/d/1", f"file://{at}.csv/p": ".csv", f"file://{at}k=v/a.csv": "k=v/a.csv",
+    }
+    paths = spark.createDataFrame([(str(n), p) for n, p in enumerate(cases)], "claim_id string, p string")
+    paths = paths.select("*", *[F.lit(None).cast("string").alias(c) for c in PHARMACY_CLAIMS.columns if c != "claim_id"])
+    got = {r["claim_id"]: r["_source_file"] for r in _with_source(paths, str(folder), F.col("p")).collect()}
+    assert got == {str(n): want for n, want in enumerate(cases.values())}
+
+
 def test_a_folder_of_parts_is_one_drop(spark, folder):
     for where in (folder / "a.csv", folder / "drop=b.csv"):
         where.mkdir()
