@@ -232,3 +232,15 @@ def test_even_strides_cover_each_row_once(spark):
         predicates = stride_predicates(MEMBERS, bounds)
         assert sorted(sum((rows(df.where(p)) for p in predicates), []), key=repr) == sorted(((t,) for t in times), key=repr)
     assert len(stride_predicates(MEMBERS, times)) == 5
+
+
+def test_lines_of_records_are_read_once_and_whole_ones_not_grouped(spark, folder):
+    drop(folder, "a.csv", V1, claim(1), claim(2, drug='"two\nlines"'), claim(3) + "\r")
+    got, broken = csv_drops_with_breaks(spark, str(folder), kept=f"{folder}/kept")
+    found = plan(got)
+    assert "Scan text" not in found and "Scan text" not in plan(broken) and "Scan parquet" in found
+    assert rows(spark.read.parquet(f"{folder}/kept"), "value") == sorted(
+        [(x,) for x in (V1, claim(1), *claim(2, drug='"two\nlines"').split("\n"), claim(3) + "\r")], key=repr)
+    assert rows(got, "claim_id", "drug_name", "copay_amount") == [
+        ("RX1", "Lipitor 20mg", "5.0"), ("RX2", "two\nlines", "5.0"), ("RX3", "Lipitor 20mg", "5.0")]
+    assert broken.count() == 0
