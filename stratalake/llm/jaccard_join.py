@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
 from stratalake.llm.tables import removed, written
-from stratalake.llm.words import WordHashes, gathered, hash_words, mix, rows_of, shingle_set, signed, split_words
+from stratalake.llm.words import forget, gathered, hash_words, mix, rows_of, shingle_set, signed, split_words
 
 #: Bands of sizes grow by this factor.
 BAND_GROWTH = 1.35
@@ -118,9 +118,9 @@ def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray]]:
-    memory = WordHashes()
+    forget()
     for doc_id, text in rows_of(batches, "doc_id", "text"):
-        yield doc_id, shingle_set(hash_words(split_words(text), memory), size)
+        yield doc_id, shingle_set(hash_words(split_words(text)), size)
 
 
 def _summaries(size: int):
@@ -161,18 +161,23 @@ def _signatures(size: int, percent: int):
 
 def _whole_sets(size: int):
     def run(batches):
+        ids, sets, n = [], [], 0
         for doc_id, values in _sets(batches, size):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([doc_id], pa.int64()), pa.array([values.tobytes()], pa.binary())], names=["doc_id", "shingles"],
-            )
-
-    return run
+            ids.append(doc_id)
+            sets.append(values)
+            n += len(values)
+            if n > 200_000:
+                yield flushed(ids, sets)
+                ids, sets, n = [], [], 0
+        if ids:
+            yield flushed(ids, sets)
 
+    def flushed(ids, sets):
+        starts = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(starts, signed(np.concatenate(sets)))], names=["doc_id", "shingles"])
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Exact test on two sorted sets."""
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * common >= percent * (len(a) + len(b) - common) and common > 0
+    return run
 
 
 def _near_sketches(percent: int):
@@ -189,19 +194,6 @@ def _near_sketches(percent: int):
     return run
 
 
-def _linked_pairs(percent: int):
-    def run(batches):
-        for batch in batches:
-            keep = [
-                linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                for x, y in zip(batch.column("shingles_a"), batch.column("shingles_b"), strict=True)
-                for x, y in [(x.as_py(), y.as_py())]
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
 def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sizes and sketches let them be linked."""
     side = lambda s: sketches.select(
@@ -217,12 +209,12 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 def _exact(near: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose whole sets are linked; ``near`` is removed."""
     needed = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    whole = texts.join(needed, "doc_id", "left_semi").mapInArrow(lambda batches: gathered(_whole_sets(size)(batches)), "doc_id long, shingles binary")
+    whole = texts.join(needed, "doc_id", "left_semi").mapInArrow(_whole_sets(size), "doc_id long, shingles array<long>")
     whole = written(whole, "sets")
     full = lambda s: whole.select(F.col("doc_id").alias(s), F.col("shingles").alias(f"shingles_{s}"))
-    found = written(
-        near.join(full("a"), "a").join(full("b"), "b").mapInArrow(_linked_pairs(percent), "a long, b long"), "linked",
-    )
+    # 100 * common >= percent * (both - common), on sets that are not empty; two whole sets a row would be large batches for Python
+    exact = f"{100 + percent} * size(array_intersect(shingles_a, shingles_b)) >= {percent} * (size(shingles_a) + size(shingles_b))"
+    found = written(near.join(full("a"), "a").join(full("b"), "b").where(exact).select("a", "b"), "linked")
     removed(near, whole)
     return found
 

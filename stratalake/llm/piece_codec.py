@@ -18,7 +18,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from stratalake.llm.tokens import process_memory
+from stratalake.llm.words import process_memory
 
 MARK = "▁"
 #: Chunks that a worker remembers, and the longest that is.

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.tables import written
-from stratalake.llm.words import REMEMBERED, gathered, rows_of
+from stratalake.llm.words import REMEMBERED, forget, gathered, rows_of
 
 #: Labelled documents that a model is fitted to, at most about so many (chosen by a hash of their id).
 LABELLED = 20_000
@@ -139,6 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Quali
     rated = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         memory = WordFeatures()
         for doc_id, text, grade in rows_of(batches, "doc_id", "text", "grade"):
             yield pa.RecordBatch.from_arrays(
@@ -218,6 +219,7 @@ def scores(docs: DataFrame, model: QualityModel | None) -> DataFrame:
             F.lit(None).cast("double").alias("tail_probability"), F.lit(True).alias("kept"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         tails = _scorer(model)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
@@ -242,6 +244,7 @@ def keep_good(docs: DataFrame, model: QualityModel | None) -> DataFrame:
         return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         tails = _scorer(model)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import os
-import sys
-import types
 
 import numpy as np
 import public_tokenizers
 
+from stratalake.llm.words import process_memory
+
 #: Chunks whose ids a Python worker remembers, some 200 bytes each; beyond that the memory starts anew.
 REMEMBERED = 1_400_000
 #: New chunks that are looked for before they are encoded.
@@ -19,14 +19,6 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def process_memory(key: str, make):
-    """What a Python worker keeps from one task to the next."""
-    store = sys.modules.setdefault("_llm_process_memory", types.ModuleType("_llm_process_memory")).__dict__
-    if key not in store:
-        store[key] = make()
-    return store[key]
-
-
 class ChunkTokenizer:
     """Ids as little-endian unsigned 32-bit bytes, equal to those of whole texts.
 

@@ -6,6 +6,8 @@ ASCII white-space characters, A-Z lower-cased. A NULL text is an empty text.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -18,6 +20,19 @@ REMEMBERED = 300_000
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def process_memory(key: str, make):
+    """What a Python worker keeps from one task to the next."""
+    store = sys.modules.setdefault("_llm_process_memory", types.ModuleType("_llm_process_memory")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
+def forget() -> None:
+    """Drop what tasks of another operator have left in a Python worker, which may outlive its use by many stages."""
+    sys.modules.pop("_llm_process_memory", None)
+
+
 class WordHashes(dict):
     """Hash of a word, remembered."""
 
@@ -32,8 +47,9 @@ def split_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def hash_words(words: list[bytes], memory: WordHashes) -> np.ndarray:
-    return np.fromiter(map(memory.__getitem__, words), np.uint64, len(words))
+def hash_words(words: list[bytes], memory: WordHashes | None = None) -> np.ndarray:
+    """Hashes of words; without a memory each is computed, which is quicker where many words are rare."""
+    return np.fromiter(map(memory.__getitem__ if memory is not None else xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:

@@ -8,11 +8,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from stratalake.llm import bm25, chat, html_main, jaccard_join, packing, paragraph_dedup, piece_codec, quality, token_files
-from stratalake.llm import vector_dups
+from stratalake.llm import vector_dups, words
 from stratalake.llm.components import components
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -102,6 +103,25 @@ def test_rows_without_an_id_stay_in_the_pipeline(spark):
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(r for r in rows if r[0] != 2)
 
 
+def test_whole_sets_are_compared_without_python_batches(spark, monkeypatch):
+    plans = {}
+    write = jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda df, label: plans.setdefault(label, df._jdf.queryExecution().toString()) and write(df, label))
+    near = prose(1, 60).split()
+    rows = [(1, " ".join(near)), (2, " ".join([*near[:30], "x", *near[31:]])), (3, prose(2, 60))]
+    got = jaccard_join.jaccard_components(documents(spark, rows), 4, 80).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 3}
+    assert "InArrow" not in plans["linked"] and "array_intersect" in plans["linked"]
+
+
+def test_tables_of_another_operator_leave_a_worker():
+    words.process_memory("table", lambda: "large")
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a b c"]})
+    list(jaccard_join._sets(iter([batch]), 4))
+    assert words.process_memory("table", lambda: "none") == "none"
+    words.forget()
+
+
 # -- substring dedup --------------------------------------------------------------
 
 def test_remove_repeats(spark):
