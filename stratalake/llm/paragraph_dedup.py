@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 
 from stratalake.llm.components import components
 from stratalake.llm.tables import removed, written
-from stratalake.llm.words import WordHashes, gathered, hash_words, mix, rows_of, shingle_set, shingles, signed, split_words
+from stratalake.llm.words import forget, gathered, hash_words, mix, rows_of, shingle_set, shingles, signed, split_words
 
 #: A passage is removed if it has at least so many words.
 MIN_WORDS = 50
@@ -68,27 +69,36 @@ def _content(hashes: np.ndarray, length: int, seed: int) -> np.ndarray:
         part, size = mix(part[:-size] ^ (part[size:] << np.uint64(1)), seed + 100 + size), 2 * size
 
 
-def window_starts(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the chosen windows of a text and their content hashes."""
+def window_starts(hashes: np.ndarray, left: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the chosen windows and their content hashes.
+
+    ``left`` says how many words its text has from each place on, if several texts follow each other.
+    """
     if len(hashes) < WINDOW + REACH - 1:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    if left is None:
+        left = np.arange(len(hashes), 0, -1)
     content = _content(hashes, WINDOW, 1000)
     least = _extreme(content, REACH, np.minimum)
+    least = np.where(left[:len(least)] >= WINDOW + REACH - 1, least, np.uint64(0))  # none that reaches into the next text
     pad = np.zeros(REACH - 1, np.uint64)
-    chosen = np.flatnonzero(_extreme(np.concatenate([pad, least, pad]), REACH, np.maximum) == content)
+    chosen = _extreme(np.concatenate([pad, least, pad]), REACH, np.maximum) == content
+    chosen = np.flatnonzero(chosen & (left[:len(content)] >= WINDOW))
     return chosen, content[chosen]
 
 
 def long_lines(text: str) -> list[tuple[int, int]]:
     """First word and number of words of each line, and of each paragraph between blank lines, of at least ``MIN_WORDS`` words."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass") + b"\n\n", np.uint8)
+    space = (raw == 32) | (raw >= 9) & (raw <= 13)
+    before = np.cumsum(~space & np.append(True, space[:-1]))[raw == 10]  # words up to each line's end
     found, at, top = {}, 0, 0
-    for line in [*text.split("\n"), ""]:
-        n = len(line.encode("utf-8", "surrogatepass").split())
-        for start in (at, top) if n else (top,):
-            if at + n - start >= MIN_WORDS and (start == at or not n):
-                found[start, at + n - start] = None
-        at += n
-        top = top if n else at
+    for end in before.tolist():
+        for start in (at, top) if end > at else (top,):
+            if end - start >= MIN_WORDS and (start == at or end == at):
+                found[start, end - start] = None
+        top = top if end > at else end
+        at = end
     return list(found)
 
 
@@ -103,60 +113,62 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys
 
 
+def _keys(texts: list[tuple[int, np.ndarray, list[tuple[int, int]]]]) -> pa.RecordBatch:
+    """Windows and lines of texts (id, hashes of words, lines), all at once: a numpy call costs as much as a short text's work."""
+    hashes = np.concatenate([own for _, own, _ in texts])
+    ids, n = np.array([t[0] for t in texts], np.int64), np.array([len(t[1]) for t in texts])
+    top, text = np.cumsum(n) - n, np.repeat(np.arange(len(texts)), n)
+    at, key = window_starts(hashes, (top + n)[text] - np.arange(len(hashes)))
+    doc, start, length = ids[text[at]], at - top[text[at]], np.full(len(at), WINDOW)
+    if lines := [(k, *line) for k, t in enumerate(texts) for line in t[2]]:
+        owner, first, size = np.array(lines).T
+        spans = list(zip((top[owner] + first).tolist(), size.tolist(), strict=True))
+        part = shingles(hashes, SHINGLE)
+        # a band of its own for equal lines
+        whole = [xxhash.xxh64_intdigest(hashes[a:a + k].tobytes(), 320) for a, k in spans]
+        own = np.column_stack([band_keys([part[a:a + k - SHINGLE + 1] for a, k in spans]), np.array(whole, np.uint64)])
+        key = np.concatenate([key, own.ravel()])
+        doc, start, length = (
+            np.concatenate([x, np.repeat(y, own.shape[1])]) for x, y in ((doc, ids[owner]), (start, first), (length, size)))
+    return pa.RecordBatch.from_arrays(
+        [signed(key), doc, start.astype(np.int32), length.astype(np.int32)], names=["key", "doc_id", "start", "n"])
+
+
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def flush():
-        if sets:
-            keys = band_keys(sets)
-            for k, (doc_id, start, n) in enumerate(lines):
-                own = np.append(keys[k], whole[k])
-                out.append((own, *(np.full(len(own), x) for x in (doc_id, start, n))))
-        if not out:
-            return None
-        key, doc, start, n = (np.concatenate(x) for x in zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [signed(key), doc.astype(np.int64), start.astype(np.int32), n.astype(np.int32)],
-            names=["key", "doc_id", "start", "n"])
-
-    memory, out, sets, lines, whole, held = WordHashes(), [], [], [], [], 0
+    forget()
+    texts, held = [], 0
     for doc_id, text in rows_of(batches, "doc_id", "text"):
-        hashes = hash_words(split_words(text), memory)
-        at, content = window_starts(hashes)
-        if len(at):
-            out.append((content, np.full(len(at), doc_id), at, np.full(len(at), WINDOW)))
-        for start, n in long_lines(text) if len(hashes) >= MIN_WORDS else ():
-            lines.append((doc_id, start, n))
-            sets.append(shingles(hashes[start:start + n], SHINGLE))
-            # a band of its own for equal lines
-            whole.append(np.uint64(xxhash.xxh64_intdigest(hashes[start:start + n].tobytes(), 320)))
+        words = split_words(text)
+        if len(words) < MIN_WORDS:
+            continue
+        hashes = hash_words(words)
+        texts.append((doc_id, hashes, long_lines(text)))
         held += len(hashes)
         if held > 100_000:
-            if (batch := flush()) is not None:
-                yield batch
-            out, sets, lines, whole, held = [], [], [], [], 0
-    if (batch := flush()) is not None:
-        yield batch
+            yield _keys(texts)
+            texts, held = [], 0
+    if texts:
+        yield _keys(texts)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of a document that follow each other as they do in the other document, as one run with room on both sides."""
-    for doc_id, windows in rows_of(batches, "doc_id", "windows"):
-        rows, open_runs = [], {}
-        for w in sorted(windows, key=lambda w: w["start"]):
-            key = w["hub_doc"], w["start"] - w["hub_start"]
-            if key in open_runs and w["start"] - rows[open_runs[key]][1] <= REACH - WINDOW:
-                rows[open_runs[key]][1] = w["start"] + WINDOW
-            else:
-                open_runs[key] = len(rows)
-                rows.append([w["start"], w["start"] + WINDOW, *key])
-        out = []
-        for lo, hi, hub_doc, shift in rows:
-            room = min(REACH, lo, lo - shift)
-            out.append((lo - room, hi + REACH, hub_doc, lo - room - shift, hi + REACH - shift, room, hi - lo))
-        lo, hi, hub_doc, hub_lo, hub_hi, room, n = zip(*out, strict=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([doc_id] * len(lo), pa.int64()), *(pa.array(x, pa.int32()) for x in (lo, hi)),
-             pa.array(hub_doc, pa.int64()), *(pa.array(x, pa.int32()) for x in (hub_lo, hub_hi, room, n))],
-            names=_RUN)
+    for batch in batches:
+        windows = batch.column("windows")
+        doc = np.repeat(batch.column("doc_id").to_numpy(), np.diff(windows.offsets.to_numpy()))
+        if not len(doc):
+            continue
+        start, hub_doc, hub_start = (windows.flatten().field(c).to_numpy() for c in ("start", "hub_doc", "hub_start"))
+        order = np.lexsort((start, start - hub_start, hub_doc, doc))
+        doc, hub_doc, start, shift = doc[order], hub_doc[order], start[order], (start - hub_start)[order]
+        goes_on = (np.diff(doc) == 0) & (np.diff(hub_doc) == 0) & (np.diff(shift) == 0) & (np.diff(start) <= REACH)
+        first = np.flatnonzero(np.append(True, ~goes_on))
+        lo, hi = start[first], start[np.append(first[1:], len(start)) - 1] + WINDOW
+        doc, hub_doc, shift = doc[first], hub_doc[first], shift[first]
+        room = np.minimum(REACH, np.minimum(lo, lo - shift))
+        rows = (lo - room, hi + REACH, hub_doc, lo - room - shift, hi + REACH - shift, room, hi - lo)
+        kinds = (pa.int32(), pa.int32(), pa.int64(), *[pa.int32()] * 4)
+        yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), *map(pa.array, rows, kinds)], names=_RUN)
 
 
 _RUN = ["doc_id", "lo", "hi", "hub_doc", "hub_lo", "hub_hi", "room", "n"]
@@ -176,16 +188,27 @@ def islands(parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word hashes of the asked-for parts of texts; parts that overlap are given once, together."""
-    memory = WordHashes()
-    for doc_id, text, parts in rows_of(batches, "doc_id", "text", "parts"):
-        hashes = hash_words(split_words(text), memory)
-        found = islands([(p["lo"], p["hi"]) for p in parts])
-        for k in range(0, len(found), 200):
-            some = found[k:k + 200]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([doc_id] * len(some), pa.int64()), *(pa.array([x[i] for x in some], pa.int32()) for i in (0, 1)),
-                 pa.array([hashes[x:y].astype(np.uint32).tobytes() for x, y in some], pa.binary())],
-                names=["island_doc", "island_lo", "island_hi", "island"])
+    rows, held = [], 0
+    names = ["island_doc", "island_lo", "island_hi", "island"]
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    for doc_id, text, parts in _with_parts(batches):
+        words = split_words(text)
+        for lo, hi in islands(parts):
+            rows.append((doc_id, lo, hi, hash_words(words[lo:hi]).astype(np.uint32).tobytes()))
+            held += hi - lo
+            if held > 500_000 or len(rows) >= 10_000:
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows, strict=True), kinds)), names=names)
+                rows, held = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows, strict=True), kinds)), names=names)
+
+
+def _with_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, list[tuple[int, int]]]]:
+    for batch in batches:
+        ends = batch.column("parts").offsets.to_numpy()
+        lo, hi = (batch.column("parts").values.field(c).to_numpy() for c in ("lo", "hi"))
+        for (doc_id, text), a, b in zip(rows_of([batch], "doc_id", "text"), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            yield doc_id, text, list(zip(lo[a:b].tolist(), hi[a:b].tolist(), strict=True))
 
 
 def _with_words(rows: DataFrame, parts: DataFrame, doc_id: str, lo: str, hi: str, words: str) -> DataFrame:
@@ -195,48 +218,82 @@ def _with_words(rows: DataFrame, parts: DataFrame, doc_id: str, lo: str, hi: str
     return rows.join(parts, inside).select(*rows.columns, cut.alias(words))
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Exact Jaccard of the five-word shingles."""
-    x, y = shingle_set(a.astype(np.uint64), SHINGLE), shingle_set(b.astype(np.uint64), SHINGLE)
-    common = len(np.intersect1d(x, y, assume_unique=True))
-    return common >= SIMILARITY * (len(x) + len(y) - common) and common > 0
+def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
+    """The shingle set of each line, given as hashes of its words."""
+    words = [np.frombuffer(line, np.uint32) for line in lines]
+    starts = np.cumsum([0, *map(len, words)]).tolist()
+    flat = shingles(np.concatenate([*words, np.zeros(0, np.uint32)]).astype(np.uint64), SHINGLE)
+    return [np.unique(flat[at:at + len(w) - SHINGLE + 1]) if len(w) >= SHINGLE else shingle_set(w.astype(np.uint64), SHINGLE)
+            for w, at in zip(words, starts, strict=False)]
 
 
-def alike(a: np.ndarray, b: np.ndarray, room: int, n: int) -> tuple[int, int] | None:
-    """How far two aligned parts agree around a run of ``n`` words after ``room`` words; None if the run itself does not."""
-    m = min(len(a), len(b))
-    same = a[:m] == b[:m]
-    if m < room + n or same[room:room + n].mean() < SIMILARITY:
-        return None
-    before, after = np.flatnonzero(~same[:room]), np.flatnonzero(~same[room + n:])
-    return (int(before[-1]) + 1 if len(before) else 0), room + n + (int(after[0]) if len(after) else m - room - n)
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Exact Jaccard of two sets of shingles."""
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common >= SIMILARITY * (len(x) + len(y) - common) and common > 0
 
 
-def _verify_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Verified runs; ``same_to`` is the end of a run without any other word, or beyond all words at the text's end."""
+def _alike(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """How far the aligned parts of runs agree around the run itself, ``n`` words after ``room`` words; runs that do not are left out."""
+    (x, at_x, n_x), (y, at_y, n_y) = (_words_of(rows.column(c)) for c in ("words", "hub_words"))
+    lo, hi, hub_lo, room, n = (rows.column(c).to_numpy() for c in ("lo", "hi", "hub_lo", "room", "n"))
+    m = np.minimum(n_x, n_y)
+    keep = np.flatnonzero(m >= room + n)
+    m, room, n, lo, hi, hub_lo, n_x = m[keep], room[keep], n[keep], lo[keep], hi[keep], hub_lo[keep], n_x[keep]
+    begin, row = np.cumsum(m) - m, np.repeat(np.arange(len(m)), m)
+    place = np.arange(len(row)) - begin[row]
+    other = x[at_x[keep][row] + place] != y[at_y[keep][row] + place]
+    inner = (place >= room[row]) & (place < (room + n)[row])
+    agree = np.add.reduceat((inner & ~other).astype(np.int64), begin) if len(m) else m
+    first = np.maximum.reduceat(np.where(other & (place < room[row]), place + 1, 0), begin) if len(m) else m
+    last = np.minimum.reduceat(np.where(other & (place >= (room + n)[row]), place, m[row]), begin) if len(m) else m
+    ended = (last == n_x) & (n_x < hi - lo)
+    same_to = pa.array(np.where(ended, 1 << 30, lo + last).astype(np.int32), mask=agree < n)
+    good = agree / n >= SIMILARITY
+    none = pa.nulls(len(m), pa.int32())
+    found = [pa.array((lo + first).astype(np.int32)), pa.array((lo + last).astype(np.int32)), rows.column("hub_doc").take(pa.array(keep)),
+             pa.array((lo - hub_lo).astype(np.int32)), same_to, none, none]
+    return pa.RecordBatch.from_arrays([rows.column("doc_id").take(pa.array(keep)), *found], names=list(_VERIFIED)).filter(pa.array(good))
+
+
+def _words_of(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words of a column, and each row's first one and number of words."""
+    values = column.to_pylist()
+    n = np.array([len(v) // 4 for v in values], np.int64)
+    return np.frombuffer(b"".join(values), np.uint32), np.cumsum(n) - n, n
+
+
+def _similar_lines(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Pairs of similar lines."""
+    a, b = (rows.column(c).to_pylist() for c in ("words", "hub_words"))
+    unlike = [k for k in range(len(a)) if a[k] != b[k]]
+    good = np.array([len(x) > 0 for x in a], bool)
+    good[unlike] = [similar(x, y) for x, y in zip(shingle_sets([a[k] for k in unlike]), shingle_sets([b[k] for k in unlike]), strict=True)]
+    none = pa.nulls(len(a), pa.int32())
+    found = [rows.column(c) for c in ("doc_id", "lo", "hi", "hub_doc")]
+    return pa.RecordBatch.from_arrays([*found, none, none, rows.column("hub_lo"), rows.column("hub_hi")], names=list(_VERIFIED)).filter(pa.array(good))
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Verified runs and lines, which have ``hub_lo, hub_hi`` instead of ``shift, same_to``.
+
+    ``same_to`` is the end of a run without any other word, or beyond all words at the text's end.
+    """
     for batch in batches:
-        rows = []
-        for doc_id, lo, hi, hub_doc, hub_lo, room, n, a, b in rows_of(
-                [batch], "doc_id", "lo", "hi", "hub_doc", "hub_lo", "room", "n", "words", "hub_words"):
-            x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-            if found := alike(x, y, room, n):
-                first, last = found
-                exact = (x[first:last] == y[first:last]).all()
-                ended = last == len(x) < hi - lo
-                rows.append((doc_id, lo + first, lo + last, hub_doc, lo - hub_lo, (1 << 30 if ended else lo + last) if exact else None))
-        columns = zip(*rows, strict=True) if rows else [()] * len(_VERIFIED)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(x), k) for x, k in zip(columns, _VERIFIED.values(), strict=True)], names=list(_VERIFIED))
+        for at in range(0, batch.num_rows, 2000):
+            rows = batch.slice(at, 2000)
+            line = rows.column("room").is_null()
+            yield _alike(rows.filter(pc.invert(line)))
+            yield _similar_lines(rows.filter(line))
 
 
-_VERIFIED = {"doc_id": pa.int64(), "first": pa.int32(), "last": pa.int32(), "hub_doc": pa.int64(), "shift": pa.int32(), "same_to": pa.int32()}
+_VERIFIED = {"doc_id": "long", "first": "int", "last": "int", "hub_doc": "long", "shift": "int", "same_to": "int", "hub_lo": "int", "hub_hi": "int"}
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Content of each passage of ``MIN_WORDS`` words around the asked-for windows, as 128 bits."""
-    memory = WordHashes()
     for doc_id, text, starts in rows_of(batches, "doc_id", "text", "starts"):
-        hashes = hash_words(split_words(text), memory)
+        hashes = hash_words(split_words(text))
         if len(hashes) < MIN_WORDS:
             continue
         at = np.unique((np.array(starts, np.int64)[:, None] - np.arange(MIN_WORDS - WINDOW + 1)).ravel())
@@ -251,32 +308,57 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _similar_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between similar lines of different clusters and documents."""
-    for low, high, members in rows_of(batches, "low", "high", "members"):
-        sets = [shingle_set(np.frombuffer(m["words"], np.uint32).astype(np.uint64), SHINGLE) for m in members]
-        first, second = ([k for k, m in enumerate(members) if m["block"] == b] for b in (low, high))
-        found = []
-        for i in first:
-            for j in second:
-                x, y = members[i], members[j]
-                if low == high and j <= i or x["component"] == y["component"]:
-                    continue
-                # equal lines stand for each other
-                a, b = (x["one"], y["one"]) if x["one"]["doc_id"] != y["one"]["doc_id"] else (
-                    (x["other"], y["one"]) if x["other"]["doc_id"] != y["one"]["doc_id"] else (x["one"], y["other"]))
-                if a["doc_id"] == b["doc_id"] or min(len(sets[i]), len(sets[j])) < SIMILARITY * max(len(sets[i]), len(sets[j])):
-                    continue
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if common and common >= SIMILARITY * (len(sets[i]) + len(sets[j]) - common):
-                    found.append((a, b))
-        node = pa.struct([("doc_id", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
-        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], node) for k in (0, 1)], names=["a", "b"])
+    kinds = {"doc_id": pa.int64(), "lo": pa.int32(), "hi": pa.int32()}
+    for batch in batches:
+        ends = batch.column("members").offsets.to_numpy()
+        at = 0
+        while at < batch.num_rows:  # buckets of some thousand members at a time
+            stop = max(at + 1, int(np.searchsorted(ends, ends[at] + 8192, "right")) - 1)
+            part = batch.slice(at, stop - at)
+            found = _similar_members(part, (ends[at:stop + 1] - ends[at]).tolist())
+            nodes = [pa.StructArray.from_arrays([pa.array(x[:, k].copy()).cast(kind) for k, kind in enumerate(kinds.values())], names=list(kinds))
+                     for x in found]
+            yield pa.RecordBatch.from_arrays(nodes, names=["a", "b"])
+            at = stop
+
+
+def _similar_members(buckets: pa.RecordBatch, ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Both nodes of the links of buckets, whose members end at ``ends``."""
+    members = buckets.column("members").flatten()
+    sets = shingle_sets(members.field("words").to_pylist())
+    sizes, block = np.array(list(map(len, sets)), np.int64), members.field("block").to_numpy()
+    component, one, other = (
+        np.stack([members.field(c).field(f).to_numpy() for f in ("doc_id", "lo", "hi")], axis=1) for c in ("component", "one", "other"))
+    a, b = [np.zeros((0, 3), np.int64)], [np.zeros((0, 3), np.int64)]
+    for (low, high), start, end in zip(rows_of([buckets], "low", "high"), ends[:-1], ends[1:], strict=True):
+        there = np.flatnonzero(sizes[start:end] > 0) + start
+        first, second = there[block[there] == low], there[block[there] == high]
+        for i in first.tolist():
+            j = second[second > i] if low == high else second
+            j = j[(component[j] != component[i]).any(axis=1) & (np.minimum(sizes[j], sizes[i]) >= SIMILARITY * np.maximum(sizes[j], sizes[i]))]
+            if not len(j):
+                continue
+            # equal lines stand for each other
+            use_one, use_other = one[j, 0] != one[i, 0], one[j, 0] != other[i, 0]
+            x = np.where((use_one | ~use_other)[:, None], one[i], other[i])
+            y = np.where((use_one | use_other)[:, None], one[j], other[j])
+            flat = np.concatenate([sets[k] for k in j.tolist()])
+            at = np.minimum(np.searchsorted(sets[i], flat), sizes[i] - 1)
+            common = np.add.reduceat((sets[i][at] == flat).astype(np.int64), np.cumsum(sizes[j]) - sizes[j])
+            near = (x[:, 0] != y[:, 0]) & (common > 0) & (common >= SIMILARITY * (sizes[j] + sizes[i] - common))
+            a.append(x[near])
+            b.append(y[near])
+    return np.concatenate(a), np.concatenate(b)
 
 
 _NODE = "struct<doc_id: long, lo: int, hi: int>"
 
 
 def _across(lines: DataFrame, labels: DataFrame, parts: DataFrame) -> DataFrame:
-    """Links ``a, b`` of similar lines of buckets that hold lines of different clusters."""
+    """Links ``a, b`` of similar lines of buckets that hold lines of different clusters.
+
+    Buckets with the same members count once; words join them only after that.
+    """
     at = lambda node, new: labels.select(F.col("node").alias(node), F.col("component").alias(new))
     nodes = lines.select("key", F.struct("doc_id", "lo", "hi").alias("node"), F.expr(
         "named_struct('doc_id', hub_doc, 'lo', hub_lo, 'hi', hub_hi)").alias("hub"))
@@ -285,19 +367,24 @@ def _across(lines: DataFrame, labels: DataFrame, parts: DataFrame) -> DataFrame:
     placed = written(placed, "placed")
     open_keys = written(placed.where("c <> c_hub").select("key").distinct(), "open")
     inside = placed.join(open_keys, "key", "left_semi")
-    inside = inside.select("key", "node", "c").union(inside.select("key", "hub", "c_hub")).distinct()
-    inside = _with_words(inside.select("*", "node.*"), parts, "doc_id", "lo", "hi", "words")
-    members = inside.groupBy("key", F.col("c").alias("component"), F.xxhash64("words").alias("digest")).agg(
-        F.min("node").alias("one"), F.max("node").alias("other"), F.first("words").alias("words"))
+    inside = written(inside.select("key", "node", "c").union(inside.select("key", "hub", "c_hub")).distinct(), "inside")
+    known = _with_words(inside.select("node").distinct().select("*", "node.*"), parts, "doc_id", "lo", "hi", "words")
+    known = written(known.select("node", "words", F.xxhash64("words").alias("digest")), "known")
+    members = inside.join(known.select("node", "digest"), "node").groupBy("key", F.col("c").alias("component"), "digest").agg(
+        F.min("node").alias("one"), F.max("node").alias("other"))
     members = written(members, "members")
-    removed(placed, open_keys)
-    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    removed(placed, open_keys, inside)
+    content = members.groupBy("key").agg(
+        F.bit_xor(F.xxhash64("component", "digest", "one", "other")).alias("content"), F.count("*").alias("n"))
+    once = content.groupBy("content", "n").agg(F.min("key").alias("key"))
+    blocks = once.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("one", F.lit(3)), F.col("blocks")).cast("int"))
+    dealt = dealt.join(known.select(F.col("node").alias("one"), "words"), "one")
     split = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     grouped = split.groupBy("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high")).agg(
         F.collect_list(F.struct("component", "one", "other", "words", "block")).alias("members"))
     found = written(grouped.mapInArrow(lambda batches: gathered(_similar_in_blocks(batches)), f"a {_NODE}, b {_NODE}").distinct(), "across")
-    removed(members)
+    removed(members, known)
     return found
 
 
@@ -325,13 +412,6 @@ def _longer_with_others(texts: DataFrame, windows: DataFrame, runs: DataFrame) -
     return found
 
 
-def _verify_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = [similar(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32))
-                for a, b in rows_of([batch], "words", "hub_words")]
-        yield batch.select(["doc_id", "lo", "hi", "hub_doc", "hub_lo", "hub_hi"]).filter(pa.array(keep, pa.bool_()))
-
-
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, first, last``: word positions (last exclusive) that repeat an earlier document's words.
 
@@ -350,7 +430,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     runs = (
         windows.where("doc_id <> hub_doc").groupBy("doc_id")
         .agg(F.collect_set(F.struct("start", "hub_doc", "hub_start")).alias("windows"))
-        .mapInArrow(lambda batches: gathered(_runs(batches)), _RUN_SCHEMA)
+        .mapInArrow(_runs, _RUN_SCHEMA)
     )
     lines = shared.where((F.col("n") >= MIN_WORDS) & (F.col("hub_n") >= MIN_WORDS)).select(
         "key", "doc_id", F.col("start").alias("lo"), F.expr("start + n as hi"), "hub_doc",
@@ -364,27 +444,23 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     parts = texts.join(asked, "doc_id").mapInArrow(lambda batches: gathered(_slices(batches)), "island_doc long, island_lo int, island_hi int, island binary")
     parts = written(parts.dropDuplicates(["island_doc", "island_lo"]), "parts")
     both = _with_words(_with_words(pairs, parts, "doc_id", "lo", "hi", "words"), parts, "hub_doc", "hub_lo", "hub_hi", "hub_words")
-    both = written(both, "both")
+    verified = both.mapInArrow(lambda batches: gathered(_verified(batches)), ", ".join(f"{c} {kind}" for c, kind in _VERIFIED.items()))
+    verified = written(verified, "verified")
     removed(pairs)
 
-    verified = both.where("room is not null").mapInArrow(
-        _verify_runs, "doc_id long, first int, last int, hub_doc long, shift int, same_to int")
-    verified = written(verified, "verified")
-    longer = _longer_with_others(texts, windows, verified)
-    run_spans = verified.select("doc_id", "first", "last").union(longer)
-    links = both.where("room is null").mapInArrow(
-        _verify_lines, "doc_id long, lo int, hi int, hub_doc long, hub_lo int, hub_hi int")
-    links = written(links.select(
-        F.struct("doc_id", "lo", "hi").alias("a"),
-        F.struct(F.col("hub_doc").alias("doc_id"), F.col("hub_lo").alias("lo"), F.col("hub_hi").alias("hi")).alias("b")), "similar")
-    removed(both)
+    same_runs = verified.where("hub_lo is null")
+    longer = _longer_with_others(texts, windows, same_runs)
+    run_spans = same_runs.select("doc_id", "first", "last").union(longer)
+    links = verified.where("hub_lo is not null").select(
+        F.expr("named_struct('doc_id', doc_id, 'lo', first, 'hi', last)").alias("a"),
+        F.expr("named_struct('doc_id', hub_doc, 'lo', hub_lo, 'hi', hub_hi)").alias("b"))
     clusters = components(links)
     more = _across(lines, clusters, parts)
     removed(shared, parts)
     if not more.isEmpty():
         removed(clusters)
         clusters = components(links.union(more))
-    removed(links, more)
+    removed(more)
     line_spans = clusters.where("node.doc_id <> component.doc_id").select(
         F.col("node.doc_id").alias("doc_id"), F.col("node.lo").alias("first"), F.col("node.hi").alias("last"))
     return run_spans.union(line_spans)
@@ -428,8 +504,10 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, removed, cuts = [], [], []
-        for text, spans in rows_of([batch], "text", "repeated_spans"):
-            cut = merged_spans([(s["first"], s["last"]) for s in spans or ()])
+        ends = batch.column("repeated_spans").offsets.to_numpy().tolist()
+        first, last = (batch.column("repeated_spans").values.field(c).to_pylist() for c in ("first", "last"))
+        for (text,), a, b in zip(rows_of([batch], "text"), ends[:-1], ends[1:], strict=True):
+            cut = merged_spans(list(zip(first[a:b], last[a:b], strict=True)))
             text, n = without_spans(text, cut) if cut else (text, 0)
             texts.append(text)
             removed.append(n)

@@ -119,11 +119,35 @@ def test_tables_of_another_operator_leave_a_worker():
     batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a b c"]})
     list(jaccard_join._sets(iter([batch]), 4))
     assert words.process_memory("table", lambda: "none") == "none"
+    list(paragraph_dedup._paragraphs(iter([batch])))
+    assert words.process_memory("table", lambda: "left") == "left"
     words.forget()
 
 
 # -- substring dedup --------------------------------------------------------------
 
+def test_texts_are_hashed_together(monkeypatch):
+    texts = ["\n".join(prose(k + i, 55) for i in range(0, 3000, 1000)) for k in range(100)]
+    calls, mix = [], paragraph_dedup.mix
+    monkeypatch.setattr(paragraph_dedup, "mix", lambda *x: calls.append(1) or mix(*x))
+    keys = lambda part: sorted(
+        r for b in paragraph_dedup._paragraphs(iter([pa.RecordBatch.from_pydict({"doc_id": list(part), "text": [texts[k] for k in part]})]))
+        for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    together = keys(range(100))
+    assert len(calls) < 30  # one text after the other makes as many each
+    assert together == sorted(r for k in range(100) for r in keys([k]))  # and no window or line reaches into the next text
+
+
+def test_words_of_both_sides_are_not_written(spark, monkeypatch):
+    tables, write = {}, paragraph_dedup.written
+    monkeypatch.setattr(paragraph_dedup, "written", lambda df, label: tables.setdefault(label, df.columns) and write(df, label))
+    passage, line = prose(50, 55), prose(51, 70)
+    rows = [(1, f"{prose(1, 40)} {passage} {prose(2, 60)}\n{line}"), (2, f"{prose(3, 33)} {passage} {prose(5, 20)}\n{line.replace(' ', ' new ', 1)}")]
+    got = {r.doc_id: r.removed_words for r in paragraph_dedup.remove_repeats(documents(spark, rows)).collect()}
+    assert got == {1: 0, 2: 126}
+    assert not [t for t, columns in tables.items() if "hub_words" in columns or {"key", "words"} <= set(columns)]
+
+
 def test_remove_repeats(spark):
     passage, line = prose(50, 55), prose(51, 70)
     changed = line.replace(" ", " new ", 1)
