@@ -9,7 +9,9 @@ Two kinds of paragraphs are looked at:
 - windows of ``WINDOW`` words, for passages that begin or end inside a line.
   They start where the hash of a window is the least of ``REACH`` successive
   ones, so any passage of more than ``MIN_WORDS`` words, wherever it stands, has
-  the same window in every copy. Their single band is the whole content.
+  the same window in every copy. Their single band is the whole content. Equal
+  windows that follow each other at even distance, as in words repeated over and
+  over, are one row, and are compared with those of the first document in order.
   Windows that follow each other alike in two documents form runs; a run is
   verified word by word and extended to both sides as far as the words agree.
 
@@ -87,6 +89,28 @@ def window_starts(hashes: np.ndarray, left: np.ndarray | None = None) -> tuple[n
     return chosen, content[chosen]
 
 
+def stretches(at: np.ndarray, key: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal windows of a text that follow each other, ``every`` so many words: number of the first one, how many, and ``every`` (0: one)."""
+    gap = np.diff(at, prepend=at[:1])
+    gap[1:][(key[1:] != key[:-1]) | (text[1:] != text[:-1]) | (gap[1:] > REACH)] = 0
+    before = np.concatenate([gap[:1], gap[:-1]])
+    head = np.flatnonzero((gap == 0) | (before > 0) & (gap != before))
+    times = np.diff(head, append=len(at))
+    return head, times, np.where(times > 1, gap[np.minimum(head + 1, len(at) - 1)], 0)
+
+
+def _windows_of(start: np.ndarray, n: np.ndarray, every: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of stretches: which stretch's, the how manieth of it, and where it starts."""
+    times = _times(n, every)
+    row = np.repeat(np.arange(len(start)), times)
+    k = np.arange(len(row)) - (np.cumsum(times) - times)[row]
+    return row, k, start[row] + k * every[row]
+
+
+def _times(n: np.ndarray, every: np.ndarray) -> np.ndarray:
+    return (n - WINDOW) // np.maximum(every, 1) + 1
+
+
 def long_lines(text: str) -> list[tuple[int, int]]:
     """First word and number of words of each line, and of each paragraph between blank lines, of at least ``MIN_WORDS`` words."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass") + b"\n\n", np.uint8)
@@ -119,7 +143,10 @@ def _keys(texts: list[tuple[int, np.ndarray, list[tuple[int, int]]]]) -> pa.Reco
     ids, n = np.array([t[0] for t in texts], np.int64), np.array([len(t[1]) for t in texts])
     top, text = np.cumsum(n) - n, np.repeat(np.arange(len(texts)), n)
     at, key = window_starts(hashes, (top + n)[text] - np.arange(len(hashes)))
-    doc, start, length = ids[text[at]], at - top[text[at]], np.full(len(at), WINDOW)
+    head, times, every = stretches(at, key, text[at])
+    at, key = at[head], key[head]
+    doc, start, length = ids[text[at]], at - top[text[at]], WINDOW + (times - 1) * every
+    line = np.zeros(len(at), bool)
     if lines := [(k, *line) for k, t in enumerate(texts) for line in t[2]]:
         owner, first, size = np.array(lines).T
         spans = list(zip((top[owner] + first).tolist(), size.tolist(), strict=True))
@@ -130,8 +157,11 @@ def _keys(texts: list[tuple[int, np.ndarray, list[tuple[int, int]]]]) -> pa.Reco
         key = np.concatenate([key, own.ravel()])
         doc, start, length = (
             np.concatenate([x, np.repeat(y, own.shape[1])]) for x, y in ((doc, ids[owner]), (start, first), (length, size)))
+        line = np.arange(len(key)) >= len(every)
+        every = np.concatenate([every, np.zeros(len(key) - len(every), np.int64)])
     return pa.RecordBatch.from_arrays(
-        [signed(key), doc, start.astype(np.int32), length.astype(np.int32)], names=["key", "doc_id", "start", "n"])
+        [signed(key), doc, start.astype(np.int32), length.astype(np.int32), pa.array(every.astype(np.int32), mask=line)],
+        names=["key", "doc_id", "start", "n", "every"])
 
 
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +188,11 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc = np.repeat(batch.column("doc_id").to_numpy(), np.diff(windows.offsets.to_numpy()))
         if not len(doc):
             continue
-        start, hub_doc, hub_start = (windows.flatten().field(c).to_numpy() for c in ("start", "hub_doc", "hub_start"))
+        start, n, every, hub_doc, hub_start, hub_n, hub_every = (windows.flatten().field(c).to_numpy() for c in _STRETCH)
+        row, k, start = _windows_of(start, n, every)
+        # in order with those of the other document, again from its first one if it has fewer
+        k = np.where((every == hub_every)[row], k % _times(hub_n, hub_every)[row], 0)
+        doc, hub_doc, hub_start = doc[row], hub_doc[row], hub_start[row] + k * hub_every[row]
         order = np.lexsort((start, start - hub_start, hub_doc, doc))
         doc, hub_doc, start, shift = doc[order], hub_doc[order], start[order], (start - hub_start)[order]
         goes_on = (np.diff(doc) == 0) & (np.diff(hub_doc) == 0) & (np.diff(shift) == 0) & (np.diff(start) <= REACH)
@@ -171,6 +205,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), *map(pa.array, rows, kinds)], names=_RUN)
 
 
+_STRETCH = ["start", "n", "every", "hub_doc", "hub_start", "hub_n", "hub_every"]
 _RUN = ["doc_id", "lo", "hi", "hub_doc", "hub_lo", "hub_hi", "room", "n"]
 _RUN_SCHEMA = "doc_id long, lo int, hi int, hub_doc long, hub_lo int, hub_hi int, room int, n int"
 
@@ -291,19 +326,25 @@ _VERIFIED = {"doc_id": "long", "first": "int", "last": "int", "hub_doc": "long",
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Content of each passage of ``MIN_WORDS`` words around the asked-for windows, as 128 bits."""
-    for doc_id, text, starts in rows_of(batches, "doc_id", "text", "starts"):
+    """Content of each passage of ``MIN_WORDS`` words around the asked-for windows, as 128 bits; equal ones that overlap are given together."""
+    for doc_id, text, asked in rows_of(batches, "doc_id", "text", "asked"):
         hashes = hash_words(split_words(text))
         if len(hashes) < MIN_WORDS:
             continue
-        at = np.unique((np.array(starts, np.int64)[:, None] - np.arange(MIN_WORDS - WINDOW + 1)).ravel())
+        starts = np.unique(_windows_of(*np.array([(a["start"], a["n"], a["every"]) for a in asked], np.int64).T)[2])
+        at = np.unique((starts[:, None] - np.arange(MIN_WORDS - WINDOW + 1)).ravel())
         at = at[(at >= 0) & (at <= len(hashes) - MIN_WORDS)]
         one, two = (_content(hashes, MIN_WORDS, seed)[at] for seed in (2000, 3000))
-        for k in range(0, len(at), 50_000):
+        order = np.lexsort((at, two, one))
+        one, two, at = one[order], two[order], at[order]
+        goes_on = (one[1:] == one[:-1]) & (two[1:] == two[:-1]) & (np.diff(at) <= MIN_WORDS)
+        head = np.flatnonzero(np.append(True, ~goes_on)[:len(at)])
+        one, two, first, last = one[head], two[head], at[head], at[np.append(head[1:], len(at))[:len(head)] - 1] + MIN_WORDS
+        for k in range(0, len(head), 50_000):
             part = slice(k, k + 50_000)
             yield pa.RecordBatch.from_arrays(
-                [signed(one[part]), signed(two[part]), pa.array(np.full(len(at[part]), doc_id, np.int64)),
-                 pa.array(at[part].astype(np.int32))], names=["one", "two", "doc_id", "first"])
+                [signed(one[part]), signed(two[part]), pa.array(np.full(len(first[part]), doc_id, np.int64)),
+                 pa.array(first[part].astype(np.int32)), pa.array(last[part].astype(np.int32))], names=["one", "two", "doc_id", "first", "last"])
 
 
 def _similar_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,18 +437,22 @@ def _longer_with_others(texts: DataFrame, windows: DataFrame, runs: DataFrame) -
     """
     settled = runs.where("same_to is not null").select(
         F.col("doc_id").alias("d"), F.col("hub_doc").alias("h"), F.col("shift").alias("s"), F.col("first").alias("f"), "same_to")
-    around = (F.col("f") <= F.greatest(F.col("start") - (MIN_WORDS - WINDOW), F.lit(0))) & (F.col("same_to") >= F.col("start") + MIN_WORDS)
+    end = F.col("start") + F.col("n") - WINDOW + MIN_WORDS
+    around = (F.col("f") <= F.greatest(F.col("start") - (MIN_WORDS - WINDOW), F.lit(0))) & (F.col("same_to") >= end)
     rest = windows.join(settled, (F.col("doc_id") == F.col("d")) & (F.col("hub_doc") == F.col("h")) & (
         F.col("start") - F.col("hub_start") == F.col("s")) & around, "left_anti")
-    rest = written(rest.select("doc_id", "start", "hub_doc", "hub_start").distinct(), "rest")
-    held = rest.groupBy("hub_doc", "hub_start").agg(F.count("*").alias("n"), F.max(F.col("doc_id") != F.col("hub_doc")).alias("others"))
-    held = written(held.where("n > 1 and others").select("hub_doc", "hub_start"), "held")
-    asked = rest.join(held, ["hub_doc", "hub_start"]).select("doc_id", "start").union(held).groupBy("doc_id").agg(
-        F.collect_set("start").alias("starts"))
-    passages = texts.join(asked, "doc_id").mapInArrow(lambda batches: gathered(_passages(batches)), "one long, two long, doc_id long, first int").distinct()
+    rest = written(rest.select("doc_id", *_STRETCH).distinct(), "rest")
+    held = rest.groupBy("hub_doc", "hub_start").agg(
+        F.max(F.struct("hub_n", "hub_every")).alias("hub"), F.count("*").alias("rows"), F.max("n").alias("longest"),
+        F.max(F.col("doc_id") != F.col("hub_doc")).alias("others"))
+    several = f"(rows > 1 or longest > {WINDOW} or hub.hub_n > {WINDOW})"
+    held = written(held.where(f"{several} and others").select("hub_doc", "hub_start", "hub.*"), "held")
+    asked = rest.join(held.select("hub_doc", "hub_start"), ["hub_doc", "hub_start"]).select("doc_id", "start", "n", "every").union(held)
+    asked = asked.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n", "every")).alias("asked"))
+    passages = texts.join(asked, "doc_id").mapInArrow(
+        lambda batches: gathered(_passages(batches)), "one long, two long, doc_id long, first int, last int").distinct()
     earliest = F.first("doc_id").over(Window.partitionBy("one", "two").orderBy("doc_id"))
-    found = written(passages.withColumn("hub", earliest).where("doc_id <> hub").select(
-        "doc_id", "first", (F.col("first") + MIN_WORDS).alias("last")), "passages")
+    found = written(passages.withColumn("hub", earliest).where("doc_id <> hub").select("doc_id", "first", "last"), "passages")
     removed(rest, held)
     return found
 
@@ -419,20 +464,20 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     and may be shorter than ``MIN_WORDS``; ``without_spans`` settles both.
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
-    keyed = texts.mapInArrow(_paragraphs, "key long, doc_id long, start int, n int")
-    by_key = Window.partitionBy("key").orderBy("doc_id", "start")
-    shared = keyed.withColumn("hub", F.first(F.struct("doc_id", "start", "n")).over(by_key)).where(
+    keyed = texts.mapInArrow(_paragraphs, "key long, doc_id long, start int, n int, every int")
+    by_key = Window.partitionBy("key").orderBy("doc_id", "start", F.desc("n"))
+    shared = keyed.withColumn("hub", F.first(F.struct("doc_id", "start", "n", "every")).over(by_key)).where(
         "doc_id <> hub.doc_id or start <> hub.start")
     shared = written(
-        shared.select(F.when(F.col("n") >= MIN_WORDS, F.col("key")).alias("key"), "doc_id", "start", "n", F.col("hub.doc_id").alias("hub_doc"),
-                      F.col("hub.start").alias("hub_start"), F.col("hub.n").alias("hub_n")), "shared")
-    windows = shared.where((F.col("n") == WINDOW) & (F.col("hub_n") == WINDOW))
+        shared.select(F.when(F.col("every").isNull(), F.col("key")).alias("key"), "doc_id", "start", "n", "every", F.col("hub.doc_id").alias("hub_doc"),
+                      F.col("hub.start").alias("hub_start"), F.col("hub.n").alias("hub_n"), F.col("hub.every").alias("hub_every")), "shared")
+    windows = shared.where("every is not null and hub_every is not null")
     runs = (
         windows.where("doc_id <> hub_doc").groupBy("doc_id")
-        .agg(F.collect_set(F.struct("start", "hub_doc", "hub_start")).alias("windows"))
+        .agg(F.collect_set(F.struct(*_STRETCH)).alias("windows"))
         .mapInArrow(_runs, _RUN_SCHEMA)
     )
-    lines = shared.where((F.col("n") >= MIN_WORDS) & (F.col("hub_n") >= MIN_WORDS)).select(
+    lines = shared.where("every is null and hub_every is null").select(
         "key", "doc_id", F.col("start").alias("lo"), F.expr("start + n as hi"), "hub_doc",
         F.col("hub_start").alias("hub_lo"), F.expr("hub_start + hub_n as hub_hi"))
     pairs = written(runs.union(lines.where("doc_id <> hub_doc").drop("key").distinct().select(

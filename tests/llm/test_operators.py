@@ -200,6 +200,50 @@ def test_passages_against_brute_force(spark, seed):
             assert holds(repeated, i)
 
 
+def test_words_repeated_over_and_over_are_one_pair(spark, monkeypatch):
+    counts, write = {}, paragraph_dedup.written
+
+    def counted(df, label):
+        table = write(df, label)
+        counts[label] = table.count()
+        return table
+
+    monkeypatch.setattr(paragraph_dedup, "written", counted)
+    rows = [(k, f"{prose(k, 30)} {'is onhe. ' * 150}{prose(100 + k, 30)}") for k in range(9)]
+    got = {r.doc_id: r.removed_words for r in paragraph_dedup.remove_repeats(documents(spark, rows)).collect()}
+    assert got == {0: 0} | dict.fromkeys(range(1, 9), 300)
+    assert counts["pairs"] <= 8 * 4 and counts["passages"] <= 8 * 80  # some 150 and 300 a document if each window counts
+
+
+@pytest.mark.parametrize("period", [2, 23, 40])
+def test_stretches_of_repeated_words_against_brute_force(spark, period):
+    """Stretches of any length, whatever the first document has of them: the words that stand in 50 words of an earlier one go."""
+    unit, rng = prose(period, period).split(), np.random.default_rng(period)
+    lengths = [23, 130, 400, 75, 51, 260, 130]
+    texts = []
+    for k, n in enumerate(lengths):
+        turn, tail = int(rng.integers(0, period)), prose(900 + k % 2, 40).split()
+        texts.append([*prose(100 + k, 33).split(), *((unit[turn:] + unit * (1 + n // period))[:n]), *tail, *unit * (60 // period), *prose(200 + k, 21).split()])
+    docs = documents(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    got = {r.doc_id: {w for s in r.repeated_spans for w in range(s["first"], s["last"])} for r in paragraph_dedup.remove_repeats(docs).collect()}
+    for size, holds in ((50, lambda some, i: some <= got[i]), (20, lambda some, i: got[i] <= some)):
+        first: dict[tuple, int] = {}
+        for i, words_of in enumerate(texts):
+            repeated = set()
+            for at in range(len(words_of) - size + 1):
+                if first.setdefault(tuple(words_of[at:at + size]), i) < i:
+                    repeated |= set(range(at, at + size))
+            assert holds(repeated, i), (i, sorted(repeated ^ got[i]))
+
+
+def test_stretches():
+    at, key, text = np.array([3, 5, 7, 9, 14, 16, 60, 2, 4, 9]), np.array([7, 7, 7, 7, 7, 7, 7, 7, 7, 8]), np.array([0] * 7 + [1] * 3)
+    head, times, every = paragraph_dedup.stretches(at, key, text)
+    assert list(zip(head.tolist(), times.tolist(), every.tolist(), strict=True)) == [(0, 4, 2), (4, 1, 0), (5, 1, 0), (6, 1, 0), (7, 2, 2), (9, 1, 0)]
+    none = np.zeros(0, np.int64)
+    assert [len(x) for x in paragraph_dedup.stretches(none, none, none)] == [0, 0, 0]
+
+
 def test_islands():
     assert paragraph_dedup.islands([(5, 9), (0, 3), (2, 4), (4, 5), (8, 12), (8, 10)]) == [(0, 4), (4, 5), (5, 12)]
 
