@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 FIRST_LOAD = "2026-07-01 00:00:00"
 SECOND_LOAD = "2026-07-02 00:00:00"
 NPI_CUTOFF = "1998-07-01"
+#: The order of a claim line, which its claim_id begins with.
+CLAIM_ORDER = "_order"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,10 +93,15 @@ def bronze_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_medical_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Claim lines; keys repeat in the data, so the latest row of a key matters.
+    """Claim lines; keys repeat in the data, so the latest row of a key matters."""
+    return dealt_medical_claims(spark, sf_dir).drop(CLAIM_ORDER)
 
-    Lines are dealt out by order first: a lines file that is one row group is spread
-    over all cores, and a join that is too large to broadcast needs no other shuffle of them.
+
+def dealt_medical_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claim lines with their order, by which they are dealt out.
+
+    A lines file that is one row group is thus spread over all cores, and neither a join that is
+    too large to broadcast nor the latest row of each claim needs another shuffle of them.
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
@@ -115,6 +122,7 @@ def bronze_medical_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
         F.when(quantity == 8, "later").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("updated_at"),
         _loaded(FIRST_LOAD),
+        F.col("l_orderkey").alias(CLAIM_ORDER),
     )
 
 

@@ -43,16 +43,18 @@ def query(sql: str) -> Callable[[Query], Query]:
 # -- silver and gold ----------------------------------------------------------
 
 BRONZE_OF = {
-    "silver_medical_claims": A.bronze_medical_claims,
+    "silver_medical_claims": A.dealt_medical_claims,
     "silver_members": A.bronze_members,
     "silver_providers": A.bronze_providers,
     "silver_pharmacy_claims": A.bronze_pharmacy_claims,
     "silver_enrollment_events": A.bronze_enrollment_events,
 }
+#: What bronze rows have been dealt out by, if all rows of a key share it.
+DEALT_BY = {"silver_medical_claims": A.CLAIM_ORDER}
 
 
 def silver(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_silver(name, BRONZE_OF[name](spark, sf_dir))
+    return build_silver(name, BRONZE_OF[name](spark, sf_dir), DEALT_BY.get(name))
 
 
 for _name in SILVER_MODELS:
@@ -62,10 +64,10 @@ for _name in SILVER_MODELS:
 
 @query(with_parts("select * from gold_claims_enriched", "gold_claims_enriched"))
 def gold_claims_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = A.bronze_medical_claims(spark, sf_dir)
+    bronze = A.dealt_medical_claims(spark, sf_dir)
     members, providers = silver("silver_members", spark, sf_dir), silver("silver_providers", spark, sf_dir)
     frequent = keys_to_spread(bronze, {"member_id": members, "provider_id": providers})
-    return claims_enriched(build_silver("silver_medical_claims", bronze), members, providers, frequent)
+    return claims_enriched(build_silver("silver_medical_claims", bronze, A.CLAIM_ORDER), members, providers, frequent)
 
 
 _ONE_MEMBER = """
@@ -79,10 +81,10 @@ _ONE_MEMBER = """
 def gold_claims_enriched_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the claims are one member's: their rows, and those of other frequent keys, are salted."""
     one = F.split("claim_id", "-")[0].cast("long") % 3 == 0
-    bronze = A.bronze_medical_claims(spark, sf_dir).withColumn("member_id", F.when(one, "1").otherwise(F.col("member_id")))
+    bronze = A.dealt_medical_claims(spark, sf_dir).withColumn("member_id", F.when(one, "1").otherwise(F.col("member_id")))
     members, providers = silver("silver_members", spark, sf_dir), silver("silver_providers", spark, sf_dir)
     frequent = frequent_keys(bronze, ["member_id", "provider_id"])
-    return claims_enriched(build_silver("silver_medical_claims", bronze), members, providers, frequent)
+    return claims_enriched(build_silver("silver_medical_claims", bronze, A.CLAIM_ORDER), members, providers, frequent)
 
 
 @query(with_parts("select * from gold_member_360", "gold_member_360"))

@@ -74,19 +74,22 @@ SILVER_MODELS = {
 }
 
 
-def typed(model: SilverModel, bronze: DataFrame) -> DataFrame:
-    """The bronze rows with their text parsed."""
+def typed(model: SilverModel, bronze: DataFrame, also: str | None = None) -> DataFrame:
+    """The bronze rows with their text parsed; ``also`` is a further column to keep."""
     return bronze.select(*[
         model.parse[c](c).alias(c) if c in model.parse else F.col(c)
-        for c in (*model.bronze.batch_columns, S.LOADED_AT)
+        for c in (*model.bronze.batch_columns, S.LOADED_AT, *([also] if also else []))
     ])
 
 
-def build_silver(model: SilverModel | str, bronze: DataFrame) -> DataFrame:
-    """Parse the bronze text and keep the newest row of each key."""
+def build_silver(model: SilverModel | str, bronze: DataFrame, together: str | None = None) -> DataFrame:
+    """Parse the bronze text and keep the newest row of each key.
+
+    ``together`` names a further column of the bronze rows for ``latest_by``.
+    """
     if isinstance(model, str):
         model = SILVER_MODELS[model]
-    return latest_by(typed(model, bronze), [model.key], model.newest_by)
+    return latest_by(typed(model, bronze, together), [model.key], model.newest_by, together=together)
 
 
 def add_to_silver(model: SilverModel, silver: DataFrame, bronze: DataFrame) -> DataFrame:

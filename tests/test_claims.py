@@ -1,0 +1,37 @@
+"""Claims of the given tables on rows of their own: keys that repeat or are NULL."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from conformance import adapter as A
+from conformance.queries import QUERIES
+from tests.helpers import plan, rows
+
+
+@pytest.fixture
+def sf_dir(spark, tmp_path):
+    day = datetime(1995, 3, 4, 5, 6, 7)
+    line = lambda o, n, q, at=day: (o, 1, 1, n, q, 100.5, 0.1, 0.0, "N", "O", at)
+    lines = [line(1, 1, 9.0), line(1, 1, 9.0), line(1, 1, 8.0), line(1, None, 9.0), line(None, 1, 9.0), line(3, 2, 3.0, None), line(2, 1, 1.0), line(5, 1, 9.0)]
+    orders = [(1, 1, "O", 10.0, day, "1-URGENT"), (2, 7, "O", 10.0, day, "1-URGENT"), (2, 8, "O", 10.0, day, "5-LOW"), (3, None, "F", None, None, None), (None, 1, "F", 1.0, day, "5-LOW")]
+    tables = {
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        "orders": (orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "customer": ([(1, "C1", 1, 5.0, "AUTO"), (7, "C7", 2, -5.0, "AUTO")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "supplier": ([(1, "S1", 1, 5.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_claims_are_shuffled_once_for_their_latest_rows(spark, sf_dir):
+    claims = QUERIES["silver_medical_claims"](spark, sf_dir)
+    assert plan(claims).count("Exchange hashpartitioning") == 1 and A.CLAIM_ORDER not in claims.columns
+    assert rows(claims, "claim_id", "member_id", "updated_at") == [
+        ("1", "1", datetime(1995, 3, 4, 5, 6, 7)), ("1-1", "1", None), ("2-1", "NOBODY", datetime(1995, 3, 4, 5, 6, 7)), ("3-2", None, None)]
+    assert QUERIES["gold_claims_enriched"](spark, sf_dir).count() == QUERIES["gold_claims_enriched_skewed"](spark, sf_dir).count() == 4

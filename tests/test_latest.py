@@ -60,3 +60,11 @@ def test_a_hot_key_is_cut_down_before_the_shuffle(spark):
 
 def _exchange(lines):
     return next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(k" in line)
+
+
+def test_rows_that_lie_together_are_not_shuffled_again(spark):
+    data = [(f"{o}-{k % 3}", k, f"v{k}", o) for o in (1, 2, 3, None) for k in range(6)]
+    df = spark.createDataFrame(data, "k string, t int, v string, o long")
+    got = latest_by(df.repartition(4, "o"), ["k"], "t", together="o")
+    assert got.columns == ["k", "t", "v"] and plan(got).count("Exchange hashpartitioning") == 1
+    assert rows(got) == rows(latest_by(df.drop("o"), ["k"], "t"))
