@@ -35,3 +35,9 @@ def test_claims_are_shuffled_once_for_their_latest_rows(spark, sf_dir):
     assert rows(claims, "claim_id", "member_id", "updated_at") == [
         ("1", "1", datetime(1995, 3, 4, 5, 6, 7)), ("1-1", "1", None), ("2-1", "NOBODY", datetime(1995, 3, 4, 5, 6, 7)), ("3-2", None, None)]
     assert QUERIES["gold_claims_enriched"](spark, sf_dir).count() == QUERIES["gold_claims_enriched_skewed"](spark, sf_dir).count() == 4
+
+
+def test_ship_time_is_formatted_once(spark, sf_dir):
+    claims = A.bronze_medical_claims(spark, sf_dir)
+    assert plan(claims).count("date_format(") == 1 and A.CLAIM_ORDER not in claims.columns
+    assert rows(claims.where("claim_id = '1'"), "service_date", "created_at", "updated_at") == [("1995-03-04", "1995-03-04T05:06:07", "1995-03-04 05:06:07")]
