@@ -7,7 +7,9 @@ for a group of queries and all documents at once. For the other terms of a query
 the greatest possible contribution in each block, added to the block's best sum
 so far, gives an upper bound per block; blocks are taken in falling order of their
 bounds, and no block whose bound is below the k-th best score so far is looked
-into. Bounds and scores use document frequencies and mean length of the whole
+into. Where lists are thin, so that a block has few postings of a term, bounds take
+longer than the postings that they save, which are then added up too; only documents
+not below the k-th best block are ranked. Bounds and scores use document frequencies and mean length of the whole
 corpus, so a shard's best k are a superset of its share of the global best k.
 """
 
@@ -31,6 +33,8 @@ SHARD_DOCS, SHARD_POSTINGS = 16_384, 6_000_000
 BLOCK = 64
 #: Terms in at least one of so many documents of a shard are added up outright.
 FREQUENT = 16
+#: Other lists with at most so many postings per term and block, in all a query's, are added up without bounds.
+THIN = 4
 #: Queries that travel together.
 QUERIES_TOGETHER = 256
 #: Scores count to so many decimals; equal ones are ordered by doc_id.
@@ -134,7 +138,7 @@ class Shard:
         self.run_block = block[self.runs[:-1]]
         self.run_most = np.maximum.reduceat(self.worth, self.runs[:-1]) if len(block) else np.zeros(0)
         self.term_runs = np.searchsorted(self.runs, self.starts)
-        self.blocks = -(-len(self.doc_ids) // BLOCK)
+        self.blocks, self.edges = -(-len(self.doc_ids) // BLOCK), np.arange(0, len(self.doc_ids), BLOCK)
         df = np.diff(self.starts)
         self.row = np.full(len(df), -1)  # of the frequent terms' table
         often = np.flatnonzero(df * FREQUENT >= len(self.doc_ids))
@@ -158,15 +162,39 @@ class Shard:
             row = np.where(at >= 0, self.row[at], -1) if len(self.row) else np.full(len(at), -1)
             often[q, row[row >= 0]] = weight[row >= 0]
         sums = often @ self.table
-        edges = np.arange(0, len(self.doc_ids), BLOCK)
         for q, (at, weight) in enumerate(zip(places, weights, strict=True)):
             rest = at >= 0
             rest[rest] = self.row[at[rest]] < 0
-            yield self._best(sums[q], np.maximum.reduceat(sums[q], edges), at[rest], weight[rest], k)
+            yield self._best(sums[q], at[rest], weight[rest], k)
+
+    def _best(self, total: np.ndarray, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        first, last = self.starts[at], self.starts[at + 1]
+        size = last - first
+        if size.sum() <= THIN * (self.term_runs[at + 1] - self.term_runs[at]).sum():
+            if len(at):
+                own = [slice(a, b) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+                worth = np.concatenate([self.worth[o] for o in own]) * np.repeat(weights, size)
+                total = total + np.bincount(np.concatenate([self.owners[o] for o in own]), worth, len(total))
+            most = np.maximum.reduceat(total, self.edges)
+            limit = self._kth(most if len(most) >= k else total, k)
+            docs = np.flatnonzero((total > 0) & (total >= limit))
+            scores = total[docs]
+        else:
+            docs, scores = self._pruned(total, at, weights, k)
+        scores = scores.round(DECIMALS)
+        best = np.lexsort((self.doc_ids[docs], -scores))[:k]
+        return self.doc_ids[docs[best]], scores[best]
+
+    @staticmethod
+    def _kth(scores: np.ndarray, k: int) -> float:
+        """What a document must have, before rounding, to be among the k best if some have ``scores``."""
+        return np.partition(scores, len(scores) - k)[len(scores) - k] - _SLACK if len(scores) >= k else -np.inf
 
-    def _best(self, total: np.ndarray, bound: np.ndarray, at: np.ndarray, weights: np.ndarray, k: int):
+    def _pruned(self, total: np.ndarray, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Documents, the k best among them, and their scores, by bounds of blocks."""
         count = self.term_runs[at + 1] - self.term_runs[at]
         runs, weight = ragged(self.term_runs[at], count), np.repeat(weights, count)
+        bound = np.maximum.reduceat(total, self.edges)
         bound = bound + np.bincount(self.run_block[runs], self.run_most[runs] * weight, self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
@@ -174,7 +202,7 @@ class Shard:
         done, take = 0, 2 + -(-2 * k // BLOCK)
         while done < len(order):
             if len(scores) >= k:
-                limit = np.partition(scores, len(scores) - k)[len(scores) - k] - _SLACK
+                limit = self._kth(scores, k)
                 take = int((bound[order[done:]] >= limit).sum())  # bounds fall
                 if not take:
                     break
@@ -188,9 +216,8 @@ class Shard:
             score = total[found] + more[found]
             docs, scores = np.concatenate([docs, found[score > 0]]), np.concatenate([scores, score[score > 0]])
             done += take
-        scores = scores.round(DECIMALS)
-        best = np.lexsort((self.doc_ids[docs], -scores))[:k]
-        return self.doc_ids[docs[best]], scores[best]
+        best = scores >= self._kth(scores, k)
+        return docs[best], scores[best]
 
 
 _GROUP = ["query_ids", "vocabulary", "idf", "starts_of_queries", "term_numbers", "times"]

@@ -529,6 +529,28 @@ def test_top_k(spark, monkeypatch):
     assert bm25.top_k(documents(spark, []), spark.createDataFrame(queries, "query_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("k", [1, 10, 200])
+def test_thin_lists_without_bounds(monkeypatch, k):
+    """Lists with few postings in a block are added up without bounds, others pruned by them; both give the same."""
+    monkeypatch.setattr(bm25.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    monkeypatch.setattr(bm25, "BLOCK", 8)
+    monkeypatch.setattr(bm25, "FREQUENT", 1)
+    texts = pa.table({"doc_id": range(300), "text": [prose(i, 5 + 7 * (i % 40)) for i in range(300)]})
+    row, = bm25._shards(iter(texts.to_batches()))
+    shard = bm25.Shard(*(row.column(c)[0].as_py() for c in bm25._SHARD[3:]), 140.0)
+    asked = [bm25.terms_of(prose(i, 60), bm25.WordHashes()) for i in range(500, 520)]
+    places, weights = [shard.find(terms) for terms, _ in asked], [counts * 1.5 for _, counts in asked]
+    pruned, by_bounds = shard._pruned, []
+    monkeypatch.setattr(bm25.Shard, "_pruned", lambda _, *query: by_bounds.append(query) or pruned(*query))
+    thin = list(shard.best(places, weights, k))
+    assert not by_bounds
+    monkeypatch.setattr(bm25, "THIN", 0)
+    bounded = list(shard.best(places, weights, k))
+    assert len(by_bounds) == len(asked)
+    for (docs, scores), (others, same) in zip(thin, bounded, strict=True):
+        assert docs.tolist() == others.tolist() and len(docs) == k and abs(scores - same).max() < 2e-6
+
+
 # -- vectors --------------------------------------------------------------------------------
 
 def test_vectors(spark, monkeypatch):
